@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from .scoring import EditBound, folded
 from .skew import MAX_HOT_KEYS
 
+# Pieces that may be ignored; measured best on names made of shared words.
+DEFAULT_SPARE = 3
 # A piece counts as common from this many candidates on.
 COMMON_PIECE_ROWS = 8
 
@@ -60,13 +62,14 @@ def close_pairs(
     inputs: DataFrame,
     candidates: DataFrame,
     bound: EditBound,
-    spare: int = 1,
+    spare: int = DEFAULT_SPARE,
     split_rows: int = 10_000,
     splits: int = 16,
 ) -> DataFrame:
     """Pairs that may reach the threshold: ``(name, a, candidate, cand_ord, c)``.
 
-    A superset of the qualifying pairs; a pair can come more than once.
+    All pairs within the edit tolerance, so a superset of the qualifying ones;
+    a pair can come more than once.
     ``inputs(name)`` and ``candidates(candidate, cand_ord)`` hold distinct
     names.  A name is never paired with itself.  A piece shared by more than
     ``split_rows`` candidates is joined in ``splits`` parts.
@@ -97,8 +100,14 @@ def close_pairs(
         f"cl between {bound.min_len('al')} and {bound.max_len('al')} and "
         f"abs({shift}) + abs(al - cl - {shift}) <= {bound.tolerance('al', 'cl')} and name <> candidate"
     )
-    k = kept.withColumnsRenamed({"piece": "_p", "_part": "_q"})
+    # few bytes go in and many pairs come out, so the parallelism is set here
+    # rather than left to a size-based merge of shuffle partitions
+    n = int(inputs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grams = grams.repartition(n, "piece", "_part")
+    k = kept.withColumnsRenamed({"piece": "_p", "_part": "_q"}).repartition(n, "_p", "_q")
     return (
         grams.join(k, (F.col("piece") == F.col("_p")) & (F.col("_part") == F.col("_q")) & F.expr(near))
+        # the banded edit distance stops early on far pairs
+        .where(F.expr(f"levenshtein(a, c, {bound.tolerance('al', 'cl')}) >= 0"))
         .select("name", "a", "candidate", "cand_ord", "c")
     )

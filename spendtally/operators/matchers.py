@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocking import close_pairs
+from .blocking import DEFAULT_SPARE, close_pairs
 from .rules import RULES, first_rule, rule_hits
 from .scoring import (
     SIMILARITY_THRESHOLD,
@@ -23,6 +23,7 @@ from .scoring import (
     best_per_input,
     levenshtein_similarity,
     matching_blocks_ratio,
+    shared_characters,
 )
 
 Matcher = Callable[[DataFrame, DataFrame], DataFrame]
@@ -33,7 +34,7 @@ class LevenshteinMatcher:
     """Most similar candidate by 1 - edit distance / longer length, case ignored."""
 
     threshold: float = SIMILARITY_THRESHOLD
-    spare: int = 1
+    spare: int = DEFAULT_SPARE
 
     def __call__(self, inputs: DataFrame, candidates: DataFrame) -> DataFrame:
         pairs = close_pairs(inputs, candidates, EditBound(self.threshold), self.spare)
@@ -46,20 +47,19 @@ class RatioMatcher:
     """Most similar candidate by matching-blocks ratio, case ignored.
 
     Matching blocks are a common subsequence, so pairs at the threshold are
-    within a known number of edits: the blocking and the cheap edit-distance
-    test before the Python scorer lose nothing.
+    within a known number of edits and share enough characters: the blocking
+    and the shared-character test before the Python scorer lose nothing.
     """
 
     threshold: float = SIMILARITY_THRESHOLD
-    spare: int = 1
+    spare: int = DEFAULT_SPARE
 
     def __call__(self, inputs: DataFrame, candidates: DataFrame) -> DataFrame:
         bound = EditBound(self.threshold, ratio=True)
-        tol = F.expr(bound.tolerance("length(a)", "length(c)"))
         pairs = (
             close_pairs(inputs, candidates, bound, self.spare)
-            .where(F.levenshtein("a", "c") <= tol)
             .dropDuplicates(["name", "candidate"])
+            .where(shared_characters("a", "c") * 2 >= self.threshold * (F.length("a") + F.length("c")) - 1e-9)
         )
         scored = pairs.withColumn("score", matching_blocks_ratio("a", "c"))
         return best_per_input(scored, ["name"], self.threshold).withColumn("rule", F.lit("ratio"))

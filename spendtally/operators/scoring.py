@@ -41,6 +41,13 @@ def matching_blocks_ratio(a, b) -> Column:
     return F.pandas_udf(ratios, T.DoubleType())(_col(a), _col(b))
 
 
+def shared_characters(a: str, b: str) -> Column:
+    """Characters two text columns have in common, repeats counted; at least any M of the ratio."""
+    return F.expr(
+        f"aggregate(array_distinct(split({a}, '')), 0, (acc, ch) -> acc + "
+        f"least(length({a}) - length(replace({a}, ch, '')), length({b}) - length(replace({b}, ch, ''))))")
+
+
 @dataclass(frozen=True)
 class EditBound:
     """How far apart two texts may be and still reach a similarity threshold.

@@ -1,2 +1,205 @@
+"""Name matching over the driver tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import text
+from ..functions.json_text import response_match
+from ..operators.joins import keep_valid
+from ..operators.matchers import CascadeMatcher, LevenshteinMatcher, RatioMatcher, RuleMatcher
+from . import shapes as sh
+
 QUERIES = {}
 SQL = {}
+
+
+def query(sql=None):
+    def add(fn):
+        QUERIES[fn.__name__] = fn
+        if sql is not None:
+            SQL[fn.__name__] = sql
+        return fn
+    return add
+
+
+def _names(spark, sf):
+    return sh.part_names(spark, sf)
+
+
+def _candidates(spark, sf):
+    return _names(spark, sf).select(F.col("name").alias("candidate"), F.col("name").alias("cand_ord"))
+
+
+def _result(df):
+    return df.select("name", "match", F.round("score", 9).alias("score"), "rule")
+
+
+# ---- similarity --------------------------------------------------------------
+
+_MISSPELT = "substr(name, 1, 2) || substr(name, 4)"
+
+
+@query(f"""WITH {sh.PART_NAMES_SQL}, asked AS (SELECT DISTINCT {_MISSPELT} AS name FROM names),
+  scored AS (SELECT a.name, n.name AS match, 1.0::DOUBLE - levenshtein(lower(a.name), lower(n.name))::DOUBLE
+      / greatest(length(a.name), length(n.name))::DOUBLE AS score
+    FROM asked a CROSS JOIN names n WHERE a.name <> n.name)
+  SELECT name, match, round(score, 9) AS score, 'levenshtein' AS rule FROM scored WHERE score >= 0.85
+  QUALIFY row_number() OVER (PARTITION BY name ORDER BY score DESC, match) = 1""")
+def fuzzy_levenshtein(spark, sf):
+    asked = _names(spark, sf).select(F.expr("concat(substr(name, 1, 2), substr(name, 4))").alias("name")).distinct()
+    return _result(LevenshteinMatcher()(asked, _candidates(spark, sf)))
+
+
+@query()
+def fuzzy_ratio(spark, sf):
+    asked = _names(spark, sf).select(F.expr("concat(substr(name, 1, 2), substr(name, 4))").alias("name")).distinct()
+    return _result(RatioMatcher()(asked, _candidates(spark, sf)))
+
+
+@query(f"""WITH {sh.AWARDS_SQL}, b AS (SELECT DISTINCT buyer FROM buyers),
+  asked AS (SELECT DISTINCT upper(substr(buyer, 1, length(buyer) - 1)) AS name FROM b),
+  scored AS (SELECT name, buyer AS match, 1.0::DOUBLE - levenshtein(lower(name), lower(buyer))::DOUBLE
+      / greatest(length(name), length(buyer))::DOUBLE AS score FROM asked CROSS JOIN b WHERE name <> buyer)
+  SELECT name, match, round(score, 9) AS score, 'levenshtein' AS rule FROM scored WHERE score >= 0.7
+  QUALIFY row_number() OVER (PARTITION BY name ORDER BY score DESC, match) = 1""")
+def fuzzy_low_threshold(spark, sf):
+    b = sh.buyers(spark, sf).select("buyer").distinct()
+    asked = b.select(F.expr("upper(substr(buyer, 1, length(buyer) - 1))").alias("name")).distinct()
+    cands = b.select(F.col("buyer").alias("candidate"), F.col("buyer").alias("cand_ord"))
+    return _result(LevenshteinMatcher(threshold=0.7)(asked, cands))
+
+
+# ---- rules -------------------------------------------------------------------
+
+_KEY = """trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower({x}), '&', ' and ', 'g'),
+    '[''.]', '', 'g'), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"""
+_NAME_KEY = _KEY.format(x="{x}")
+_BRACKET_KEY = _KEY.format(x="regexp_replace({x}, '[(][^)]*[)]', ' ', 'g')")
+_SUFFIX_KEY = ("regexp_replace(" + _BRACKET_KEY
+               + ", '( (limited liability partnership|limited|ltd|plc|llp|alb))+$', '')")
+
+
+def _equal_rule_sql(dirty: str, key: str, rule: str) -> str:
+    return f"""WITH {sh.PART_NAMES_SQL}, asked AS (SELECT DISTINCT {dirty} AS name FROM names),
+      hits AS (SELECT a.name, n.name AS match FROM asked a JOIN names n
+        ON {key.replace('{x}', 'a.name')} = {key.replace('{x}', 'n.name')} AND a.name <> n.name)
+      SELECT name, min(match) AS match, 1.0::DOUBLE AS score, '{rule}' AS rule FROM hits
+      GROUP BY name HAVING count(DISTINCT match) = 1"""
+
+
+def _rule(spark, sf, dirty, *rules):
+    asked = _names(spark, sf).select(dirty.alias("name")).distinct()
+    return _result(RuleMatcher(rules)(asked, _candidates(spark, sf)))
+
+
+@query(_equal_rule_sql("upper(replace(name, ' ', '  ')) || '.'", _NAME_KEY, "normalised"))
+def normalised_match(spark, sf):
+    return _rule(spark, sf, F.concat(F.upper(F.replace("name", F.lit(" "), F.lit("  "))), F.lit(".")), "normalised")
+
+
+@query(_equal_rule_sql("name || ' (' || upper(substr(name, 1, 3)) || ')'", _BRACKET_KEY, "brackets"))
+def bracket_match(spark, sf):
+    tag = F.concat(F.lit(" ("), F.upper(F.substring("name", 1, 3)), F.lit(")"))
+    return _rule(spark, sf, F.concat("name", tag), "brackets")
+
+
+@query(_equal_rule_sql("CASE WHEN length(name) % 2 = 0 THEN name || ' Ltd' ELSE name || ' PLC' END", _SUFFIX_KEY, "suffix"))
+def suffix_match(spark, sf):
+    form = F.when(F.length("name") % 2 == 0, " Ltd").otherwise(" PLC")
+    return _rule(spark, sf, F.concat("name", form), "suffix")
+
+
+@query(f"""WITH {sh.PART_NAMES_SQL}, keyed AS (SELECT name, {_NAME_KEY.replace('{x}', 'name')} AS k FROM names),
+  c AS (SELECT name AS match, upper(array_to_string(list_transform(string_split(k, ' '), lambda w: substr(w, 1, 1)), '')) AS acronym
+    FROM keyed),
+  asked AS (SELECT DISTINCT lower(acronym) AS name FROM c)
+  SELECT name, min(match) AS match, 1.0::DOUBLE AS score, 'acronym' AS rule FROM asked JOIN c ON upper(name) = acronym
+  GROUP BY name HAVING count(DISTINCT match) = 1""")
+def acronym_match(spark, sf):
+    letters = F.array_join(F.transform(F.split(text.name_key("name"), " "), lambda w: F.substring(w, 1, 1)), "")
+    return _rule(spark, sf, letters, "acronym")
+
+
+@query(f"""WITH {sh.PART_NAMES_SQL}, asked AS (SELECT DISTINCT 'national ' || name || ' body' AS name FROM names),
+  a AS (SELECT name, list_distinct(string_split({_SUFFIX_KEY.replace('{x}', 'name')}, ' ')) AS nt FROM asked),
+  c AS (SELECT name AS match, list_distinct(string_split({_SUFFIX_KEY.replace('{x}', 'name')}, ' ')) AS ct FROM names),
+  fits AS (SELECT name, match, len(ct) AS fit FROM a JOIN c ON list_has_all(nt, ct) AND len(ct) < len(nt)),
+  best AS (SELECT name, match FROM fits QUALIFY fit = max(fit) OVER (PARTITION BY name))
+  SELECT name, min(match) AS match, 1.0::DOUBLE AS score, 'descriptor' AS rule FROM best GROUP BY name HAVING count(*) = 1""")
+def descriptor_match(spark, sf):
+    return _rule(spark, sf, F.concat(F.lit("national "), "name", F.lit(" body")), "descriptor")
+
+
+@query(f"""WITH {sh.PART_NAMES_SQL},
+  k AS (SELECT name, {_SUFFIX_KEY.replace('{x}', 'name')} AS k FROM names),
+  asked AS (SELECT DISTINCT substr(k, strpos(k, ' ') + 1) AS name FROM k),
+  hits AS (SELECT a.name, k.name AS match FROM asked a JOIN k ON {_SUFFIX_KEY.replace('{x}', 'a.name')} <> k.k
+    AND (starts_with(k.k, a.name || ' ') OR ends_with(k.k, ' ' || a.name)))
+  SELECT name, min(match) AS match, 1.0::DOUBLE AS score, 'shortened' AS rule FROM hits GROUP BY name
+  HAVING count(DISTINCT match) = 1""")
+def shortened_match(spark, sf):
+    k = text.suffix_key("name")
+    return _rule(spark, sf, F.substr(k, F.instr(k, " ") + 1), "shortened")
+
+
+@query(f"""WITH {sh.PART_NAMES_SQL},
+  aliases AS (SELECT DISTINCT 'old ' || p_name || ' ' || p_brand AS alias, p_name || ' ' || p_brand || ' ' || lower(p_type) AS candidate FROM part),
+  known AS (SELECT alias, min(candidate) AS match FROM aliases GROUP BY alias HAVING count(DISTINCT candidate) = 1)
+  SELECT upper(alias) AS name, match, 1.0::DOUBLE AS score, 'alias' AS rule FROM known""")
+def alias_match(spark, sf):
+    aliases = sh.table(spark, sf, "part").select(
+        F.concat_ws(" ", F.lit("old"), "p_name", "p_brand").alias("alias"),
+        F.concat_ws(" ", "p_name", "p_brand", F.lower("p_type")).alias("candidate")).distinct()
+    asked = aliases.select(F.upper("alias").alias("name")).distinct()
+    return _result(RuleMatcher(("alias",), aliases)(asked, _candidates(spark, sf)))
+
+
+@query()
+def rule_cascade(spark, sf):
+    """Every kind of dirt at once: rules first, matching-blocks ratio for the rest."""
+    size = F.pmod(F.length("name"), F.lit(4))
+    dirty = (
+        F.when(size == 0, F.upper("name")).when(size == 1, F.concat("name", F.lit(" (UK) Ltd")))
+        .when(size == 2, F.expr("concat(substr(name, 1, 2), substr(name, 4))"))
+        .otherwise(F.concat("name", F.lit(" public body"))))
+    asked = _names(spark, sf).select(dirty.alias("name")).distinct()
+    return _result(CascadeMatcher()(asked, _candidates(spark, sf)))
+
+
+# ---- answers -----------------------------------------------------------------
+
+@query("""SELECT event_id, CASE WHEN event_type IN ('click', 'purchase') THEN user_id::VARCHAR
+    WHEN event_type IN ('error', 'signup') THEN NULL ELSE props END AS answer FROM events""")
+def parse_response(spark, sf):
+    kind, user = F.col("event_type"), F.col("user_id").cast("string")
+    response = (
+        F.when(kind == "click", F.concat(F.lit('{"match": " '), user, F.lit(' ", "raw": 1}')))
+        .when(kind == "purchase", F.concat(F.lit('"'), user, F.lit('"')))
+        .when(kind == "error", '{"match": null}').when(kind == "signup", " N/A ")
+        .otherwise(F.col("props")))
+    return sh.table(spark, sf, "events").select("event_id", response_match(response).alias("answer"))
+
+
+@query("""WITH offer AS (SELECT user_id, list_sort(list(DISTINCT event_type)) AS offered FROM events GROUP BY user_id)
+  SELECT event_id, array_to_string(list_filter(offered, lambda x: x <> event_type), ' | ') AS other_offers,
+    CASE WHEN value > 10 THEN event_type END AS valid FROM events JOIN offer USING (user_id)""")
+def offer_and_validate(spark, sf):
+    ev = sh.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    offer = ev.groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("offered"))
+    answer = F.when(F.col("value") > 10, F.col("event_type")).otherwise("somebody else")
+    return ev.join(offer, "user_id").select(
+        "event_id", F.array_join(text.offer_without_input("offered", "event_type"), " | ").alias("other_offers"),
+        text.valid_answer(answer, "offered").alias("valid"))
+
+
+@query("""SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, l_suppkey FROM lineitem l
+  WHERE EXISTS (SELECT 1 FROM orders o JOIN supplier s ON s_nationkey = o_custkey % 25
+    WHERE o_orderkey = l_orderkey AND s_suppkey = l_suppkey)""")
+def validate_match(spark, sf):
+    orders, supplier = sh.table(spark, sf, "orders"), sh.table(spark, sf, "supplier")
+    offered = orders.join(supplier, (F.col("o_custkey") % 25) == F.col("s_nationkey")).select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("s_suppkey").alias("l_suppkey"))
+    answers = sh.table(spark, sf, "lineitem").select(
+        "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "l_partkey", "l_suppkey")
+    return keep_valid(answers, offered, ["l_orderkey"], "l_suppkey")
