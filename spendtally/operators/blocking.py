@@ -7,6 +7,9 @@ VLDB 2011).  Any ``spare`` pieces may therefore be ignored: the most common
 ones are, which keeps words that every name shares ("council", "department")
 out of the join.  Pieces meet the inputs' substrings in one equi-join; length
 and position limits discard most chance meetings inside it.
+
+Arrays are opened with explode_outer: a plain explode adds a "not empty" filter
+that is pushed down to the scan and computes the array once more for every row.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scoring import EditBound, folded
+from .scoring import EditBound, char_signature, folded
 from .skew import MAX_HOT_KEYS
 
 # Pieces that may be ignored; measured best on names made of shared words.
@@ -28,13 +31,14 @@ def _piece_count(bound: EditBound, n: str, spare: int) -> str:
 
 
 def candidate_pieces(candidates: DataFrame, bound: EditBound, spare: int) -> DataFrame:
-    """``(candidate, cand_ord, c, cl, piece_no, pos, piece)`` for every piece."""
+    """``(candidate, cand_ord, c, cl, c0, c1, piece_no, pos, piece)`` for every piece."""
     c = (
         candidates.withColumn("c", F.lower("candidate")).where(F.length("c") > 0)
         .withColumn("cl", F.length("c"))
+        .withColumns({"c0": char_signature("c", 0), "c1": char_signature("c", 1)})
         .withColumn("_m", F.expr(_piece_count(bound, "cl", spare)))
     )
-    numbered = c.select("*", F.explode(F.expr("sequence(0, _m - 1)")).alias("piece_no"))
+    numbered = c.select("*", F.explode_outer(F.expr("sequence(0, _m - 1)")).alias("piece_no"))
     return (
         numbered.withColumn("pos", F.expr("cast(floor(piece_no * cl / _m) as int)"))
         .withColumn("_end", F.expr("cast(floor((piece_no + 1) * cl / _m) as int)"))
@@ -44,16 +48,20 @@ def candidate_pieces(candidates: DataFrame, bound: EditBound, spare: int) -> Dat
 
 
 def input_substrings(inputs: DataFrame, bound: EditBound, spare: int) -> DataFrame:
-    """``(name, a, al, at, piece)``: substrings of each piece length a partner may use."""
-    a = inputs.withColumn("a", folded("name")).where(F.length("a") > 0).withColumn("al", F.length("a"))
+    """``(name, a, al, a0, a1, at, piece)``: substrings of each piece length a partner may use."""
+    a = (
+        inputs.withColumn("a", folded("name")).where(F.length("a") > 0).withColumn("al", F.length("a"))
+        .withColumns({"a0": char_signature("a", 0), "a1": char_signature("a", 1)})
+    )
     m = _piece_count(bound, "l", spare)
     sizes = (
         f"array_distinct(flatten(transform(sequence(greatest(1, {bound.min_len('al')}), {bound.max_len('al')}), "
         f"l -> array(cast(floor(l / {m}) as int), cast(ceil(l / {m}) as int)))))"
     )
     return (
-        a.select("*", F.explode(F.expr(f"filter({sizes}, q -> q <= al)")).alias("_q"))
-        .select("*", F.explode(F.expr("sequence(0, al - _q)")).alias("at"))
+        a.select("*", F.explode_outer(F.expr(f"filter({sizes}, q -> q <= al)")).alias("_q"))
+        .where("_q is not null")
+        .select("*", F.explode_outer(F.expr("sequence(0, al - _q)")).alias("at"))
         .withColumn("piece", F.expr("substring(a, at + 1, _q)")).drop("_q")
     )
 
@@ -66,10 +74,10 @@ def close_pairs(
     split_rows: int = 10_000,
     splits: int = 16,
 ) -> DataFrame:
-    """Pairs that may reach the threshold: ``(name, a, candidate, cand_ord, c)``.
+    """Pairs that may reach the threshold: ``(name, a, candidate, cand_ord, c, differing)``.
 
-    All pairs within the edit tolerance, so a superset of the qualifying ones;
-    a pair can come more than once.
+    A superset of the qualifying pairs; a pair can come more than once.
+    ``differing`` is a lower bound on inserted plus deleted characters.
     ``inputs(name)`` and ``candidates(candidate, cand_ord)`` hold distinct
     names.  A name is never paired with itself.  A piece shared by more than
     ``split_rows`` candidates is joined in ``splits`` parts.
@@ -87,19 +95,24 @@ def close_pairs(
         .withColumn("_r", F.row_number().over(rarest))
         .where(F.col("_r") <= F.expr(bound.pieces_needed("cl")))
         .withColumn("_part", F.pmod(F.xxhash64("candidate"), F.coalesce("_parts", F.lit(1))).cast("int"))
-        .select("piece", "_part", "candidate", "cand_ord", "c", "cl", "pos")
+        .select("piece", "_part", "candidate", "cand_ord", "c", "cl", "c0", "c1", "pos")
     )
     grams = (
         input_substrings(inputs, bound, spare)
         .join(F.broadcast(common.where("_parts > 1").select("piece", "_parts")), "piece", "left")
-        .withColumn("_part", F.explode(F.expr("sequence(0, coalesce(_parts, 1) - 1)")))
-        .select("piece", "_part", "name", "a", "al", "at")
+        .withColumn("_part", F.explode_outer(F.expr("sequence(0, coalesce(_parts, 1) - 1)")))
+        .select("piece", "_part", "name", "a", "al", "a0", "a1", "at")
     )
-    shift = "(at - pos)"
+    shift, limit = "(at - pos)", bound.tolerance("al", "cl")
+    differing = "bit_count(a0 ^ c0) + bit_count(a1 ^ c1)"
+    # cheap tests first; the banded edit distance stops early on far pairs
     near = (
         f"cl between {bound.min_len('al')} and {bound.max_len('al')} and "
-        f"abs({shift}) + abs(al - cl - {shift}) <= {bound.tolerance('al', 'cl')} and name <> candidate"
+        f"abs({shift}) + abs(al - cl - {shift}) <= {limit} and "
+        f"{differing} <= {bound.bits('al', 'cl')} and name <> candidate"
     )
+    if not bound.ratio:
+        near += f" and levenshtein(a, c, {limit}) >= 0"
     # few bytes go in and many pairs come out, so the parallelism is set here
     # rather than left to a size-based merge of shuffle partitions
     n = int(inputs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -107,7 +120,5 @@ def close_pairs(
     k = kept.withColumnsRenamed({"piece": "_p", "_part": "_q"}).repartition(n, "_p", "_q")
     return (
         grams.join(k, (F.col("piece") == F.col("_p")) & (F.col("_part") == F.col("_q")) & F.expr(near))
-        # the banded edit distance stops early on far pairs
-        .where(F.expr(f"levenshtein(a, c, {bound.tolerance('al', 'cl')}) >= 0"))
-        .select("name", "a", "candidate", "cand_ord", "c")
+        .select("name", "a", "candidate", "cand_ord", "c", F.expr(differing).alias("differing"))
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.json_text import json_ids
+from ..functions.text import trim_all
 
 
 def null_safe_equal(left: DataFrame, right: DataFrame, lk: str, rk: str) -> Column:
@@ -48,7 +49,8 @@ def explode_join(df: DataFrame, json_col: str, dim: DataFrame, key: str) -> Data
 
     Rows with an empty or missing array vanish, as do ids unknown to ``dim``.
     """
-    ids = df.withColumn("_id", F.explode(json_ids(json_col)))
+    # the outer form parses each text once; the inner join drops the nulls
+    ids = df.withColumn("_id", F.explode_outer(json_ids(json_col)))
     return (
         ids.withColumn("_id", F.col("_id").cast("bigint"))
         .join(dim.withColumn("_dim_key", F.col(key)), F.col("_id") == F.col("_dim_key"), "inner")
@@ -78,4 +80,4 @@ def with_default(df: DataFrame, dim: DataFrame, key: str, value: str, default: C
     """Left lookup; blank or missing values fall back to ``default``."""
     one = dim.select(key, value)
     return df.join(one, key, "left").withColumn(
-        value, F.coalesce(F.nullif(F.trim(value), F.lit("")), default))
+        value, F.coalesce(F.nullif(trim_all(value), F.lit("")), default))

@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import shared_checkpoint
 from .blocking import DEFAULT_SPARE, close_pairs
 from .rules import RULES, first_rule, rule_hits
 from .scoring import (
@@ -22,47 +23,86 @@ from .scoring import (
     EditBound,
     best_per_input,
     levenshtein_similarity,
-    matching_blocks_ratio,
-    shared_characters,
+    top_ratios,
 )
 
 Matcher = Callable[[DataFrame, DataFrame], DataFrame]
 
 
+# Names with a near-perfect match are settled at this threshold first.
+FIRST_THRESHOLD = 0.95
+
+
+def _settle(df: DataFrame, key: str) -> DataFrame:
+    """Names spread evenly over the shuffle partitions and cut off from their lineage.
+
+    A names table is read several times and each row opens into many, so it
+    must be neither computed again nor packed into a few partitions by size.
+    """
+    if getattr(df, "_settled", False):
+        return df
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = shared_checkpoint(df.repartition(n, key))
+    out._settled = True
+    return out
+
+
+def _in_turn(inputs: DataFrame, candidates: DataFrame, steps) -> DataFrame:
+    """Apply matchers in turn; each sees only the names the earlier ones left open."""
+    names = _settle(inputs.select("name").where("name is not null").distinct(), "name")
+    cands = _settle(candidates, "candidate")
+    found = None
+    for i, step in enumerate(steps):
+        if found is None:
+            left = names
+        else:
+            left = names.join(found.select("name"), "name", "left_anti")
+        hits = step(left, cands)
+        if i < len(steps) - 1:  # read by the next step and by the result
+            hits = shared_checkpoint(hits)
+        found = hits if found is None else found.unionByName(hits)
+    return found
+
+
 @dataclass(frozen=True)
-class LevenshteinMatcher:
-    """Most similar candidate by 1 - edit distance / longer length, case ignored."""
+class _SimilarityMatcher:
+    """Best candidate at or above ``threshold``, found in two rounds.
+
+    A name whose best score reaches the higher first threshold is settled there
+    exactly, as all its candidates at that level are seen; the high threshold
+    makes long, selective pieces.  Only the other names meet the wider search.
+    """
 
     threshold: float = SIMILARITY_THRESHOLD
     spare: int = DEFAULT_SPARE
+    first_threshold: float = FIRST_THRESHOLD
 
     def __call__(self, inputs: DataFrame, candidates: DataFrame) -> DataFrame:
-        pairs = close_pairs(inputs, candidates, EditBound(self.threshold), self.spare)
+        levels = sorted({max(self.first_threshold, self.threshold), self.threshold}, reverse=True)
+        return _in_turn(inputs, candidates, [lambda i, c, t=t: self._best(i, c, t) for t in levels])
+
+
+@dataclass(frozen=True)
+class LevenshteinMatcher(_SimilarityMatcher):
+    """Similarity is 1 - edit distance / longer length, case ignored."""
+
+    def _best(self, inputs: DataFrame, candidates: DataFrame, t: float) -> DataFrame:
+        pairs = close_pairs(inputs, candidates, EditBound(t), self.spare)
         scored = pairs.withColumn("score", levenshtein_similarity("a", "c"))
-        return best_per_input(scored, ["name"], self.threshold).withColumn("rule", F.lit("levenshtein"))
+        return best_per_input(scored, ["name"], t).withColumn("rule", F.lit("levenshtein"))
 
 
 @dataclass(frozen=True)
-class RatioMatcher:
-    """Most similar candidate by matching-blocks ratio, case ignored.
+class RatioMatcher(_SimilarityMatcher):
+    """Similarity is the matching-blocks ratio, case ignored.
 
     Matching blocks are a common subsequence, so pairs at the threshold are
-    within a known number of edits and share enough characters: the blocking
-    and the shared-character test before the Python scorer lose nothing.
+    within a known number of edits and the blocking loses nothing.
     """
 
-    threshold: float = SIMILARITY_THRESHOLD
-    spare: int = DEFAULT_SPARE
-
-    def __call__(self, inputs: DataFrame, candidates: DataFrame) -> DataFrame:
-        bound = EditBound(self.threshold, ratio=True)
-        pairs = (
-            close_pairs(inputs, candidates, bound, self.spare)
-            .dropDuplicates(["name", "candidate"])
-            .where(shared_characters("a", "c") * 2 >= self.threshold * (F.length("a") + F.length("c")) - 1e-9)
-        )
-        scored = pairs.withColumn("score", matching_blocks_ratio("a", "c"))
-        return best_per_input(scored, ["name"], self.threshold).withColumn("rule", F.lit("ratio"))
+    def _best(self, inputs: DataFrame, candidates: DataFrame, t: float) -> DataFrame:
+        scored = top_ratios(close_pairs(inputs, candidates, EditBound(t, ratio=True), self.spare), t)
+        return best_per_input(scored, ["name"], t).withColumn("rule", F.lit("ratio"))
 
 
 @dataclass(frozen=True)
@@ -73,7 +113,8 @@ class RuleMatcher:
     aliases: DataFrame | None = field(default=None, compare=False)
 
     def __call__(self, inputs: DataFrame, candidates: DataFrame) -> DataFrame:
-        return first_rule(rule_hits(inputs, candidates, self.rules, self.aliases))
+        names = _settle(inputs.select("name").where("name is not null").distinct(), "name")
+        return first_rule(rule_hits(names, _settle(candidates, "candidate"), self.rules, self.aliases))
 
 
 @dataclass(frozen=True)
@@ -83,9 +124,4 @@ class CascadeMatcher:
     steps: tuple[Matcher, ...] = (RuleMatcher(), RatioMatcher())
 
     def __call__(self, inputs: DataFrame, candidates: DataFrame) -> DataFrame:
-        found = None
-        for step in self.steps:
-            left = inputs if found is None else inputs.join(found.select("name"), "name", "left_anti")
-            hits = step(left, candidates)
-            found = hits if found is None else found.unionByName(hits)
-        return found
+        return _in_turn(inputs, candidates, self.steps)

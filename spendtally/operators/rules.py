@@ -1,6 +1,9 @@
 """Name-matching rules: case and punctuation, brackets, legal forms, acronyms,
 extra descriptors, shortened forms and user aliases.
 
+Arrays are opened with the outer forms: a plain explode adds a "not empty" filter
+that is pushed down to the scan and computes the array once more for every row.
+
 A rule's hit counts only when exactly one candidate fits (precision first).
 Candidates are reduced to one row per key before they meet the inputs, so a key
 shared by very many names never makes pairs.
@@ -58,7 +61,7 @@ def _keys(df: DataFrame, col: str, rules, candidate_side: bool) -> DataFrame:
         add("shortened", _one(t.suffix_key(name)))
     if not parts:
         parts = [F.array().cast("array<struct<rule_no:int,key:string>>")]
-    return df.select(col, F.inline(F.concat(*parts))).where(F.length("key") > 0)
+    return df.select(col, F.inline_outer(F.concat(*parts))).where(F.length("key") > 0)
 
 
 def _unique_by_key(inputs: DataFrame, candidates: DataFrame, rules) -> DataFrame:
@@ -85,7 +88,7 @@ def _descriptor_hits(inputs: DataFrame, candidates: DataFrame) -> DataFrame:
     the only one of its size.
     """
     c = candidates.select("candidate", t.name_tokens("candidate").alias("ct")).where(F.size("ct") > 0)
-    words = c.select("candidate", "ct", F.explode("ct").alias("word"))
+    words = c.select("candidate", "ct", F.explode_outer("ct").alias("word"))
     common = (
         words.groupBy("word").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
         .orderBy(F.desc("_n"), "word").limit(MAX_HOT_KEYS)
@@ -96,7 +99,7 @@ def _descriptor_hits(inputs: DataFrame, candidates: DataFrame) -> DataFrame:
         .where("_r = 1").select("word", "candidate", "ct")
     )
     asked = inputs.select("name", t.name_tokens("name").alias("nt")).select(
-        "name", "nt", F.explode("nt").alias("word"))
+        "name", "nt", F.explode_outer("nt").alias("word")).where("word is not null")
     fits = (
         asked.join(filed, "word")
         .where((F.size("ct") < F.size("nt")) & (F.size(F.array_except("ct", "nt")) == 0)

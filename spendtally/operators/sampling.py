@@ -65,7 +65,7 @@ def sample_candidates(
         .withColumn("_draw", draw_ordinals(seed, F.col("_key"), F.col("_size"), k))
     )
     others = (
-        base.select(*ids, "_key", "_truth_ord", F.explode("_draw").alias("_o"))
+        base.select(*ids, "_key", "_truth_ord", F.explode_outer("_draw").alias("_o")).where("_o is not null")
         # ordinals skip over the truth's own place
         .withColumn("ordinal", F.when(F.col("_o") >= F.col("_truth_ord"), F.col("_o") + 1)
                     .otherwise(F.col("_o")))

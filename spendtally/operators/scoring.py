@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 from difflib import SequenceMatcher
 
@@ -41,11 +40,20 @@ def matching_blocks_ratio(a, b) -> Column:
     return F.pandas_udf(ratios, T.DoubleType())(_col(a), _col(b))
 
 
-def shared_characters(a: str, b: str) -> Column:
-    """Characters two text columns have in common, repeats counted; at least any M of the ratio."""
-    return F.expr(
-        f"aggregate(array_distinct(split({a}, '')), 0, (acc, ch) -> acc + "
-        f"least(length({a}) - length(replace({a}, ch, '')), length({b}) - length(replace({b}, ch, ''))))")
+def char_signature(c: str, half: int) -> Column:
+    """One of two 64-bit masks of a text column's characters, repeats counted.
+
+    The k-th occurrence of a character sets one of 128 bits.  One inserted or
+    deleted character changes at most one bit and a replaced one at most two,
+    so far pairs are told apart by counting differing bits.
+    """
+    chars = f"filter(array_distinct(split({c}, '')), ch -> ch <> '')"
+    bits = (
+        f"flatten(transform({chars}, ch -> transform(sequence(1, length({c}) - length(replace({c}, ch, ''))), "
+        f"k -> pmod(hash(ch, k), 128))))"
+    )
+    mine = f"filter({bits}, p -> p div 64 = {half})"
+    return F.expr(f"aggregate({mine}, 0L, (acc, p) -> acc | shiftleft(1L, cast(p % 64 as int)))")
 
 
 @dataclass(frozen=True)
@@ -81,6 +89,10 @@ class EditBound:
         size = f"({n} + {m})" if self.ratio else f"greatest({n}, {m})"
         return f"cast(floor({1 - self.threshold!r}D * {size} + {_EPS}) as int)"
 
+    def bits(self, n: str, m: str) -> str:
+        """Most differing ``char_signature`` bits."""
+        return self.tolerance(n, m) if self.ratio else f"2 * {self.tolerance(n, m)}"
+
     def pieces_needed(self, n: str) -> str:
         """Pieces a text is cut into so that one survives any allowed edits."""
         return f"({self.tolerance(n, self.max_len(n))} + 1)"
@@ -90,17 +102,53 @@ def best_per_input(scored: DataFrame, ids, threshold: float) -> DataFrame:
     """Highest score at or above the threshold; the earliest candidate wins ties.
 
     A plain mergeable aggregate, so repeated pairs do no harm and a name with
-    very many candidates is combined before the shuffle.
+    very many candidates is combined before the shuffle.  The threshold comes
+    after it: a filter on the score would be pushed into the pairing join ahead
+    of that join's cheap tests.
     """
     best = F.min(F.struct((-F.col("score")).alias("neg"), "cand_ord", "candidate"))
     return (
-        scored.where((F.col("score") >= threshold) & (F.col("score") > 0))
-        .groupBy(*ids).agg(best.alias("_b"))
+        scored.groupBy(*ids).agg(best.alias("_b"))
         .select(*ids, F.col("_b.candidate").alias("match"), (-F.col("_b.neg")).alias("score"))
+        .where((F.col("score") >= threshold) & (F.col("score") > 0))
     )
 
 
-def check_threshold(t: float) -> float:
-    if not 0 < t <= 1 or math.isnan(t):
-        raise ValueError(f"threshold must be in (0, 1], got {t}")
-    return t
+def top_ratios(pairs: DataFrame, threshold: float) -> DataFrame:
+    """``(name, candidate, cand_ord, score)``: pairs that may hold a name's best ratio.
+
+    ``pairs(name, a, candidate, cand_ord, c, differing)``.  ``differing`` caps
+    the ratio at 1 - differing / (|a| + |c|).  Pairs are streamed name by name,
+    highest cap first, and a pair whose cap is below the best ratio seen is
+    never scored; no group is held in memory.
+    """
+    cap = 1.0 - F.col("differing") / (F.length("a") + F.length("c"))
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = (
+        pairs.withColumn("cap", cap).repartition(n, "name")
+        .sortWithinPartitions("name", F.desc("cap"), "candidate")
+    )
+    slack = _EPS
+
+    def score(batches):
+        current = last = None
+        best = threshold
+        for batch in batches:
+            keep, scores = [], []
+            rows = zip(batch["name"], batch["a"], batch["candidate"], batch["c"], batch["cap"])
+            for i, (name, a, candidate, c, limit) in enumerate(rows):
+                if name != current:
+                    current, last, best = name, None, threshold
+                if limit < best - slack or candidate == last:
+                    continue
+                last = candidate
+                r = SequenceMatcher(None, a, c).ratio()
+                if r >= best:
+                    best = r
+                    keep.append(i)
+                    scores.append(r)
+            yield batch.iloc[keep][["name", "candidate", "cand_ord"]].assign(score=scores)
+
+    types = dict(pairs.dtypes)
+    return ordered.mapInPandas(
+        score, f"name string, candidate string, cand_ord {types['cand_ord']}, score double")

@@ -108,7 +108,7 @@ def _suppliers(spark, sf):
         F.sum(F.when(counted, F.col("l_extendedprice").cast("decimal(18,2)")).otherwise(0)).alias("reported_spend"))
     a = sh.awards(spark, sf)
     return (
-        spend.join(a, spend.l_orderkey == a.o_orderkey).join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        spend.join(a.hint("merge"), spend.l_orderkey == a.o_orderkey).join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(F.col("framework_title").alias("framework"), F.col("s_name").alias("name"),
                 F.col("buyer").alias("buyer_name"), F.col("award_value").alias("contract_value"),
                 F.col("contract_start").cast("string").alias("contract_start"),
