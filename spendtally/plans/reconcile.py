@@ -15,6 +15,7 @@ from ..operators.aggregates import first_non_null
 from ..operators.joins import attach_supplier_key, member_rows
 from ..operators.matchers import Matcher
 from ..operators.skew import salted_inner_join
+from ..sources.tables import shared_checkpoint
 
 # Stands for a null PairID inside joins: null meets null, and no real PairID lacks a "+".
 _NULL_PAIR = "null"
@@ -117,18 +118,23 @@ def remap_pairs(unknown: DataFrame, mapping: DataFrame) -> DataFrame:
 def reconcile_two_pass(
     contracts: DataFrame,
     mi: DataFrame,
-    matcher: Matcher,
+    matcher: Matcher | None = None,
     min_rows: int = 1_000_000,
     salts: int = 32,
+    mapping: DataFrame | None = None,
 ) -> DataFrame:
     """Pass 1 and pass 2 stacked, marked by ``match_pass``.
 
-    As in the source job, a pass-2 block lists every contract again when any
-    unknown name exists, and is absent otherwise.
+    Needs a matcher, or a name map made earlier.  The pass-2 block lists every
+    contract again when any unknown name exists, and is absent otherwise.
     """
+    if mapping is None:
+        if matcher is None:
+            raise ValueError("give a matcher or a mapping")
+        mapping = name_map(mi, contracts, matcher)
     first = reconcile_exact(contracts, mi, min_rows, salts).withColumn("match_pass", F.lit(1))
     unknown = split_unmatched(unmatched_mi(mi, contracts), contracts)[1]
-    remapped = remap_pairs(unknown, name_map(mi, contracts, matcher))
+    remapped = remap_pairs(unknown, mapping)
     some = unknown_names(mi, contracts).exists()
     second = (
         _left_join_pairs(contracts, remapped, min_rows, salts)
@@ -161,6 +167,27 @@ def residual_mi(
     return tried.join(pairs, F.col("_second") == F.col("_k"), "left_anti").drop("_second", "AIMatchedName")
 
 
+def reconcile(
+    contracts: DataFrame,
+    mi: DataFrame,
+    regkeys: DataFrame,
+    matcher: Matcher,
+    residual: str = "reference",
+    null_keys: str = "match",
+    min_rows: int = 1_000_000,
+    salts: int = 32,
+) -> tuple[DataFrame, DataFrame]:
+    """Raw contracts, spend rows and key pairs -> (combined, unmatched).
+
+    The name map is the costly small part and is read several times, so it is
+    cut off from its lineage.
+    """
+    c, m = key_contracts(contracts, regkeys, null_keys), key_mi(mi)
+    mapping = shared_checkpoint(name_map(m, c, matcher))
+    combined = reconcile_two_pass(c, m, mapping=mapping, min_rows=min_rows, salts=salts)
+    return combined, residual_mi(c, m, mapping, residual)
+
+
 def spend_by_name(mi: DataFrame) -> DataFrame:
     """Spend rows reduced to one row per (key, name, group).
 
@@ -186,6 +213,6 @@ def spend_by_pair(names: DataFrame) -> DataFrame:
 
 __all__ = [
     "apply_name_map", "buyer_candidates", "first_non_null", "key_contracts", "key_mi", "matched_mi",
-    "name_map", "reconcile_exact", "reconcile_two_pass", "remap_pairs", "residual_mi",
+    "name_map", "reconcile", "reconcile_exact", "reconcile_two_pass", "remap_pairs", "residual_mi",
     "spend_by_name", "spend_by_pair", "split_unmatched", "unknown_names", "unmatched_mi",
 ]

@@ -37,10 +37,10 @@ def first_framework(df: DataFrame) -> DataFrame:
     return df.where(F.col("framework") == df.agg(F.min("framework")).scalar())
 
 
-def details(df: DataFrame) -> DataFrame:
+def details(df: DataFrame, *keep: str) -> DataFrame:
     """Re-nest the flat columns as a labelled ``details`` record."""
     labelled = F.struct(*[F.col(c).alias(label) for c, label in DETAIL_LABELS])
-    return df.select("framework", "name", labelled.alias("details"))
+    return df.select("framework", "name", labelled.alias("details"), *keep)
 
 
 def record_json(df: DataFrame) -> DataFrame:
@@ -48,18 +48,19 @@ def record_json(df: DataFrame) -> DataFrame:
     return details(df).select("framework", "name", F.to_json(F.struct("name", "framework", "details")).alias("record"))
 
 
-def records_by_framework(df: DataFrame, page_size: int = 10_000) -> DataFrame:
-    """``(framework, page, records)`` with records in name order.
+def records_by_framework(df: DataFrame, order: str, page_size: int = 10_000) -> DataFrame:
+    """``(framework, page, records)`` with records in ``order``, the source row order.
 
     A framework of up to ``page_size`` records is one page.  A larger one is
     spread over as many pages as it needs, so that no task ever holds a whole
-    framework; together the pages hold every record.
+    framework; together the pages hold every record.  Pages follow the row
+    order column, not the content, so copies of one record spread as well.
     """
     pages = df.where("framework is not null").groupBy("framework").agg(
         F.ceil(F.count(F.lit(1)) / page_size).cast("int").alias("_pages"))
-    page = F.pmod(F.xxhash64("name", *[f"details.`{label}`" for _, label in DETAIL_LABELS]), F.col("_pages"))
+    page = F.pmod(F.xxhash64(order), F.col("_pages")).cast("int")
+    listed = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), "name", "details")))
     return (
-        details(df).join(pages, "framework")
-        .groupBy("framework", page.cast("int").alias("page"))
-        .agg(F.sort_array(F.collect_list(F.struct("name", "details"))).alias("records"))
+        details(df, order).join(pages, "framework").groupBy("framework", page.alias("page"))
+        .agg(F.transform(listed, lambda r: F.struct(r["name"], r["details"])).alias("records"))
     )

@@ -162,7 +162,7 @@ _RECORD_SQL = f"""WITH {_REPORT_SQL} SELECT framework, name, buyer AS "Buyer nam
 @query(_RECORD_SQL)
 def framework_records(spark, sf):
     """Nested records, flattened again for the comparison."""
-    records = rp.records_by_framework(_status(spark, sf)).select("framework", F.explode("records").alias("r"))
+    records = rp.records_by_framework(_status(spark, sf), "o_orderkey").select("framework", F.explode("records").alias("r"))
     flat = records.select("framework", "r.name", *[
         F.col(f"r.details.`{label}`").alias(label) for _, label in DETAIL_LABELS])
     return _plain(flat)

@@ -9,28 +9,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.keys import nullable_key
 from ..functions.text import NA_TOKENS, na_to_null
 
 
 def read_table(
     spark: SparkSession, path: str, schema: str | T.StructType | None = None, fmt: str = "csv",
-    tokens: Sequence[str] = NA_TOKENS,
+    tokens: Sequence[str] = NA_TOKENS, multi_line: bool = False,
 ) -> DataFrame:
     """Typed scan of CSV (header, quoted commas) or a columnar format.
 
-    CSV with a declared schema keeps key columns as text, so leading zeros
-    survive; null tokens are applied to every text column.
+    CSV columns are found by name, read as text, freed of null tokens and then
+    cast, so leading zeros survive in text keys and ``3.0`` is a whole number.
+    Columns beyond the schema stay as text at the end.  ``multi_line`` allows
+    line breaks inside quotes, at the price of one task per file.
     """
     reader = spark.read
-    if fmt == "csv":
-        reader = reader.option("header", True).option("escape", '"').option("multiLine", False)
-        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    elif schema is not None:
-        reader = reader.schema(schema)
-    df = require_path(lambda: reader.format(fmt).load(path), path)
     if fmt != "csv":
-        return df
-    return normalise_na(df, tokens=tokens)
+        reader = reader if schema is None else reader.schema(schema)
+        return require_path(lambda: reader.format(fmt).load(path), path)
+    reader = reader.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    if schema is None:
+        reader = reader.option("inferSchema", True)
+    df = normalise_na(require_path(lambda: reader.csv(path), path), tokens=tokens)
+    return df if schema is None else cast_columns(df, schema)
+
+
+def cast_columns(df: DataFrame, schema: str | T.StructType) -> DataFrame:
+    """Text columns to a declared schema by name; further columns follow unchanged."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    missing = [f.name for f in fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"no columns {missing}; columns are {df.columns}")
+    typed = []
+    for f in fields:
+        c = F.col(f"`{f.name}`")
+        whole = isinstance(f.dataType, T.IntegralType)
+        typed.append((nullable_key(c) if whole else c).cast(f.dataType).alias(f.name))
+    declared = {f.name for f in fields}
+    return df.select(*typed, *[F.col(f"`{c}`") for c in df.columns if c not in declared])
 
 
 def require_path(load, *paths: str) -> DataFrame:
@@ -71,6 +88,18 @@ def with_ord(df: DataFrame, name: str, cols: Sequence[str]) -> DataFrame:
     return df.withColumn(name, F.col(cols[0]) if len(cols) == 1 else F.struct(*cols))
 
 
+def with_file_order(df: DataFrame, name: str) -> DataFrame:
+    """Row order of a table just read from files; use at once, before any shuffle.
+
+    The number depends on file splits only, so a re-run task gives it again.
+    """
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    return df.limit(n)
+
+
 def resolve_col(df: DataFrame, name: str) -> str:
     """Actual column name, ignoring case and outer blanks."""
     wanted = name.strip().lower()
@@ -92,9 +121,9 @@ def union_tables(spark: SparkSession, names: Sequence[str], cols: Sequence[str])
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
-                partition_by: Sequence[str] = ()) -> None:
-    """Parquet between jobs, CSV with header at the edges."""
-    w = df.write.mode(mode).partitionBy(*partition_by)
+                partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
+    """Parquet between jobs, CSV with header at the edges; sorted only here, if asked for."""
+    w = (df.orderBy(*sort_by) if sort_by else df).write.mode(mode).partitionBy(*partition_by)
     if fmt == "csv":
         w = w.option("header", True).option("escape", '"')
     w.format(fmt).save(path)

@@ -30,6 +30,12 @@ def test_csv_nulls_zeros_and_quotes(spark, tmp_path):
     f.write_text('reg,note,n\n007,"a, ""b""",1\nN/A,na,2\n"",NaN,\n')
     rows = tb.read_table(spark, str(f), "reg string, note string, n int").collect()
     assert [tuple(r) for r in rows] == [("007", 'a, "b"', 1), (None, "na", 2), (None, None, None)]
+    f2 = tmp_path / "y.csv"
+    f2.write_text("extra,n,reg,d\nx,12.0,007,2024-04-01\ny,NaN,,2024-04-02 00:00:00\n")
+    rows = tb.read_table(spark, str(f2), "reg string, n int, d date").collect()
+    assert [(r.reg, r.n, str(r.d), r.extra) for r in rows] == [("007", 12, "2024-04-01", "x"), (None, None, "2024-04-02", "y")]
+    with pytest.raises(ValueError, match="zz"):
+        tb.read_table(spark, str(f2), "zz string")
     inferred = tb.read_table(spark, str(f))
     assert dict(inferred.dtypes)["n"] == "int"
     filled = tb.normalise_na(tb.read_table(spark, str(f), "reg string, note string, n int"), ["reg"], fill="")
