@@ -103,7 +103,7 @@ def evaluate(
                for r in named.orderBy("prompt_file").collect()]
     if not configs:
         return []
-    preds = ev.predictions(rows, configs)
+    preds = tb.shared_checkpoint(ev.predictions(rows, configs))  # written and summarised
     tb.write_table(preds, f"{outdir}/predictions", mode="append")
     tb.write_summary(ev.run_summary(preds, rows, configs), f"{outdir}/summary", mode="append")
     done = spark.createDataFrame([tuple(getattr(c, k) for k in schemas.RUN_KEYS) for c in configs], schemas.RUN_LEDGER)

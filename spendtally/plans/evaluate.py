@@ -66,26 +66,25 @@ def offers(rows: DataFrame, config: RunConfig) -> DataFrame:
     return drawn.join(asked, "row_id").where(F.col("candidate") != F.col("input_name"))
 
 
-def _rule_no(name: Column, cand: Column) -> Column:
-    """First rule by which an offered pair fits, else null."""
-    nt, ct = t.name_tokens(name), t.name_tokens(cand)
-    inside = (F.size(F.array_except(ct, nt)) == 0) & (F.size(ct) < F.size(nt)) & (F.size(ct) > 0)
-    short, full = t.suffix_key(name), t.suffix_key(cand)
-    shortened = (F.length(short) > 0) & (
-        full.startswith(F.concat(short, F.lit(" "))) | full.endswith(F.concat(F.lit(" "), short)))
-    tests = {
-        "normalised": t.name_key(name) == t.name_key(cand),
-        "brackets": t.bracket_key(name) == t.bracket_key(cand),
-        "suffix": short == full,
-        "acronym": F.coalesce(F.array_contains(t.acronym_keys(cand), t.acronym_input(name)), F.lit(False)),
-        "descriptor": inside,
-        "shortened": shortened,
-    }
-    out = None
-    for i, rule in enumerate(RULES, 1):
-        if rule in tests:
-            out = F.when(tests[rule], i) if out is None else out.when(tests[rule], i)
-    return out
+def _with_rule_no(offered: DataFrame) -> DataFrame:
+    """Add the first rule by which an offered pair fits, else null."""
+    keys = {}
+    for side, col in (("a", F.col("input_name")), ("c", F.col("candidate"))):
+        keys |= {f"{side}_normalised": t.name_key(col), f"{side}_brackets": t.bracket_key(col),
+                 f"{side}_suffix": t.suffix_key(col)}
+    # each key is a column of its own, so that it is computed once per row
+    words = {"a_words": F.array_distinct(F.split("a_suffix", " ")), "c_words": F.array_distinct(F.split("c_suffix", " ")),
+             "a_acronym": t.acronym_input("input_name"), "c_acronyms": t.acronym_keys("candidate")}
+    filled = (F.length("a_suffix") > 0) & (F.length("c_suffix") > 0)
+    tests = {r: F.col(f"a_{r}") == F.col(f"c_{r}") for r in ("normalised", "brackets", "suffix")}
+    tests["acronym"] = F.coalesce(F.array_contains("c_acronyms", F.col("a_acronym")), F.lit(False))
+    tests["descriptor"] = filled & (F.size("c_words") < F.size("a_words")) & (
+        F.size(F.array_except("c_words", "a_words")) == 0)
+    tests["shortened"] = filled & (F.col("c_suffix").startswith(F.concat("a_suffix", F.lit(" ")))
+                                   | F.col("c_suffix").endswith(F.concat(F.lit(" "), F.col("a_suffix"))))
+    rule = F.coalesce(*[F.when(tests[r], i) for i, r in enumerate(RULES, 1) if r in tests])
+    return offered.withColumns(keys).withColumns(words).withColumn("rule_no", rule).select(
+        *offered.columns, "rule_no")
 
 
 def _score(offered: DataFrame, scorer: str) -> DataFrame:
@@ -103,9 +102,8 @@ def best_offers(offered: DataFrame, config: RunConfig) -> DataFrame:
     if config.scorer != "cascade":
         return best_per_input(_score(offered, config.scorer), ["row_id"],
                               config.similarity_threshold).select("row_id", "match")
-    ruled = offered.withColumn("rule_no", _rule_no(F.col("input_name"), F.col("candidate")))
     unique = (
-        ruled.where("rule_no is not null").groupBy("row_id", "rule_no")
+        _with_rule_no(offered).where("rule_no is not null").groupBy("row_id", "rule_no")
         .agg(F.count(F.lit(1)).alias("n"), F.min("candidate").alias("candidate")).where("n = 1")
         .groupBy("row_id").agg(F.min_by("candidate", "rule_no").alias("match"))
     )
@@ -153,15 +151,17 @@ def accuracy_by(preds: DataFrame, keys: Sequence[str] = ("error_type", "entity_t
 
 def run_summary(preds: DataFrame, rows: DataFrame, configs: Sequence[RunConfig]) -> DataFrame:
     """One record per run: parameters, overall accuracy and two accuracy maps."""
-    def by(key):
-        means = preds.groupBy("run_name", key).agg(F.avg("correct").alias("a"))
-        entries = F.map_from_entries(F.sort_array(F.collect_list(F.struct(key, "a"))))
-        return means.groupBy("run_name").agg(entries.alias(f"accuracy_by_{key}"))
-
-    total = preds.groupBy("run_name").agg(
-        F.avg("correct").alias("accuracy_overall"), F.count(F.lit(1)).alias("rows"))
+    keys = ["error_type", "entity_type"]
+    cells = preds.groupingSets([["run_name"], *[["run_name", k] for k in keys]], "run_name", *keys).agg(
+        F.count(F.lit(1)).alias("n"), F.avg("correct").alias("a"),
+        *[(F.grouping(k) == 0).alias(f"is_{k}") for k in keys])
+    overall = ~F.col("is_error_type") & ~F.col("is_entity_type")
+    # a handful of cells per run
+    out = cells.groupBy("run_name").agg(
+        F.max(F.when(overall, F.col("a"))).alias("accuracy_overall"), F.max(F.when(overall, F.col("n"))).alias("rows"),
+        *[F.map_from_entries(F.sort_array(F.collect_list(F.when(F.col(f"is_{k}"), F.struct(k, "a")))))
+          .alias(f"accuracy_by_{k}") for k in keys])
     pool_size = candidate_pool(rows).agg(F.count(F.lit(1))).scalar()
-    out = total.join(by("error_type"), "run_name").join(by("entity_type"), "run_name")
     fields = ["prompt_file", "prompt_sha", "dataset_sha", "similarity_threshold", "num_distractors", "seed"]
     for f in fields:
         value = F.lit(None)

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import nullable_key, pair_id
-from ..operators.aggregates import first_non_null
 from ..operators.joins import attach_supplier_key, member_rows
 from ..operators.matchers import Matcher
 from ..operators.skew import salted_inner_join
@@ -36,17 +35,41 @@ def key_mi(mi: DataFrame) -> DataFrame:
     )
 
 
-def _left_join_pairs(contracts: DataFrame, mi: DataFrame, min_rows: int, salts: int) -> DataFrame:
+def contract_index(contracts: DataFrame) -> DataFrame:
+    """One row per (buyer, PairID): all that matching needs to know of the contracts."""
+    return contracts.groupBy("buyer", "PairID").agg(
+        F.min("contract_ord").alias("contract_ord"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def pair_names(mi: DataFrame) -> DataFrame:
+    """One row per (PairID, key, name): all that matching needs to know of the spend rows."""
+    return mi.groupBy("PairID", "mi_supplier_key", "CustomerName").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _on_pair(df: DataFrame) -> DataFrame:
+    return df.withColumn("_pair", F.coalesce("PairID", F.lit(_NULL_PAIR)))
+
+
+def _pair_sizes(reduced: DataFrame) -> DataFrame:
+    return _on_pair(reduced).groupBy("_pair").agg(F.sum("n_rows").alias("n"))
+
+
+def _left_join_pairs(
+    contracts: DataFrame, mi: DataFrame, index: DataFrame, names: DataFrame, min_rows: int, salts: int
+) -> DataFrame:
     """contracts left join mi on PairID, built so that a hot pair is split on both sides.
 
     A left join can be split on its left side only, so matched rows come from a
     salted inner join and contracts without spend rows from an anti join
-    against one row per pair.
+    against one row per pair.  ``index`` and ``names`` are the reduced forms of
+    both sides and tell which pairs are hot.
     """
-    c = contracts.withColumn("_pair", F.coalesce("PairID", F.lit(_NULL_PAIR)))
-    m = mi.withColumn("_pair", F.coalesce("PairID", F.lit(_NULL_PAIR))).drop("PairID")
-    matched = salted_inner_join(c, m, "_pair", "contract_ord", "mi_ord", min_rows, salts)
-    alone = c.join(m.select("_pair").distinct(), "_pair", "left_anti")
+    c, m = _on_pair(contracts), _on_pair(mi).drop("PairID")
+    sizes = _pair_sizes(names)
+    matched = salted_inner_join(
+        c, m, "_pair", "contract_ord", "mi_ord", min_rows, salts,
+        left_sizes=_pair_sizes(index), right_sizes=sizes)
+    alone = c.join(sizes.select("_pair"), "_pair", "left_anti")
     return matched.unionByName(alone, allowMissingColumns=True).drop("_pair")
 
 
@@ -54,7 +77,7 @@ def reconcile_exact(
     contracts: DataFrame, mi: DataFrame, min_rows: int = 1_000_000, salts: int = 32
 ) -> DataFrame:
     """Pass 1: every contract with its spend rows, or once with nulls."""
-    return _left_join_pairs(contracts, mi, min_rows, salts)
+    return _left_join_pairs(contracts, mi, contract_index(contracts), pair_names(mi), min_rows, salts)
 
 
 def matched_mi(mi: DataFrame, contracts: DataFrame) -> DataFrame:
@@ -97,7 +120,10 @@ def unknown_names(mi: DataFrame, contracts: DataFrame) -> DataFrame:
 
 
 def name_map(mi: DataFrame, contracts: DataFrame, matcher: Matcher) -> DataFrame:
-    """``(CustomerName, AIMatchedName)`` for the unknown names that found a buyer."""
+    """``(CustomerName, AIMatchedName)`` for the unknown names that found a buyer.
+
+    Takes the keyed tables or their reduced forms.
+    """
     hits = matcher(unknown_names(mi, contracts), buyer_candidates(contracts))
     return hits.select(F.col("name").alias("CustomerName"), F.col("match").alias("AIMatchedName"))
 
@@ -107,10 +133,15 @@ def apply_name_map(df: DataFrame, mapping: DataFrame) -> DataFrame:
     return df.join(mapping, "CustomerName", "left")
 
 
-def remap_pairs(unknown: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Unknown-name rows that found a buyer, with the rebuilt ``PairID``."""
+def second_pairs(names: DataFrame, contracts: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Unmatched (PairID, name) with an unknown name that found a buyer.
+
+    ``names`` is reduced (``pair_names`` or ``spend_by_name``); ``OldPairID``
+    keeps the own key, ``PairID`` is rebuilt from the matched name.
+    """
+    unknown = split_unmatched(unmatched_mi(names, contracts), contracts)[1]
     return (
-        unknown.join(mapping, "CustomerName", "inner")
+        unknown.join(mapping, "CustomerName", "inner").withColumnRenamed("PairID", "OldPairID")
         .withColumn("PairID", pair_id("mi_supplier_key", "AIMatchedName"))
     )
 
@@ -128,17 +159,22 @@ def reconcile_two_pass(
     Needs a matcher, or a name map made earlier.  The pass-2 block lists every
     contract again when any unknown name exists, and is absent otherwise.
     """
+    if mapping is None and matcher is None:
+        raise ValueError("give a matcher or a mapping")
+    index, names = shared_checkpoint(contract_index(contracts)), shared_checkpoint(pair_names(mi))
     if mapping is None:
-        if matcher is None:
-            raise ValueError("give a matcher or a mapping")
-        mapping = name_map(mi, contracts, matcher)
-    first = reconcile_exact(contracts, mi, min_rows, salts).withColumn("match_pass", F.lit(1))
-    unknown = split_unmatched(unmatched_mi(mi, contracts), contracts)[1]
-    remapped = remap_pairs(unknown, mapping)
-    some = unknown_names(mi, contracts).exists()
+        mapping = shared_checkpoint(name_map(names, index, matcher))
+    pairs = shared_checkpoint(second_pairs(names, index, mapping))
+    first = _left_join_pairs(contracts, mi, index, names, min_rows, salts).withColumn("match_pass", F.lit(1))
+    # spend rows meet the reduced table once; whether a row is unmatched is known there already
+    moved = (
+        mi.withColumnRenamed("PairID", "OldPairID")
+        .join(pairs.select("OldPairID", "CustomerName", "AIMatchedName", "PairID"), ["OldPairID", "CustomerName"])
+        .drop("OldPairID")
+    )
     second = (
-        _left_join_pairs(contracts, remapped, min_rows, salts)
-        .where(some).withColumn("match_pass", F.lit(2))
+        _left_join_pairs(contracts, moved, index, pairs, min_rows, salts)
+        .where(unknown_names(names, index).exists()).withColumn("match_pass", F.lit(2))
     )
     return first.unionByName(second, allowMissingColumns=True)
 
@@ -159,12 +195,9 @@ def residual_mi(
         return left.where(unknown_names(mi, contracts).exists())
     if mapping is None:
         return left
-    buyers = contracts.select(F.col("buyer").alias("CustomerName"))
-    usable = member_rows(mapping, buyers, "CustomerName", keep=False)
-    tried = left.join(usable, "CustomerName", "left").withColumn(
-        "_second", F.when(F.col("AIMatchedName").isNotNull(), pair_id("mi_supplier_key", "AIMatchedName")))
-    pairs = contracts.select(F.col("PairID").alias("_k")).where("_k is not null").distinct()
-    return tried.join(pairs, F.col("_second") == F.col("_k"), "left_anti").drop("_second", "AIMatchedName")
+    found = matched_mi(second_pairs(pair_names(mi), contracts, mapping), contracts)
+    gone = found.select(F.col("OldPairID").alias("PairID"), "CustomerName")
+    return left.join(gone, ["PairID", "CustomerName"], "left_anti")
 
 
 def reconcile(
@@ -179,11 +212,11 @@ def reconcile(
 ) -> tuple[DataFrame, DataFrame]:
     """Raw contracts, spend rows and key pairs -> (combined, unmatched).
 
-    The name map is the costly small part and is read several times, so it is
-    cut off from its lineage.
+    The name map is small, costly and read several times, so it is cut off
+    from its lineage.
     """
     c, m = key_contracts(contracts, regkeys, null_keys), key_mi(mi)
-    mapping = shared_checkpoint(name_map(m, c, matcher))
+    mapping = shared_checkpoint(name_map(pair_names(m), contract_index(c), matcher))
     combined = reconcile_two_pass(c, m, mapping=mapping, min_rows=min_rows, salts=salts)
     return combined, residual_mi(c, m, mapping, residual)
 
@@ -212,7 +245,7 @@ def spend_by_pair(names: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "apply_name_map", "buyer_candidates", "first_non_null", "key_contracts", "key_mi", "matched_mi",
-    "name_map", "reconcile", "reconcile_exact", "reconcile_two_pass", "remap_pairs", "residual_mi",
+    "apply_name_map", "buyer_candidates", "contract_index", "key_contracts", "key_mi", "matched_mi",
+    "name_map", "pair_names", "reconcile", "reconcile_exact", "reconcile_two_pass", "residual_mi", "second_pairs",
     "spend_by_name", "spend_by_pair", "split_unmatched", "unknown_names", "unmatched_mi",
 ]

@@ -8,18 +8,26 @@ from pyspark.sql import functions as F
 from ..functions.status import amber_flag, has_spend, red_flag
 from ..operators.aggregates import count_unique, unpivot_metrics
 from ..schemas import SUMMARY_LABELS
-from .reconcile import unknown_names, unmatched_mi
+from .reconcile import residual_mi, unmatched_mi
 
 
-def unmatched_profile(contracts: DataFrame, mi: DataFrame, residual: str = "reference") -> DataFrame:
-    """Unmatched rows counted per (supplier name, customer name).
+def unmatched_profile(
+    contracts: DataFrame, mi: DataFrame, residual: str = "reference", mapping: DataFrame | None = None
+) -> DataFrame:
+    """Unmatched rows counted per (supplier name, customer name), with ``known_buyer``.
 
-    Counting comes before the anti join, so the join sees one row per pair and
-    names instead of every spend row.
+    Counting comes before the joins, so they see one row per pair and names
+    instead of every spend row.  ``"strict"`` leaves out what ``mapping``
+    matches and drops the mark.
     """
-    small = mi.groupBy("PairID", "SupplierName", "CustomerName").agg(F.count(F.lit(1)).alias("n_rows"))
+    small = mi.groupBy("PairID", "mi_supplier_key", "SupplierName", "CustomerName").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+    if residual == "strict":
+        return residual_mi(contracts, small, mapping, "strict")
+    buyers = contracts.select(F.col("buyer").alias("_b")).distinct().withColumn("known_buyer", F.lit(True))
     left = unmatched_mi(small, contracts)
-    return left.where(unknown_names(small, contracts).exists()) if residual == "reference" else left
+    return left.join(buyers, F.col("CustomerName").eqNullSafe(F.col("_b")), "left").drop("_b").fillna(
+        False, ["known_buyer"])
 
 
 def profile_rows(unmatched: DataFrame) -> DataFrame:
@@ -39,10 +47,7 @@ def summary_stats(contracts: DataFrame, lines: DataFrame, profile: DataFrame, mi
             F.count_if(red_flag("expired", "EvidencedSpend")).alias("no_spend_expired"),
             F.count_if(amber_flag("expired", "months_run", "EvidencedSpend", min_months))
             .alias("no_spend_running")),
-        profile.agg(
-            F.coalesce(F.sum("n_rows"), F.lit(0)).alias("unmatched_rows"),
-            count_unique("SupplierName").alias("unmatched_suppliers"),
-            count_unique("CustomerName").alias("unmatched_buyers")),
+        _unmatched(profile),
     ]
     out = None
     for p in parts:
@@ -52,5 +57,18 @@ def summary_stats(contracts: DataFrame, lines: DataFrame, profile: DataFrame, mi
     return out
 
 
+def _unmatched(profile: DataFrame) -> DataFrame:
+    """Figures of the unmatched rows; with ``known_buyer`` marks they are 0 unless a name is unknown."""
+    figures = {
+        "unmatched_rows": F.coalesce(F.sum("n_rows"), F.lit(0)),
+        "unmatched_suppliers": count_unique("SupplierName"),
+        "unmatched_buyers": count_unique("CustomerName"),
+    }
+    if "known_buyer" in profile.columns:
+        unknown = F.count_if(~F.col("known_buyer") & F.col("CustomerName").isNotNull()) > 0
+        figures = {k: F.when(unknown, v).otherwise(0) for k, v in figures.items()}
+    return profile.agg(*[v.alias(k) for k, v in figures.items()])
+
+
 def _position(columns, place):
     return F.element_at(F.array(*[F.lit(place[c]) for c in columns]), F.col("position"))

@@ -60,7 +60,16 @@ def test_no_unknown_name_means_no_second_block(keyed):
     assert rc.reconcile_two_pass(c, known, RuleMatcher()).count() == 7
     assert rc.residual_mi(c, known).count() == 0
     assert ords(rc.residual_mi(c, known, residual="strict")) == [7]
-    assert sm.unmatched_profile(c, known).count() == 0
+    lines = ll.line_level(c, known, "2026-03-15")
+
+    def unmatched(profile):
+        rows = sm.summary_stats(c, lines, profile).orderBy("position").collect()
+        return [r["Value"] for r in rows[2:5]]
+
+    assert unmatched(sm.unmatched_profile(c, known)) == [0, 0, 0]
+    assert unmatched(sm.unmatched_profile(c, known, "strict")) == [1, 1, 1]
+    mapping = rc.name_map(m, c, RuleMatcher())
+    assert unmatched(sm.unmatched_profile(c, m, "strict", mapping)) == [6, 5, 4]
 
 
 @pytest.mark.parametrize("day,at", [("2026-03-15", 2), ("2026-12-04", 4)])

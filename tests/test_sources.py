@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from spendtally import schemas
 from spendtally.operators.joins import attach_supplier_key, explode_join, with_default
-from spendtally.operators.skew import hot_keys, salted_inner_join
+from spendtally.operators.skew import hottest, key_sizes, salted_inner_join
 from spendtally.plans import reconcile as rc
 from spendtally.sources import database as db
 from spendtally.sources import tables as tb
@@ -125,7 +125,8 @@ def test_salted_join_equals_plain_join(spark):
     for rows in (1, 100, 10**6):
         got = salted_inner_join(a, b, "k", "x", "y", min_rows=rows, salts=4)
         assert got.count() == want.count() and got.exceptAll(want.select(got.columns)).count() == 0
-    assert hot_keys(a, "k", 100).collect()[0].k == "hot" and hot_keys(a, "k", 1, max_keys=5).count() == 5
+    sizes = key_sizes(a, "k")
+    assert hottest(sizes, "k", 100).collect()[0].k == "hot" and hottest(sizes, "k", 1, max_keys=5).count() == 5
 
 
 def test_checkpoint_keeps_rows(spark):
