@@ -72,6 +72,7 @@ def close_pairs(
     bound: EditBound,
     spare: int = DEFAULT_SPARE,
     split_rows: int = 10_000,
+    spread_rows: int = 64,
     splits: int = 16,
 ) -> DataFrame:
     """Pairs that may reach the threshold: ``(name, a, candidate, cand_ord, c, differing)``.
@@ -80,7 +81,9 @@ def close_pairs(
     ``differing`` is a lower bound on inserted plus deleted characters.
     ``inputs(name)`` and ``candidates(candidate, cand_ord)`` hold distinct
     names.  A name is never paired with itself.  A piece shared by more than
-    ``split_rows`` candidates is joined in ``splits`` parts.
+    ``split_rows`` candidates has them split in ``splits`` parts; words common
+    among candidates are common among inputs too, so the inputs of a piece are
+    spread over one more part per ``spread_rows`` candidates, up to ``splits``.
     """
     pieces = candidate_pieces(candidates, bound, spare)
     common = (
@@ -88,6 +91,7 @@ def close_pairs(
         .where(F.col("_n") >= COMMON_PIECE_ROWS)
         .orderBy(F.desc("_n"), "piece").limit(MAX_HOT_KEYS)
         .withColumn("_parts", F.when(F.col("_n") >= split_rows, splits).otherwise(1))
+        .withColumn("_spread", F.least(F.lit(splits), F.ceil(F.col("_n") / spread_rows)).cast("int"))
     )
     rarest = Window.partitionBy("candidate").orderBy(F.coalesce("_n", F.lit(0)), "piece_no")
     kept = (
@@ -95,13 +99,15 @@ def close_pairs(
         .withColumn("_r", F.row_number().over(rarest))
         .where(F.col("_r") <= F.expr(bound.pieces_needed("cl")))
         .withColumn("_part", F.pmod(F.xxhash64("candidate"), F.coalesce("_parts", F.lit(1))).cast("int"))
-        .select("piece", "_part", "candidate", "cand_ord", "c", "cl", "c0", "c1", "pos")
+        .withColumn("_copy", F.explode_outer(F.expr("sequence(0, coalesce(_spread, 1) - 1)")))
+        .select("piece", "_part", "_copy", "candidate", "cand_ord", "c", "cl", "c0", "c1", "pos")
     )
     grams = (
         input_substrings(inputs, bound, spare)
-        .join(F.broadcast(common.where("_parts > 1").select("piece", "_parts")), "piece", "left")
+        .join(F.broadcast(common.where("_parts > 1 or _spread > 1").select("piece", "_parts", "_spread")), "piece", "left")
+        .withColumn("_copy", F.pmod(F.xxhash64("name"), F.coalesce("_spread", F.lit(1))).cast("int"))
         .withColumn("_part", F.explode_outer(F.expr("sequence(0, coalesce(_parts, 1) - 1)")))
-        .select("piece", "_part", "name", "a", "al", "a0", "a1", "at")
+        .select("piece", "_part", "_copy", "name", "a", "al", "a0", "a1", "at")
     )
     shift, limit = "(at - pos)", bound.tolerance("al", "cl")
     differing = "bit_count(a0 ^ c0) + bit_count(a1 ^ c1)"
@@ -116,9 +122,10 @@ def close_pairs(
     # few bytes go in and many pairs come out, so the parallelism is set here
     # rather than left to a size-based merge of shuffle partitions
     n = int(inputs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grams = grams.repartition(n, "piece", "_part")
-    k = kept.withColumnsRenamed({"piece": "_p", "_part": "_q"}).repartition(n, "_p", "_q")
+    grams = grams.repartition(n, "piece", "_part", "_copy")
+    k = kept.withColumnsRenamed({"piece": "_p", "_part": "_q", "_copy": "_c"}).repartition(n, "_p", "_q", "_c")
+    same = (F.col("piece") == F.col("_p")) & (F.col("_part") == F.col("_q")) & (F.col("_copy") == F.col("_c"))
     return (
-        grams.join(k, (F.col("piece") == F.col("_p")) & (F.col("_part") == F.col("_q")) & F.expr(near))
+        grams.join(k, same & F.expr(near))
         .select("name", "a", "candidate", "cand_ord", "c", F.expr(differing).alias("differing"))
     )

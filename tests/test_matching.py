@@ -95,8 +95,8 @@ def test_hot_pieces_are_split_without_loss(spark):
     def pairs(**kw):
         return {(r.name, r.candidate) for r in close_pairs(names(spark, asked), cands(spark, base), bound, **kw).collect()}
 
-    plain = pairs(split_rows=10**6)
-    assert plain and plain == pairs(split_rows=8, splits=5)
+    plain = pairs(split_rows=10**6, spread_rows=10**6)
+    assert plain and plain == pairs(split_rows=8, splits=5) == pairs(split_rows=9, spread_rows=2, splits=3)
 
 
 def test_ratio_argument_order(spark):
