@@ -155,16 +155,55 @@ def alias_match(spark, sf):
     return _result(RuleMatcher(("alias",), aliases)(asked, _candidates(spark, sf)))
 
 
-@query()
-def rule_cascade(spark, sf):
-    """Every kind of dirt at once: rules first, matching-blocks ratio for the rest."""
+_DIRTY_SQL = """CASE length(name) % 4 WHEN 0 THEN upper(name) WHEN 1 THEN name || ' (UK) Ltd'
+    WHEN 2 THEN substr(name, 1, 2) || substr(name, 4) ELSE name || ' public body' END"""
+
+
+def _dirty_names(spark, sf):
+    """Every kind of dirt at once."""
     size = F.pmod(F.length("name"), F.lit(4))
     dirty = (
         F.when(size == 0, F.upper("name")).when(size == 1, F.concat("name", F.lit(" (UK) Ltd")))
         .when(size == 2, F.expr("concat(substr(name, 1, 2), substr(name, 4))"))
         .otherwise(F.concat("name", F.lit(" public body"))))
-    asked = _names(spark, sf).select(dirty.alias("name")).distinct()
-    return _result(CascadeMatcher()(asked, _candidates(spark, sf)))
+    return _names(spark, sf).select(dirty.alias("name")).distinct()
+
+
+@query()
+def rule_cascade(spark, sf):
+    """Rules first, matching-blocks ratio for the rest."""
+    return _result(CascadeMatcher()(_dirty_names(spark, sf), _candidates(spark, sf)))
+
+
+@query(f"""WITH {sh.PART_NAMES_SQL}, asked AS (SELECT DISTINCT {_DIRTY_SQL} AS name FROM names),
+  a AS (SELECT name, {_NAME_KEY.replace('{x}', 'name')} AS k1, {_BRACKET_KEY.replace('{x}', 'name')} AS k2,
+    {_SUFFIX_KEY.replace('{x}', 'name')} AS k3 FROM asked),
+  c AS (SELECT name AS match, {_NAME_KEY.replace('{x}', 'name')} AS k1, {_BRACKET_KEY.replace('{x}', 'name')} AS k2,
+    {_SUFFIX_KEY.replace('{x}', 'name')} AS k3 FROM names),
+  fits AS (SELECT name, match, len(list_distinct(string_split(c.k3, ' '))) AS fit FROM a JOIN c
+    ON list_has_all(string_split(a.k3, ' '), string_split(c.k3, ' '))
+      AND len(list_distinct(string_split(c.k3, ' '))) < len(list_distinct(string_split(a.k3, ' ')))),
+  hits AS (
+    SELECT 1 AS rule_no, 'normalised' AS rule, name, match FROM a JOIN c USING (k1) WHERE name <> match
+    UNION ALL SELECT 2, 'brackets', name, match FROM a JOIN c USING (k2) WHERE name <> match
+    UNION ALL SELECT 3, 'suffix', name, match FROM a JOIN c USING (k3) WHERE name <> match
+    UNION ALL SELECT 6, 'descriptor', name, match FROM fits QUALIFY fit = max(fit) OVER (PARTITION BY name)
+    UNION ALL SELECT 7, 'shortened', name, match FROM a JOIN c
+      ON starts_with(c.k3, a.k3 || ' ') OR ends_with(c.k3, ' ' || a.k3)),
+  single AS (SELECT rule_no, rule, name, min(match) AS match FROM hits GROUP BY rule_no, rule, name
+    HAVING count(DISTINCT match) = 1),
+  ruled AS (SELECT name, match, 1.0::DOUBLE AS score, rule FROM single
+    QUALIFY row_number() OVER (PARTITION BY name ORDER BY rule_no) = 1),
+  scored AS (SELECT a.name, n.name AS match, 1.0::DOUBLE - levenshtein(lower(a.name), lower(n.name))::DOUBLE
+      / greatest(length(a.name), length(n.name))::DOUBLE AS score
+    FROM asked a CROSS JOIN names n WHERE a.name <> n.name AND a.name NOT IN (SELECT name FROM ruled))
+  SELECT name, match, score, rule FROM ruled
+  UNION ALL
+  SELECT name, match, round(score, 9), 'levenshtein' FROM scored WHERE score >= 0.85
+  QUALIFY row_number() OVER (PARTITION BY name ORDER BY score DESC, match) = 1""")
+def rules_then_levenshtein(spark, sf):
+    matcher = CascadeMatcher((RuleMatcher(), LevenshteinMatcher()))
+    return _result(matcher(_dirty_names(spark, sf), _candidates(spark, sf)))
 
 
 # ---- answers -----------------------------------------------------------------

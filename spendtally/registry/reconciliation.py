@@ -360,14 +360,19 @@ def null_key_drop(spark, sf):
 
 
 @query("""WITH lists AS (
-    SELECT l_orderkey, to_json(list_sort(list(DISTINCT l_suppkey))) AS supplier_ids FROM lineitem GROUP BY l_orderkey),
-  ids AS (SELECT l_orderkey, unnest(from_json(supplier_ids, '["VARCHAR"]')) AS id FROM lists)
-  SELECT l_orderkey, s_suppkey AS supplier_id, s_name FROM ids JOIN supplier ON id::BIGINT = s_suppkey""")
+    SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber = 7 THEN NULL WHEN l_quantity = 50 THEN '[]'
+      ELSE '[' || l_suppkey || ',"' || l_partkey || '"]' END AS supplier_ids FROM lineitem),
+  ids AS (SELECT * EXCLUDE (supplier_ids), unnest(from_json(supplier_ids, '["VARCHAR"]')) AS id FROM lists)
+  SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_partkey, s_suppkey AS supplier_id, s_name
+  FROM ids JOIN supplier ON id::BIGINT = s_suppkey""")
 def json_explode_join(spark, sf):
-    lists = sh.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.to_json(F.array_sort(F.collect_set("l_suppkey"))).alias("supplier_ids"))
+    number, text = F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string")
+    ids = F.when(F.col("l_linenumber") == 7, None).when(F.col("l_quantity") == 50, "[]").otherwise(
+        F.concat(F.lit("["), number, F.lit(',"'), text, F.lit('"]')))
+    lists = sh.table(spark, sf, "lineitem").select(
+        "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "l_partkey", ids.alias("supplier_ids"))
     dim = sh.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("supplier_id"), "s_name")
-    return explode_join(lists, "supplier_ids", dim, "supplier_id").select("l_orderkey", "supplier_id", "s_name")
+    return explode_join(lists, "supplier_ids", dim, "supplier_id").drop("supplier_ids")
 
 
 @query("""SELECT p_partkey, p_brand FROM part WHERE p_brand LIKE 'Brand#10%' OR p_brand LIKE 'Brand#11%'

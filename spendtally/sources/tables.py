@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -141,10 +142,11 @@ def shared_checkpoint(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     sc = spark.sparkContext
-    if not spark.conf.get("spark.checkpoint.dir", None) and sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        import tempfile
-
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spendtally-"))
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+            folder = tempfile.mkdtemp(prefix="spendtally-")
+        sc.setCheckpointDir(folder)
     return df.checkpoint()
