@@ -14,7 +14,7 @@ for p in (ROOT, os.path.join(ROOT, "tools"), os.path.dirname(os.path.abspath(__f
 def spark():
     s = (
         SparkSession.builder.master("local[8]").appName("tests")
-        .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
