@@ -44,7 +44,7 @@ def sample_candidates(
     k: int = 20,
     seed: int = 42,
 ) -> DataFrame:
-    """Offer rows ``(id_cols, candidate, cand_ord)``.
+    """Offer rows ``(id_cols, name, candidate, cand_ord)``.
 
     Each input gets ``k`` others drawn from the pool (truth excluded); a
     positive row also gets its truth.  ``cand_ord`` is the seeded shuffle order
@@ -54,12 +54,15 @@ def sample_candidates(
     """
     numbered = dense_ordinals(pool.where(F.trim(candidate) != ""), candidate)
     pool_size = numbered.agg(F.count(F.lit(1))).scalar()
-    ids = list(id_cols)
-    row_key = F.concat_ws("|", *[F.col(c).cast("string") for c in ids], F.col(name))
+    ids = [*id_cols, name]
+    row_key = F.concat_ws("|", *[F.col(c).cast("string") for c in ids])
+    n = int(inputs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     base = (
-        inputs.select(*ids, name, truth, negative)
+        inputs.select(*ids, truth, negative)
         .join(numbered.select(F.col(candidate).alias(truth), F.col("ordinal").alias("_truth_ord")),
               truth, "left")
+        # a row opens into k: spread rows evenly, whatever their size or truth
+        .repartition(n, *id_cols)
         .withColumn("_key", row_key)
         .withColumn("_size", pool_size - F.when(F.col("_truth_ord").isNull(), 0).otherwise(1))
         .withColumn("_draw", draw_ordinals(seed, F.col("_key"), F.col("_size"), k))

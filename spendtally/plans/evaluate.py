@@ -62,8 +62,7 @@ def offers(rows: DataFrame, config: RunConfig) -> DataFrame:
     drawn = sample_candidates(
         rows, candidate_pool(rows), ["row_id"], "input_name", "ground_truth", "negative",
         k=config.num_distractors, seed=config.seed)
-    asked = rows.select("row_id", "input_name")
-    return drawn.join(asked, "row_id").where(F.col("candidate") != F.col("input_name"))
+    return drawn.where(F.col("candidate") != F.col("input_name"))
 
 
 def _with_rule_no(offered: DataFrame) -> DataFrame:

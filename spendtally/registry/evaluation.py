@@ -123,7 +123,8 @@ def sample_candidates(spark, sf):
     from ..operators.sampling import sample_candidates as sample
 
     rows = _rows(spark, sf)
-    return sample(rows, ev.candidate_pool(rows), ["row_id"], "input_name", "ground_truth", "negative", k=K, seed=SEED)
+    drawn = sample(rows, ev.candidate_pool(rows), ["row_id"], "input_name", "ground_truth", "negative", k=K, seed=SEED)
+    return drawn.select("row_id", "candidate", "cand_ord")
 
 
 @query(f"""WITH {_PREDICTED_SQL} SELECT 'levenshtein' AS run_name, row_id, input_name, ground_truth, prediction,
