@@ -11,10 +11,6 @@ from ..functions.json_text import json_ids
 from ..functions.text import trim_all
 
 
-def null_safe_equal(left: DataFrame, right: DataFrame, lk: str, rk: str) -> Column:
-    return left[lk].eqNullSafe(right[rk])
-
-
 def attach_supplier_key(
     contracts: DataFrame,
     regkeys: DataFrame,

@@ -10,12 +10,12 @@ _PARTS = (reconciliation, scalars, matching, evaluation, reporting)
 def all_queries():
     out = {}
     for part in _PARTS:
-        out.update(part.QUERIES)
+        out.update(part.query.queries)
     return out
 
 
 def all_sql():
     out = {}
     for part in _PARTS:
-        out.update(part.SQL)
+        out.update(part.query.sql)
     return out

@@ -11,9 +11,9 @@ from ..plans import requests as rq
 from ..schemas import RUN_KEYS
 from ..sources.prompts import file_stem
 from . import shapes as sh
+from .book import Book
 
-QUERIES = {}
-SQL = {}
+query = Book()
 
 K, SEED = 20, 42
 PROMPT = "Input name:\n{input_name}\n\nCandidate names:\n{candidates}\n\nAnswer with one candidate or None."
@@ -67,15 +67,6 @@ predicted AS (
 """
 
 
-def query(sql=None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            SQL[fn.__name__] = sql
-        return fn
-    return add
-
-
 def _benchmark(spark, sf):
     """Parts as a labelled set in the exchanged column layout."""
     name, kind = F.concat_ws(" ", "p_name", "p_brand", F.lower("p_type")), F.col("p_size") % 6

@@ -9,18 +9,9 @@ from ..functions.json_text import response_match
 from ..operators.joins import keep_valid
 from ..operators.matchers import CascadeMatcher, LevenshteinMatcher, RatioMatcher, RuleMatcher
 from . import shapes as sh
+from .book import Book
 
-QUERIES = {}
-SQL = {}
-
-
-def query(sql=None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            SQL[fn.__name__] = sql
-        return fn
-    return add
+query = Book()
 
 
 def _names(spark, sf):

@@ -11,24 +11,15 @@ from ..plans import line_level as ll
 from ..plans import reconcile as rc
 from ..plans import summary as sm
 from . import shapes as sh
+from .book import Book
 
-QUERIES = {}
-SQL = {}
+query = Book()
 
 
 def _keyed(spark, sf):
     return rc.key_contracts(sh.contracts(spark, sf), sh.regkeys(spark, sf)), rc.key_mi(sh.mi(spark, sf))
 
 
-def query(sql=None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            SQL[fn.__name__] = sql
-        return fn
-    return add
-
-
 # ---- line level --------------------------------------------------------------
 
 _LATEST_SQL = """
@@ -325,9 +316,6 @@ def first_non_null_and_sums(spark, sf):
         count_unique("flag").cast("bigint").alias("flags"))
 
 
-_SUPPLIER_REG = "CASE WHEN s_acctbal > 0 THEN 'N' || s_nationkey END"
-
-
 def _null_join_sides(spark, sf):
     reg = F.when(F.col("s_acctbal") > 0, F.concat(F.lit("N"), F.col("s_nationkey").cast("string")))
     keys = sh.table(spark, sf, "supplier").select(

@@ -8,18 +8,9 @@ from ..plans import enrich as en
 from ..plans import report as rp
 from ..schemas import DETAIL_LABELS
 from . import shapes as sh
+from .book import Book
 
-QUERIES = {}
-SQL = {}
-
-
-def query(sql=None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            SQL[fn.__name__] = sql
-        return fn
-    return add
+query = Book()
 
 
 # ---- customer groups ---------------------------------------------------------

@@ -8,18 +8,9 @@ from ..functions import dates, keys, text
 from ..operators.aggregates import fingerprint as table_fingerprint
 from ..sources.tables import normalise_na
 from . import shapes as sh
+from .book import Book
 
-QUERIES = {}
-SQL = {}
-
-
-def query(sql=None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            SQL[fn.__name__] = sql
-        return fn
-    return add
+query = Book()
 
 
 def _line_id():
@@ -149,7 +140,6 @@ def contract_dates(spark, sf):
         dates.expired("e", sh.AS_OF, inclusive=True).alias("expired_on"))
 
 
-_DIGEST_SQL = """md5(concat_ws('|', {parts}))"""
 _FP_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
 _FP_PARTS = ", ".join(f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in _FP_COLS)
 
