@@ -1,9 +1,9 @@
 """Similarity-join blocking that loses no qualifying pair.
 
-A candidate that may take at most T edits is cut into T + 1 + ``spare`` pieces.
-Each edit harms at most one piece, so at least 1 + ``spare`` pieces appear
-unchanged in any qualifying input (the pigeonhole rule of PassJoin, Li et al.,
-VLDB 2011).  Any ``spare`` pieces may therefore be ignored: the most common
+A candidate that may take at most T edits is cut into T + 1 pieces and up to
+``spare`` more.  Each edit harms at most one piece, so of any T + 1 pieces one
+appears unchanged in a qualifying input (the pigeonhole rule of PassJoin, Li et
+al., VLDB 2011).  The other pieces may therefore be ignored: the most common
 ones are, which keeps words that every name shares ("council", "department")
 out of the join.  Pieces meet the inputs' substrings in one equi-join; length
 and position limits discard most chance meetings inside it.
@@ -21,13 +21,17 @@ from .scoring import EditBound, char_signature, folded
 from .skew import MAX_HOT_KEYS
 
 # Pieces that may be ignored; measured best on names made of shared words.
-DEFAULT_SPARE = 3
+DEFAULT_SPARE = 8
+# Spare pieces are not cut shorter than this.
+MIN_PIECE_LENGTH = 3
 # A piece counts as common from this many candidates on.
 COMMON_PIECE_ROWS = 8
 
 
 def _piece_count(bound: EditBound, n: str, spare: int) -> str:
-    return f"least({n}, {bound.pieces_needed(n)} + {spare})"
+    """Pieces of a text of length ``n``: the needed ones, and spare ones while pieces keep their length."""
+    need = bound.pieces_needed(n)
+    return f"greatest({need}, least({need} + {spare}, {n} div {MIN_PIECE_LENGTH}))"
 
 
 def candidate_pieces(candidates: DataFrame, bound: EditBound, spare: int) -> DataFrame:
