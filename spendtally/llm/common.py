@@ -38,6 +38,16 @@ def cut(df: DataFrame) -> DataFrame:
     return shared_checkpoint(df)
 
 
+def plain_id(doc_id: Column) -> list[Column]:
+    """An id for pandas, which has no null longs: ``id`` (0 for null) and ``has_id``."""
+    return [F.coalesce(doc_id.cast("long"), F.lit(0).cast("long")).alias("id"), doc_id.isNotNull().alias("has_id")]
+
+
+def whole_id() -> Column:
+    """The id from the columns of ``plain_id``."""
+    return F.when(F.col("has_id"), F.col("id")).alias("doc_id")
+
+
 def keep_columns(df: DataFrame, added: list[str]) -> list[str]:
     """Columns of ``df`` that stay beside ``added`` ones; an added column replaces its namesake."""
     taken = {c.lower() for c in added}

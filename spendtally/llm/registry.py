@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, sharding
+from . import mixing, neardup, sharding
 from ..registry.book import Book
 from .common import table
 
@@ -14,6 +14,11 @@ def op1_sharding(spark, sf_dir):
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
 
 
+@query(neardup.NEAR_DUPLICATE_SQL)
+def op2_near_duplicates(spark, sf_dir):
+    return neardup.near_duplicate_digest(table(spark, sf_dir, "documents"))
+
+
 @query(mixing.MIX_SQL)
 def op10_mixing(spark, sf_dir):
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
