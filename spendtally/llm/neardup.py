@@ -16,8 +16,10 @@ from .graph import components, in_filter, key_filter, row_key
 BANDS, ROWS = 25, 5
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
-#: A pair is confirmed on its full sets if its sketches tell a similarity of at least threshold - SLACK (over five standard errors).
-SLACK = 0.25
+#: A pair is confirmed on its full sets if its sketches tell a similarity of at least threshold - SLACK (over four standard errors).
+SLACK = 0.16
+#: Rounds in which sets meet leaders drawn at random, before all that is left is compared.
+ROUNDS = 2
 #: Shingles that are sampled at once.
 CHUNK = 1 << 16
 
@@ -139,7 +141,6 @@ class _Search:
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose full sets are similar enough; the sets are read again for these rows only."""
-        pairs = cut(pairs)
         keys = self.sets.select("node", "row_key")
         needed = cut(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(keys, "node"))
         spark = pairs.sparkSession
@@ -152,33 +153,52 @@ class _Search:
         return cut(pairs.join(a, "a").join(b, "b").mapInPandas(_confirm(self.percent), "a long, b long"))
 
     def links(self) -> DataFrame:
-        """All links that a shared band shows, less those within what is linked already.
+        """Links that join all sets which links of pairs with a shared band join.
 
-        First every set meets the smallest node of each of its buckets.  Then, in
-        buckets that still hold several components, all sets outside the bucket's
-        largest component meet all sets of other components.  Only pairs that pass
-        the sketch test leave the join.
+        First every set meets the smallest node of each of its buckets.  In buckets
+        that still hold several components, a few rounds let the sets meet a leader
+        drawn anew for every bucket.  At last all sets outside a bucket's largest
+        component meet all sets of its other components, so that no link is lost.
+        Only pairs that pass the sketch test leave a join.
         """
         bands = self.sets.select("node", F.explode("bands").alias("band"))
         leaders = bands.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
         shared = cut(bands.join(leaders, "band").select("band", "node", "leader"))
         info = self.sets.select("node", "n_shingles", "odd")
-        pairs = shared.filter("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
         x, y = info.alias("x"), info.alias("y")
-        pairs = pairs.join(y, F.col("b") == F.col("y.node")).join(x, (F.col("a") == F.col("x.node")) & self.similar("x", "y"))
-        first = self.confirmed(pairs.select("a", "b"))
-
-        roots = cut(components(first))
-        members = shared.select("band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        sizes = members.groupBy("band", "root").agg(F.count("*").alias("n"))
-        largest = sizes.groupBy("band").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
-        open_ = members.join(largest.select("band", F.col("top.root").alias("top")), "band").join(info, "node")
-        open_ = cut(open_)
-        x, y = open_.filter("root != top").alias("x"), open_.alias("y")
-        once = (F.col("y.root") == F.col("y.top")) | (F.col("x.node") < F.col("y.node"))
-        rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & once & self.similar("x", "y"))
-        rest = rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        return first.union(self.confirmed(rest))
+
+        def like(pairs):
+            met = pairs.join(y, F.col("b") == F.col("y.node")).join(x, (F.col("a") == F.col("x.node")) & self.similar("x", "y"))
+            return met.select("a", "b")
+
+        tried = cut(like(shared.filter("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()))
+        links = self.confirmed(tried)
+        shared = shared.select("band", "node")
+        for turn in range(ROUNDS + 1):
+            roots = cut(components(links))
+            members = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            sizes = members.groupBy("band", "root").agg(F.count("*").alias("n"))
+            largest = sizes.groupBy("band").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
+            left = cut(members.join(largest.select("band", F.col("top.root").alias("top")), "band"))
+            if left.isEmpty():
+                break
+            if turn < ROUNDS:
+                drawn = left.groupBy("band").agg(F.min(F.struct(F.xxhash64("node", "band", F.lit(turn)).alias("h"), "node", "root")).alias("leader"))
+                met = left.join(drawn, "band").filter("root != leader.root")
+                pairs = met.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b"))
+                pairs = like(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
+            else:
+                left = left.join(info, "node")
+                u, v = left.filter("root != top").alias("x"), left.alias("y")
+                once = (F.col("y.root") == F.col("y.top")) | (F.col("x.node") < F.col("y.node"))
+                met = u.join(v, (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & once & self.similar("x", "y"))
+                pairs = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+                pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            pairs = cut(pairs)
+            stars = roots.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+            links = cut(stars.union(self.confirmed(pairs)))
+            tried = cut(tried.union(pairs))
+        return links
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
