@@ -18,8 +18,8 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
 #: A pair is confirmed on its full sets if its sketches tell a similarity of at least threshold - SLACK (over four standard errors).
 SLACK = 0.16
-#: Rounds in which sets meet leaders drawn at random, before all that is left is compared.
-ROUNDS = 2
+#: Sets on either side of a block that one task compares.
+BLOCK = 512
 #: Shingles that are sampled at once.
 CHUNK = 1 << 16
 
@@ -126,6 +126,46 @@ def _confirm(percent: int):
     return confirm
 
 
+def _block_links(percent: int, limit: int):
+    def find(rows: pd.DataFrame) -> pd.DataFrame:
+        outer, every = rows[rows["outer"]], rows[~rows["outer"]]
+        out: list[tuple[int, int]] = []
+        if not len(outer) or not len(every):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        parent = {r: r for r in rows["root"]}
+
+        def top(r):
+            while parent[r] != r:
+                parent[r] = parent[parent[r]]
+                r = parent[r]
+            return r
+
+        sets = [np.frombuffer(s, np.uint64) for s in every["shingles"]]
+        sizes, sketches = every["n_shingles"].to_numpy(), np.stack(every["odd"].to_numpy()).view(np.uint64)
+        nodes, roots = every["node"].to_numpy(), every["root"].to_numpy()
+        for node, root, n, odd, own in zip(outer["node"], outer["root"], outer["n_shingles"], outer["odd"], outer["shingles"]):
+            own = np.frombuffer(own, np.uint64)
+            differ = np.bitwise_count(sketches ^ odd.view(np.uint64)).sum(axis=1)
+            may = np.flatnonzero((differ <= limit) & (np.minimum(sizes, n) * 100 >= np.maximum(sizes, n) * percent))
+            may, step = may[np.argsort(differ[may], kind="stable")], 4
+            while len(may):
+                here = top(root)
+                may = may[[top(r) != here for r in roots[may]]]
+                now, may, step = may[:step], may[step:], step * 4
+                if not len(now):
+                    break
+                flat = np.concatenate([sets[k] for k in now])
+                at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+                both = np.add.reduceat((own[at] == flat).astype(np.int64), np.concatenate(([0], np.cumsum(sizes[now])[:-1])))
+                for k in now[100 * both >= percent * (sizes[now] + n - both)]:
+                    if top(roots[k]) != top(root):
+                        parent[top(roots[k])] = top(root)
+                        out.append((node, nodes[k]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return find
+
+
 class _Search:
     """Links between distinct shingle sets; ``sets`` has node, row_key, n_shingles, bands, odd."""
 
@@ -139,15 +179,17 @@ class _Search:
         n, m = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
         return (F.least(n, m) * 100 >= F.greatest(n, m) * self.percent) & (differ <= self.limit)
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose full sets are similar enough; the sets are read again for these rows only."""
-        keys = self.sets.select("node", "row_key")
-        needed = cut(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(keys, "node"))
-        spark = pairs.sparkSession
-        bitmap = spark.sparkContext.broadcast(key_filter(needed, "row_key"))
+    def full_sets(self, nodes: DataFrame) -> DataFrame:
+        """(node, shingles) of some nodes; texts are read again, and others are passed over by a bitmap of keys."""
+        needed = cut(nodes.join(self.sets.select("node", "row_key"), "node"))
+        bitmap = self.docs.sparkSession.sparkContext.broadcast(key_filter(needed, "row_key"))
         rows = self.docs.select(row_key().alias("row_key"), "text")
         sets = rows.mapInPandas(_full_sets(self.shingle_words, bitmap), "row_key long, shingles binary").dropDuplicates(["row_key"])
-        sets = needed.join(sets, "row_key").select("node", "shingles")
+        return needed.join(sets, "row_key").select("node", "shingles")
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose full sets are similar enough."""
+        sets = self.full_sets(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct())
         a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
         b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
         return cut(pairs.join(a, "a").join(b, "b").mapInPandas(_confirm(self.percent), "a long, b long"))
@@ -155,50 +197,37 @@ class _Search:
     def links(self) -> DataFrame:
         """Links that join all sets which links of pairs with a shared band join.
 
-        First every set meets the smallest node of each of its buckets.  In buckets
-        that still hold several components, a few rounds let the sets meet a leader
-        drawn anew for every bucket.  At last all sets outside a bucket's largest
-        component meet all sets of its other components, so that no link is lost.
-        Only pairs that pass the sketch test leave a join.
+        First every set meets the smallest node of each of its buckets.  Buckets that
+        still hold several components are taken together by their largest component
+        ("top"): all sets outside it meet all sets of these buckets, block by block.
+        A block compares sketches, confirms the closest first, passes over what is
+        joined already, and sends only links that join components.
         """
         bands = self.sets.select("node", F.explode("bands").alias("band"))
         leaders = bands.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
         shared = cut(bands.join(leaders, "band").select("band", "node", "leader"))
         info = self.sets.select("node", "n_shingles", "odd")
         x, y = info.alias("x"), info.alias("y")
-
-        def like(pairs):
-            met = pairs.join(y, F.col("b") == F.col("y.node")).join(x, (F.col("a") == F.col("x.node")) & self.similar("x", "y"))
-            return met.select("a", "b")
-
-        tried = cut(like(shared.filter("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()))
-        links = self.confirmed(tried)
-        shared = shared.select("band", "node")
-        for turn in range(ROUNDS + 1):
-            roots = cut(components(links))
-            members = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            sizes = members.groupBy("band", "root").agg(F.count("*").alias("n"))
-            largest = sizes.groupBy("band").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
-            left = cut(members.join(largest.select("band", F.col("top.root").alias("top")), "band"))
-            if left.isEmpty():
-                break
-            if turn < ROUNDS:
-                drawn = left.groupBy("band").agg(F.min(F.struct(F.xxhash64("node", "band", F.lit(turn)).alias("h"), "node", "root")).alias("leader"))
-                met = left.join(drawn, "band").filter("root != leader.root")
-                pairs = met.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b"))
-                pairs = like(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
-            else:
-                left = left.join(info, "node")
-                u, v = left.filter("root != top").alias("x"), left.alias("y")
-                once = (F.col("y.root") == F.col("y.top")) | (F.col("x.node") < F.col("y.node"))
-                met = u.join(v, (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & once & self.similar("x", "y"))
-                pairs = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-                pairs = pairs.join(tried, ["a", "b"], "left_anti")
-            pairs = cut(pairs)
-            stars = roots.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-            links = cut(stars.union(self.confirmed(pairs)))
-            tried = cut(tried.union(pairs))
-        return links
+        pairs = shared.filter("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+        pairs = pairs.join(y, F.col("b") == F.col("y.node")).join(x, (F.col("a") == F.col("x.node")) & self.similar("x", "y"))
+        links = self.confirmed(cut(pairs.select("a", "b")))
+
+        roots = cut(components(links))
+        members = shared.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+        sizes = members.groupBy("band", "root").agg(F.count("*").alias("n"))
+        largest = sizes.groupBy("band").agg(F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("parts")).filter("parts > 1")
+        left = members.join(largest.select("band", F.col("most.root").alias("top")), "band")
+        left = cut(left.select("top", "node", "root").distinct())
+        counts = left.groupBy("top").agg(F.count("*").alias("n"), F.count(F.when(F.col("root") != F.col("top"), 1)).alias("m"))
+        blocks = counts.select("top", F.expr(f"(n - 1) div {BLOCK} + 1").alias("n_blocks"), F.expr(f"(m - 1) div {BLOCK} + 1").alias("m_blocks"))
+        full = info.join(self.full_sets(left.select("node").distinct()), "node")
+        rows = left.join(blocks, "top").join(full, "node")
+        place = F.xxhash64("node")
+        outer = rows.filter("root != top").select("*", F.pmod(place, "m_blocks").alias("i"), F.explode(F.expr("sequence(0L, n_blocks - 1)")).alias("j"), F.lit(True).alias("outer"))
+        every = rows.select("*", F.explode(F.expr("sequence(0L, m_blocks - 1)")).alias("i"), F.pmod(place, "n_blocks").alias("j"), F.lit(False).alias("outer"))
+        more = outer.unionByName(every).groupBy("top", "i", "j").applyInPandas(_block_links(self.percent, self.limit), "a long, b long")
+        stars = roots.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+        return stars.union(cut(more))
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> DataFrame:
