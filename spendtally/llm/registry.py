@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, neardup, sharding
+from . import decontaminate, language, mixing, neardup, quality, sharding
 from ..registry.book import Book
 from .common import table
 
@@ -19,6 +19,21 @@ def op2_near_duplicates(spark, sf_dir):
     return neardup.near_duplicate_digest(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op3_quality(spark, sf_dir):
+    return quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(decontaminate.CONTAINED_SQL)
+def op4_decontamination(spark, sf_dir):
+    return decontaminate.contained_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op6_language(spark, sf_dir):
+    return language.language_digest(table(spark, sf_dir, "documents"))
+
+
 @query(mixing.MIX_SQL)
 def op10_mixing(spark, sf_dir):
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
