@@ -15,7 +15,7 @@ from .common import WordHashes, hashed_words, id_fold, keep_columns, mix64, plai
 #: Features: 1- and 2-word grams hashed to 2**BITS places.
 BITS = 18
 #: FTRL-proximal: learning rate, its smoothing, L1 and L2 penalties, passes over a shard.
-ALPHA, BETA, L1, L2, PASSES = 0.5, 1.0, 0.02, 1.0, 2
+ALPHA, BETA, L1, L2, PASSES = 0.5, 1.0, 0.02, 0.2, 3
 #: Labelled documents that one shard learns from in turn; the shards' models are averaged.
 SHARD_DOCS = 4000
 FOLDS, HELD_OUT = 5, 0
@@ -62,9 +62,9 @@ class Ftrl:
         w = -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2)
         return np.where(np.abs(z) <= L1, 0.0, w)
 
-    def learn(self, places: np.ndarray, values: np.ndarray, label: float) -> None:
+    def learn(self, places: np.ndarray, values: np.ndarray, label: float, importance: float = 1.0) -> None:
         w = self.weights(places)
-        g = (sigmoid(np.dot(w, values)) - label) * values
+        g = importance * (sigmoid(np.dot(w, values)) - label) * values
         n = self.n[places]
         self.z[places] += g - (np.sqrt(n + g * g) - np.sqrt(n)) / ALPHA * w
         self.n[places] = n + g * g
@@ -85,8 +85,8 @@ def _train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def model(shard, held):
         ftrl = Ftrl()
         for _ in range(PASSES):
-            for places, values, label in held:
-                ftrl.learn(places, values, label)
+            for document in held:
+                ftrl.learn(*document)
         every = np.flatnonzero(ftrl.n)
         w = ftrl.weights(every)
         # the bias place stands for the shard itself, so it is always sent
@@ -95,13 +95,13 @@ def _train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     at, held = None, []
     for batch in batches:
-        for shard, text, label in zip(batch["shard"], batch["text"], batch["label"]):
+        for shard, text, label, importance in zip(batch["shard"], batch["text"], batch["label"], batch["importance"]):
             if shard != at and held:
                 yield model(at, held)
                 held = []
             at = shard
             places, values = with_bias(*features(text, known))
-            held.append((places, values.astype(np.float32), float(label)))
+            held.append((places, values.astype(np.float32), float(label), importance))
     if held:
         yield model(at, held)
 
@@ -112,17 +112,23 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int =
     Every labelled document counts: they are dealt by a hash of id and text into
     shards of about ``SHARD_DOCS``, each shard runs FTRL in a task of its own, and
     the models are averaged, a weight that a shard never met counting as 0 there.
+    Both labels weigh the same in all, so that a score says how a text reads and
+    not how common good texts are.
     The driver gets one model.  Rows without label, id or text are left out of
     training, a label above 0 counts as 1, an id with several labels takes the
     smallest; without any labelled document all weights are 0.
     """
     one = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("label"))
     one = one.filter(id_fold(F.col("doc_id"), folds) != held_out)
-    n_shards = max(1, round(one.count() / SHARD_DOCS))
+    one = one.withColumn("label", (F.col("label") > 0).cast("int"))
+    seen = one.agg(F.count("*").alias("n"), F.sum("label").alias("good")).first()
+    n, good = seen["n"], seen["good"] or 0
+    n_shards = max(1, round(n / SHARD_DOCS))
+    importance = F.when(F.col("label") == 1, F.lit(n / (2 * max(good, 1)))).otherwise(F.lit(n / (2 * max(n - good, 1))))
     known = docs.filter("text is not null").select("doc_id", "text").join(one, "doc_id")
     order = F.xxhash64(F.lit(3), "doc_id", "text")
-    rows = known.select(F.pmod(order, F.lit(n_shards)).alias("shard"), order.alias("o"), "text", (F.col("label") > 0).cast("int").alias("label"))
-    rows = rows.repartition(n_shards, "shard").sortWithinPartitions("shard", "o").select("shard", "text", "label")
+    rows = known.select(F.pmod(order, F.lit(n_shards)).alias("shard"), order.alias("o"), "text", "label", importance.alias("importance"))
+    rows = rows.repartition(n_shards, "shard").sortWithinPartitions("shard", "o").select("shard", "text", "label", "importance")
     models = rows.mapInPandas(_train, "shard long, place long, weight double")
     # whole numbers add up to the same sum in any order
     steps = F.round(F.col("weight") * F.lit(1e9)).cast("long")
