@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, mixing, neardup, quality, sharding
+from . import decontaminate, language, mixing, neardup, quality, sharding, suffix_tree
 from ..registry.book import Book
 from .common import table
 
@@ -34,6 +34,11 @@ def op6_language(spark, sf_dir):
     return language.language_digest(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op7_language_model(spark, sf_dir):
+    return suffix_tree.language_model_digest(table(spark, sf_dir, "documents"))
+
+
 @query(mixing.MIX_SQL)
 def op10_mixing(spark, sf_dir):
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
