@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, mixing, neardup, quality, sharding, suffix_tree
+from . import decontaminate, language, mixing, neardup, quality, sharding, substrings, suffix_tree
 from ..registry.book import Book
 from .common import table
 
@@ -29,6 +29,11 @@ def op4_decontamination(spark, sf_dir):
     return decontaminate.contained_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query(substrings.SUBSTRING_SQL)
+def op5_substring_dedup(spark, sf_dir):
+    return substrings.substring_digest(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op6_language(spark, sf_dir):
     return language.language_digest(table(spark, sf_dir, "documents"))
