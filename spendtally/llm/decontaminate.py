@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, cut, hashed_words, keep_columns, plain_id, shingle_set, whole_id
+from .common import WordHashes, cut, hashed_words, keep_columns, plain_id, shingle_hashes, shingle_set, whole_id
 from .graph import in_filter, key_filter, row_key
 
 SHINGLE_WORDS = 5
@@ -56,11 +56,17 @@ def _document_hits(shingle_words: int, samples, every):
     def hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
         for batch in batches:
+            found = []
             for doc, has, key, text in zip(batch["id"], batch["has_id"], batch["row_key"], batch["text"]):
-                s = shingle_set(hashed_words(text, known), shingle_words).view(np.int64)
-                if len(s) and in_filter(samples.value, s).any():
-                    s = s[in_filter(every.value, s)]
-                    yield pd.DataFrame({"id": doc, "has_id": has, "row_key": key, "h": s})
+                words = hashed_words(text, known)
+                s = shingle_hashes(words, min(len(words), shingle_words)) if len(words) else words
+                if in_filter(samples.value, s).any():
+                    s = np.unique(s[in_filter(every.value, s)])
+                    found.append((doc, has, key, s.view(np.int64)))
+            if found:
+                n = [len(f[3]) for f in found]
+                doc, has, key = (np.repeat([f[i] for f in found], n) for i in range(3))
+                yield pd.DataFrame({"id": doc, "has_id": has, "row_key": key, "h": np.concatenate([f[3] for f in found])})
 
     return hits
 

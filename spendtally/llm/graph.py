@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .common import cut
 
 #: A key filter has at most so many bits (16 MB), whatever the number of keys.
-MAX_FILTER_BITS = 1 << 27
+LEAST_FILTER_BITS, MAX_FILTER_BITS = 1 << 24, 1 << 27
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -41,13 +41,13 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def key_filter(keys: DataFrame, key: str) -> np.ndarray:
-    """Bitmap of a column of longs: 16 bits a key up to ``MAX_FILTER_BITS``, made on the executors.
+    """Bitmap of a column of longs: 2 to 16 MB, 16 bits a key as far as that goes, made on the executors.
 
     A key that is in has its bit set; others may share it, so what passes is looked
     up exactly afterwards.  Only the words of the bitmap come to the driver.
     """
     n = keys.count()
-    bits = 1 << 10
+    bits = LEAST_FILTER_BITS
     while bits < min(16 * n, MAX_FILTER_BITS):
         bits <<= 1
     bit = F.pmod(F.col(key), F.lit(bits))
