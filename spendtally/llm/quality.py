@@ -10,14 +10,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, hashed_words, id_fold, keep_columns, mix64, plain_id, shingle_hashes, whole_id
+from .common import WordHashes, cut, hashed_words, id_fold, keep_columns, mix64, plain_id, shingle_hashes, whole_id
 
 #: Features: 1- and 2-word grams hashed to 2**BITS places.
 BITS = 18
 #: FTRL-proximal: learning rate, its smoothing, L1 and L2 penalties, passes over a shard.
 ALPHA, BETA, L1, L2, PASSES = 0.5, 1.0, 0.02, 0.2, 3
-#: Labelled documents that one shard learns from in turn; the shards' models are averaged.
-SHARD_DOCS = 4000
+#: Labelled documents to learn from at most, and those that one shard learns from in turn; shards' models are averaged.
+SAMPLE_DOCS, SHARD_DOCS = 20_000, 4000
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
 
@@ -109,25 +109,28 @@ def _train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> np.ndarray:
     """Weights (2**BITS + bias) learned from labelled documents outside the held-out fold.
 
-    Every labelled document counts: they are dealt by a hash of id and text into
-    shards of about ``SHARD_DOCS``, each shard runs FTRL in a task of its own, and
-    the models are averaged, a weight that a shard never met counting as 0 there.
-    Both labels weigh the same in all, so that a score says how a text reads and
-    not how common good texts are.
+    The labelled ids with the ``SAMPLE_DOCS`` smallest hashes are the sample; their
+    whole texts are dealt by hash into shards of about ``SHARD_DOCS``, each shard runs
+    FTRL in a task of its own, and the models are averaged, a weight that a shard
+    never met counting as 0 there.  Both labels weigh the same in all, so that a score
+    says how a text reads and not how common good texts are.
+
     The driver gets one model.  Rows without label, id or text are left out of
     training, a label above 0 counts as 1, an id with several labels takes the
-    smallest; without any labelled document all weights are 0.
+    smallest, and one with several texts the one with the smallest hash; without any
+    labelled document all weights are 0.
     """
     one = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("label"))
-    one = one.filter(id_fold(F.col("doc_id"), folds) != held_out)
-    one = one.withColumn("label", (F.col("label") > 0).cast("int"))
-    seen = one.agg(F.count("*").alias("n"), F.sum("label").alias("good")).first()
+    one = one.filter(id_fold(F.col("doc_id"), folds) != held_out).withColumn("label", (F.col("label") > 0).cast("int"))
+    sample = cut(one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS))
+    seen = sample.agg(F.count("*").alias("n"), F.sum("label").alias("good")).first()
     n, good = seen["n"], seen["good"] or 0
     n_shards = max(1, round(n / SHARD_DOCS))
     importance = F.when(F.col("label") == 1, F.lit(n / (2 * max(good, 1)))).otherwise(F.lit(n / (2 * max(n - good, 1))))
-    known = docs.filter("text is not null").select("doc_id", "text").join(one, "doc_id")
-    order = F.xxhash64(F.lit(3), "doc_id", "text")
-    rows = known.select(F.pmod(order, F.lit(n_shards)).alias("shard"), order.alias("o"), "text", "label", importance.alias("importance"))
+    # the sample is bounded, so it may go to every task, and only its texts are moved
+    known = docs.filter("text is not null").select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    known = known.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64(F.lit(3), "doc_id", "text").alias("o"), "text")).alias("t"))
+    rows = known.select(F.pmod("t.o", F.lit(n_shards)).alias("shard"), "t.o", "t.text", "label", importance.alias("importance"))
     rows = rows.repartition(n_shards, "shard").sortWithinPartitions("shard", "o").select("shard", "text", "label", "importance")
     models = rows.mapInPandas(_train, "shard long, place long, weight double")
     # whole numbers add up to the same sum in any order
