@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, mixing, neardup, quality, sharding, substrings, suffix_tree
+from . import decontaminate, language, lattice, mixing, neardup, quality, sharding, substrings, suffix_tree
 from ..registry.book import Book
 from .common import table
 
@@ -44,6 +44,11 @@ def op7_language_model(spark, sf_dir):
     return suffix_tree.language_model_digest(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op8_lattice(spark, sf_dir):
+    return lattice.lattice_digest(table(spark, sf_dir, "embeddings"))
+
+
 @query(mixing.MIX_SQL)
 def op10_mixing(spark, sf_dir):
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
