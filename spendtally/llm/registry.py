@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, lattice, mixing, neardup, quality, sharding, substrings, suffix_tree
+from . import decontaminate, language, lattice, mixing, neardup, quality, sanitise, sharding, substrings, suffix_tree
 from ..registry.book import Book
 from .common import table
 
@@ -49,6 +49,11 @@ def op8_lattice(spark, sf_dir):
     return lattice.lattice_digest(table(spark, sf_dir, "embeddings"))
 
 
+@query()
+def op9_sanitise(spark, sf_dir):
+    return sanitise.sanitise_digest(table(spark, sf_dir, "documents"))
+
+
 @query(mixing.MIX_SQL)
 def op10_mixing(spark, sf_dir):
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
