@@ -80,7 +80,7 @@ def allocate(
 
     Null ids sort first, a null source is a source of its own, null texts have size 0;
     an empty table gives none.  Columns: doc_id, source, text_hash, size, i (number
-    among equal rows), source_no, source_size, target, start, taken.
+    among equal rows), n (equal rows), source_no, source_size, target, start, taken.
     """
     text_hash = F.xxhash64("text")
     order = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")))
@@ -105,7 +105,7 @@ def allocate(
     words = F.floor(F.col("target") + F.lit(0.5)).cast("long")
     taken = sum((F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), words - F.col("source_size") * k - F.col("start")))
                  for k in range(epochs)), F.lit(0).cast("long"))
-    return rows.select("doc_id", "source", "text_hash", "size", "i", "source_no", "source_size", "target", "start", taken.alias("taken"))
+    return rows.select("doc_id", "source", "text_hash", "size", "i", "n", "source_no", "source_size", "target", "start", taken.alias("taken"))
 
 
 def position(offset: Column, schedules: Sequence = SCHEDULES) -> Column:
@@ -128,19 +128,23 @@ def training_order(
     last document that a source gives).  Both replace namesakes of the input.
     """
     kept = keep_columns(docs, ["position", "mix_words"])
-    key = ["doc_id", "source", "text_hash", "size"]
+    key = F.xxhash64("doc_id", "source", "text_hash", "size").alias("key")
     plan = allocate(docs, size, seed, weights, schedules, epochs).filter("taken > 0")
     copies = F.expr(f"sequence(0, cast((taken - 1) div size as int))")
     plan = plan.withColumn("k", F.explode(copies)).withColumn("offset", F.col("start") + F.col("k") * F.col("source_size"))
     plan = plan.select(
-        *[F.col(c).alias(f"p_{c}") for c in key], F.col("i").alias("p_i"), position(F.col("offset"), schedules).alias("position"),
+        F.col("doc_id").alias("p_id"), key, F.col("i"), "n", position(F.col("offset"), schedules).alias("position"),
         F.least(F.col("size"), F.col("taken") - F.col("k") * F.col("size")).alias("mix_words"),
     )
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), "doc_id", "source",
                        F.xxhash64("text").alias("text_hash"), size.cast("long").alias("size"))
-    rows = rows.withColumn("i", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1))) - 1)
-    same = [F.col(c).eqNullSafe(F.col(f"p_{c}")) for c in key]
-    both = rows.join(plan, [*same, F.col("i") == F.col("p_i")])
+    rows = rows.select("row", "doc_id", key)
+    # rows without an equal meet their plan at once; equal rows are numbered first
+    one, several = plan.filter("n = 1").drop("i", "n"), plan.filter("n > 1").drop("n")
+    alone = rows.join(one, "key")
+    equal = rows.join(several.select("key").distinct(), "key", "left_semi")
+    equal = equal.withColumn("i", F.row_number().over(Window.partitionBy("key", "doc_id").orderBy(F.lit(1))) - 1).join(several, ["key", "i"])
+    both = alone.unionByName(equal.drop("i")).filter(F.col("doc_id").eqNullSafe(F.col("p_id")))
     return both.select(*[F.col(f"row.`{c}`") for c in kept], "position", "mix_words").orderBy("position", "doc_id")
 
 

@@ -264,18 +264,18 @@ def keep_one(docs: DataFrame, shingle_words: int = 5, percent: int = 80) -> Data
 
     Rows equal in id and text count as one group as well, unless they have no words.
     """
-    found = near_duplicates(docs, shingle_words, percent)
-    first = found.filter("root is not null").groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "row_key")).alias("first"), F.count("*").alias("n"))
-    # rows of groups of one need no comparison; the others are found by key
-    keys = first.select(F.col("first.row_key").alias("_key"))
-    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key().alias("_key"), F.col("text"))
+    found = cut(near_duplicates(docs, shingle_words, percent).filter("root is not null").select("doc_id", "row_key", "root"))
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "row_key")).alias("first"))
+    often = found.groupBy("row_key").agg(F.count("*").alias("n"))
+    keys = cut(first.select(F.col("first.row_key").alias("row_key")).join(often, "row_key").select(F.col("row_key").alias("_key"), "n"))
+    names = keep_columns(docs, [])
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), row_key().alias("_key"), "text")
     # the same blanks as the word rule, so that "no words" means the same here
     wordless = F.coalesce(F.col("text"), F.lit("")).rlike(r"^[\x20\x09-\x0D]*\z")
-    kept = marked.filter(~wordless).join(keys, "_key").dropDuplicates(["_key"])
-    names = keep_columns(docs, [])
-    return kept.select(*[F.col(f"row.`{c}`") for c in names]).union(
-        marked.filter(wordless).select(*[F.col(f"row.`{c}`") for c in names]))
+    once = marked.join(keys.filter("n = 1").select("_key"), "_key", "left_semi")
+    again = marked.join(keys.filter("n > 1").select("_key"), "_key", "left_semi").dropDuplicates(["_key"])
+    kept = once.select("row").union(again.select("row")).union(marked.filter(wordless).select("row"))
+    return kept.select(*[F.col(f"row.`{c}`") for c in names])
 
 
 def near_duplicate_digest(documents: DataFrame) -> DataFrame:
