@@ -82,15 +82,27 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of a run of words from the hashes of its two parts."""
+    x = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ (b >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(29))
+
+
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
-    """Hash of every run of ``k`` consecutive words, in order."""
+    """Hash of every run of ``k`` consecutive words, in order; runs are put together from runs half as long."""
     n = len(words) - k + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    out = words[:n].copy()
-    for i in range(1, k):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + mix64(words[i : i + n] + np.uint64(i))
-    return mix64(out)
+    out, done, power, size = None, 0, words, 1
+    while done < k:
+        if k & size:
+            part = power[done : done + n]
+            out = part if out is None else _joined(out[:n], part)
+            done += size
+        if done < k:
+            power = _joined(power[: len(power) - size], power[size:])
+            size *= 2
+    return mix64(out[:n])
 
 
 def shingle_set(words: np.ndarray, k: int) -> np.ndarray:

@@ -16,7 +16,7 @@ from .graph import in_filter, key_filter, row_key
 #: Words in a window, and in the anchors that index it.
 WINDOW, ANCHOR = 20, 6
 #: Words that are indexed at once.
-CHUNK = 1 << 20
+CHUNK = 1 << 21
 
 
 def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -43,7 +43,7 @@ def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _anchor_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Anchors in use with the smallest and largest hash of the texts that hold them."""
+    """Anchors in use with a hash of the text that holds them, two if texts of a chunk share one."""
     known = WordHashes()
 
     def table(held, texts):
@@ -53,7 +53,9 @@ def _anchor_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         h, t = h[order], t[order]
         first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.empty(0, np.int64)
         if len(first):
-            yield pd.DataFrame({"anchor": h[first].view(np.int64), "low": np.minimum.reduceat(t, first), "high": np.maximum.reduceat(t, first)})
+            low, high = np.minimum.reduceat(t, first), np.maximum.reduceat(t, first)
+            h, two = h[first].view(np.int64), low != high
+            yield pd.DataFrame({"anchor": np.concatenate((h, h[two])), "text_hash": np.concatenate((low, high[two]))})
 
     held, texts, size = [], [], 0
     for batch in batches:
@@ -86,9 +88,7 @@ def _reference_blocks(low, high):
                 if not shared.any():
                     continue
                 windows = window_hashes(words)
-                again = np.ones(len(windows), bool)
-                again[np.unique(windows, return_index=True)[1]] = False
-                windows[again] = 0
+                windows[repeated(windows)] = 0
                 place = np.flatnonzero(shared)
                 cuts = np.flatnonzero((np.diff(at[place]) != 0) | (np.diff(place) != 1)) + 1
                 for run in np.split(place, cuts):
@@ -113,6 +113,16 @@ def _shared(h: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return out
 
 
+def repeated(windows: np.ndarray) -> np.ndarray:
+    """Which windows also begin earlier in the same text."""
+    out = np.zeros(len(windows), bool)
+    ordered = np.sort(windows)
+    if (ordered[1:] == ordered[:-1]).any():
+        out[:] = True
+        out[np.unique(windows, return_index=True)[1]] = False
+    return out
+
+
 def window_hashes(words: np.ndarray) -> np.ndarray:
     return shingle_hashes(words, WINDOW) | np.uint64(1)
 
@@ -148,8 +158,7 @@ def _cut_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     spans = [(0, len(parts))]
                 else:
                     windows = window_hashes(np.fromiter(map(known.__getitem__, parts), np.uint64, len(parts)))
-                    found = np.ones(len(windows), bool)
-                    found[np.unique(windows, return_index=True)[1]] = False
+                    found = repeated(windows)
                     if starts is not None and len(starts):
                         found |= np.isin(windows, windows[np.asarray(starts, np.int64)])
                     spans = factors(found)
@@ -185,8 +194,9 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(MAX_LONG))
     text_hash = F.xxhash64("text")
     texts = docs.filter(F.length("text") >= 2 * WINDOW - 1)
-    found = texts.select(text_hash.alias("text_hash"), "text").mapInPandas(_anchor_texts, "anchor long, low long, high long")
-    found = found.groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    found = texts.select(text_hash.alias("text_hash"), "text").mapInPandas(_anchor_texts, "anchor long, text_hash long")
+    # a task sends an anchor twice per chunk at most, so rows go as they are
+    found = found.repartition("anchor").groupBy("anchor").agg(F.min("text_hash").alias("low"), F.max("text_hash").alias("high"))
     found = cut(found.filter("low != high").select("anchor", F.shiftrightunsigned("anchor", 27).alias("upper")))
     sc = docs.sparkSession.sparkContext
     low, high = sc.broadcast(key_filter(found, "anchor")), sc.broadcast(key_filter(found, "upper"))
@@ -194,8 +204,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     rows = texts.select(rank.alias("rank"), row_key().alias("row_key"), "text")
     blocks = cut(rows.mapInPandas(_reference_blocks(low, high), "anchor long, rank long, row_key long, start int, windows array<long>"))
     windows = blocks.select("anchor", "rank", "row_key", "start", F.posexplode("windows").alias("i", "window")).filter("window != 0")
-    earliest = windows.groupBy("anchor", "window").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).filter("first < last")
-    earliest = earliest.select("anchor", "window", "first")
+    earliest = windows.groupBy("anchor", "window").agg(F.min("rank").alias("first"))
     repeats = windows.join(earliest, ["anchor", "window"]).filter("rank > first").select("row_key", (F.col("start") + F.col("i")).alias("start"))
 
     digest = texts.select(rank.alias("rank"), row_key().alias("row_key"), text_hash.alias("h"), F.crc32(F.col("text").cast("binary")).alias("crc"),
