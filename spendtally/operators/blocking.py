@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scoring import EditBound, char_signature, folded
-from .skew import MAX_HOT_KEYS
 
 # Pieces that may be ignored; measured best on names made of shared words.
 DEFAULT_SPARE = 8
@@ -85,21 +84,22 @@ def close_pairs(
     ``differing`` is a lower bound on inserted plus deleted characters.
     ``inputs(name)`` and ``candidates(candidate, cand_ord)`` hold distinct
     names.  A name is never paired with itself.  A piece shared by more than
-    ``split_rows`` candidates has them split in ``splits`` parts; words common
-    among candidates are common among inputs too, so the inputs of a piece are
-    spread over one more part per ``spread_rows`` candidates, up to ``splits``.
+    ``split_rows`` candidates has them split in parts of that many, ``splits`` at
+    least; words common among candidates are common among inputs too, so the inputs
+    of a piece are spread as well: one more part per ``spread_rows`` candidates up to
+    ``splits``, then by the square root of their number.
     """
     pieces = candidate_pieces(candidates, bound, spare)
     common = (
         pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") >= COMMON_PIECE_ROWS)
-        .orderBy(F.desc("_n"), "piece").limit(MAX_HOT_KEYS)
-        .withColumn("_parts", F.when(F.col("_n") >= split_rows, splits).otherwise(1))
-        .withColumn("_spread", F.least(F.lit(splits), F.ceil(F.col("_n") / spread_rows)).cast("int"))
+        .withColumn("_parts", F.when(F.col("_n") >= split_rows, F.greatest(F.lit(splits), F.ceil(F.col("_n") / split_rows).cast("int"))).otherwise(1))
+        .withColumn("_spread", F.greatest(F.least(F.lit(splits), F.ceil(F.col("_n") / spread_rows).cast("int")),
+                                          F.ceil(F.sqrt(F.col("_n") / spread_rows)).cast("int")))
     )
     rarest = Window.partitionBy("candidate").orderBy(F.coalesce("_n", F.lit(0)), "piece_no")
     kept = (
-        pieces.join(F.broadcast(common), "piece", "left")
+        pieces.join(common, "piece", "left")
         .withColumn("_r", F.row_number().over(rarest))
         .where(F.col("_r") <= F.expr(bound.pieces_needed("cl")))
         .withColumn("_part", F.pmod(F.xxhash64("candidate"), F.coalesce("_parts", F.lit(1))).cast("int"))
@@ -108,7 +108,7 @@ def close_pairs(
     )
     grams = (
         input_substrings(inputs, bound, spare)
-        .join(F.broadcast(common.where("_parts > 1 or _spread > 1").select("piece", "_parts", "_spread")), "piece", "left")
+        .join(common.where("_parts > 1 or _spread > 1").select("piece", "_parts", "_spread"), "piece", "left")
         .withColumn("_copy", F.pmod(F.xxhash64("name"), F.coalesce("_spread", F.lit(1))).cast("int"))
         .withColumn("_part", F.explode_outer(F.expr("sequence(0, coalesce(_parts, 1) - 1)")))
         .select("piece", "_part", "_copy", "name", "a", "al", "a0", "a1", "at")

@@ -73,7 +73,8 @@ def pending_runs(manifest: DataFrame, ledger: DataFrame, keys: Sequence[str]) ->
 
 
 def with_default(df: DataFrame, dim: DataFrame, key: str, value: str, default: Column) -> DataFrame:
-    """Left lookup; blank or missing values fall back to ``default``."""
-    one = dim.select(key, value)
+    """Left lookup; blank or missing values fall back to ``default``, several values to the smallest filled one."""
+    filled = F.nullif(trim_all(value), F.lit(""))
+    one = dim.groupBy(key).agg(F.min(F.when(filled.isNotNull(), F.col(value))).alias(value))
     return df.join(one, key, "left").withColumn(
         value, F.coalesce(F.nullif(trim_all(value), F.lit("")), default))

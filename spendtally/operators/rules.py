@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
-from .skew import MAX_HOT_KEYS
 
 # --- fixed values: rule names in order of trust -------------------------------
 RULES = ("normalised", "brackets", "suffix", "acronym", "alias", "descriptor", "shortened")
@@ -23,10 +22,6 @@ RULES = ("normalised", "brackets", "suffix", "acronym", "alias", "descriptor", "
 _NO = {r: i for i, r in enumerate(RULES, 1)}
 
 
-def _keyed(rule: str, *keys):
-    return [F.struct(F.lit(_NO[rule]).alias("rule_no"), k.alias("key")) for k in keys]
-
-
 def _one(col):
     return F.array(col)
 
@@ -89,13 +84,10 @@ def _descriptor_hits(inputs: DataFrame, candidates: DataFrame) -> DataFrame:
     """
     c = candidates.select("candidate", t.name_tokens("candidate").alias("ct")).where(F.size("ct") > 0)
     words = c.select("candidate", "ct", F.explode_outer("ct").alias("word"))
-    common = (
-        words.groupBy("word").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-        .orderBy(F.desc("_n"), "word").limit(MAX_HOT_KEYS)
-    )
+    common = words.groupBy("word").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     rarest = Window.partitionBy("candidate").orderBy(F.coalesce("_n", F.lit(0)), "word")
     filed = (
-        words.join(F.broadcast(common), "word", "left").withColumn("_r", F.row_number().over(rarest))
+        words.join(common, "word", "left").withColumn("_r", F.row_number().over(rarest))
         .where("_r = 1").select("word", "candidate", "ct")
     )
     asked = inputs.select("name", t.name_tokens("name").alias("nt")).select(

@@ -57,12 +57,16 @@ def candidate_pool(rows: DataFrame) -> DataFrame:
         t.is_real_option("candidate")).distinct()
 
 
-def offers(rows: DataFrame, config: RunConfig) -> DataFrame:
-    """Offered candidates, the asked name itself left out: one row per candidate."""
-    drawn = sample_candidates(
+def listed(rows: DataFrame, config: RunConfig) -> DataFrame:
+    """Drawn candidates, the asked name included if it was drawn: one row per candidate."""
+    return sample_candidates(
         rows, candidate_pool(rows), ["row_id"], "input_name", "ground_truth", "negative",
         k=config.num_distractors, seed=config.seed)
-    return drawn.where(F.col("candidate") != F.col("input_name"))
+
+
+def offers(rows: DataFrame, config: RunConfig) -> DataFrame:
+    """Offered candidates, the asked name itself left out: one row per candidate."""
+    return listed(rows, config).where(F.col("candidate") != F.col("input_name"))
 
 
 def _with_rule_no(offered: DataFrame) -> DataFrame:

@@ -119,6 +119,12 @@ def unknown_names(mi: DataFrame, contracts: DataFrame) -> DataFrame:
     return unknown.select(F.col("CustomerName").alias("name")).distinct()
 
 
+def unknown_rows(mi: DataFrame, contracts: DataFrame) -> DataFrame:
+    """Unmatched (PairID, name) whose name is no known buyer; a missing name is one too."""
+    pairs = mi.select("PairID", "CustomerName").distinct()
+    return split_unmatched(unmatched_mi(pairs, contracts), contracts)[1]
+
+
 def name_map(mi: DataFrame, contracts: DataFrame, matcher: Matcher) -> DataFrame:
     """``(CustomerName, AIMatchedName)`` for the unknown names that found a buyer.
 
@@ -157,7 +163,7 @@ def reconcile_two_pass(
     """Pass 1 and pass 2 stacked, marked by ``match_pass``.
 
     Needs a matcher, or a name map made earlier.  The pass-2 block lists every
-    contract again when any unknown name exists, and is absent otherwise.
+    contract again when any unknown row exists, null names included, and is absent otherwise.
     """
     if mapping is None and matcher is None:
         raise ValueError("give a matcher or a mapping")
@@ -174,7 +180,7 @@ def reconcile_two_pass(
     )
     second = (
         _left_join_pairs(contracts, moved, index, pairs, min_rows, salts)
-        .where(unknown_names(names, index).exists()).withColumn("match_pass", F.lit(2))
+        .where(unknown_rows(names, index).exists()).withColumn("match_pass", F.lit(2))
     )
     return first.unionByName(second, allowMissingColumns=True)
 
@@ -185,14 +191,14 @@ def residual_mi(
     """Spend rows left without a contract.
 
     ``"reference"``: rows whose own PairID has no contract, name-matched ones
-    included; nothing at all when no unknown name exists.  ``"strict"``: rows
+    included; nothing at all when no unknown row exists.  ``"strict"``: rows
     matched in neither pass.
     """
     if residual not in ("reference", "strict"):
         raise ValueError("residual must be 'reference' or 'strict'")
     left = unmatched_mi(mi, contracts)
     if residual == "reference":
-        return left.where(unknown_names(mi, contracts).exists())
+        return left.where(unknown_rows(mi, contracts).exists())
     if mapping is None:
         return left
     found = matched_mi(second_pairs(pair_names(mi), contracts, mapping), contracts)
@@ -247,5 +253,5 @@ def spend_by_pair(names: DataFrame) -> DataFrame:
 __all__ = [
     "apply_name_map", "buyer_candidates", "contract_index", "key_contracts", "key_mi", "matched_mi",
     "name_map", "pair_names", "reconcile", "reconcile_exact", "reconcile_two_pass", "residual_mi", "second_pairs",
-    "spend_by_name", "spend_by_pair", "split_unmatched", "unknown_names", "unmatched_mi",
+    "spend_by_name", "spend_by_pair", "split_unmatched", "unknown_names", "unknown_rows", "unmatched_mi",
 ]

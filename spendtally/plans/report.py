@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import months_run_capped, parse_day
@@ -51,16 +51,14 @@ def record_json(df: DataFrame) -> DataFrame:
 def records_by_framework(df: DataFrame, order: str, page_size: int = 10_000) -> DataFrame:
     """``(framework, page, records)`` with records in ``order``, the source row order.
 
-    A framework of up to ``page_size`` records is one page.  A larger one is
-    spread over as many pages as it needs, so that no task ever holds a whole
-    framework; together the pages hold every record.  Pages follow the row
-    order column, not the content, so copies of one record spread as well.
+    Page n holds the records from place ``n * page_size`` on, at every size, so
+    page number and place within it are the source order, and no row holds more
+    than a page.  Places come from a sort of the order column, which spills.
     """
-    pages = df.where("framework is not null").groupBy("framework").agg(
-        F.ceil(F.count(F.lit(1)) / page_size).cast("int").alias("_pages"))
-    page = F.pmod(F.xxhash64(order), F.col("_pages")).cast("int")
+    place = F.row_number().over(Window.partitionBy("framework").orderBy(order)) - 1
+    page = F.floor(place / page_size).cast("int")
     listed = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), "name", "details")))
     return (
-        details(df, order).join(pages, "framework").groupBy("framework", page.alias("page"))
+        details(df.where("framework is not null"), order).withColumn("page", page).groupBy("framework", "page")
         .agg(F.transform(listed, lambda r: F.struct(r["name"], r["details"])).alias("records"))
     )

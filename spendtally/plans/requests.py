@@ -18,9 +18,10 @@ def prompt_requests(offered: DataFrame, ids, template: str, name: str = "input_n
 
 
 def accept_responses(responses: DataFrame, offered: DataFrame, ids, response: str = "response") -> DataFrame:
-    """Parse answers and keep those that were on offer; a wrong or empty answer is null.
+    """Parse answers and keep those that the caller's list holds; a wrong or empty answer is null.
 
-    The asked name counts as on offer, as it belongs to the caller's list.
+    ``offered`` is the list before the asked name was taken out (``evaluate.listed``),
+    so an answer that echoes a listed name stays valid.
     """
     parsed = responses.withColumn("answer", response_match(response))
     listed = offered.select(*ids, F.col("candidate").alias("answer"), F.lit(True).alias("_ok")).distinct()

@@ -65,7 +65,7 @@ def _unmatched(profile: DataFrame) -> DataFrame:
         "unmatched_buyers": count_unique("CustomerName"),
     }
     if "known_buyer" in profile.columns:
-        unknown = F.count_if(~F.col("known_buyer") & F.col("CustomerName").isNotNull()) > 0
+        unknown = F.count_if(~F.coalesce("known_buyer", F.lit(False))) > 0
         figures = {k: F.when(unknown, v).otherwise(0) for k, v in figures.items()}
     return profile.agg(*[v.alias(k) for k, v in figures.items()])
 

@@ -168,12 +168,20 @@ def prompt_requests(spark, sf):
 
 
 @query(f"""WITH {_OFFERS_SQL}
-  SELECT row_id, CASE WHEN EXISTS (SELECT 1 FROM offered o WHERE o.row_id = l.row_id AND o.candidate = l.ground_truth
-    AND o.candidate <> l.input_name) THEN ground_truth END AS match FROM labelled l""")
+  SELECT row_id, CASE WHEN EXISTS (SELECT 1 FROM offered o WHERE o.row_id = l.row_id AND o.candidate = l.answer) THEN answer END AS match
+  FROM (SELECT *, CASE length(input_name) % 6 WHEN 0 THEN input_name WHEN 2 THEN ground_truth WHEN 5 THEN ground_truth END AS answer
+    FROM labelled) l""")
 def accept_responses(spark, sf):
+    """Echoed, null, bare, wrong, cut-off and right answers."""
     rows = _rows(spark, sf)
-    answers = rows.select("row_id", F.to_json(F.struct(F.col("ground_truth").alias("match"))).alias("response"))
-    return rq.accept_responses(answers, ev.offers(rows, _lev()), ["row_id"]).select("row_id", "match")
+    kind = F.length("input_name") % 6
+    response = (
+        F.when(kind == 0, F.to_json(F.struct(F.col("input_name").alias("match")))).when(kind == 1, '{"match": null}')
+        .when(kind == 2, F.concat(F.lit('"'), "ground_truth", F.lit('"'))).when(kind == 3, "nobody of that name")
+        .when(kind == 4, F.concat(F.lit('{"match": "'), "ground_truth"))
+        .otherwise(F.to_json(F.struct(F.col("ground_truth").alias("match")))))
+    answers = rows.select("row_id", response.alias("response"))
+    return rq.accept_responses(answers, ev.listed(rows, _lev()), ["row_id"]).select("row_id", "match")
 
 
 _MANIFEST_SQL = """SELECT o_orderpriority AS prompt_file, md5(o_custkey::VARCHAR) AS prompt_sha, o_orderstatus AS dataset_sha,

@@ -228,8 +228,9 @@ def offer_and_validate(spark, sf):
     WHERE o_orderkey = l_orderkey AND s_suppkey = l_suppkey)""")
 def validate_match(spark, sf):
     orders, supplier = sh.table(spark, sf, "orders"), sh.table(spark, sf, "supplier")
-    offered = orders.join(supplier, (F.col("o_custkey") % 25) == F.col("s_nationkey")).select(
-        F.col("o_orderkey").alias("l_orderkey"), F.col("s_suppkey").alias("l_suppkey"))
+    # an order offers the suppliers of one nation: the answer's nation is looked up, not the offers listed
+    offered = orders.select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") % 25).cast("long").alias("nation"))
+    nations = supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").cast("long").alias("nation"))
     answers = sh.table(spark, sf, "lineitem").select(
         "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "l_partkey", "l_suppkey")
-    return keep_valid(answers, offered, ["l_orderkey"], "l_suppkey")
+    return keep_valid(answers.join(nations, "l_suppkey"), offered, ["l_orderkey"], "nation").drop("nation")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..sources.tables import with_ord
 from ..plans import enrich as en
 from ..plans import report as rp
 from ..schemas import DETAIL_LABELS
@@ -150,11 +151,17 @@ _RECORD_SQL = f"""WITH {_REPORT_SQL} SELECT framework, name, buyer AS "Buyer nam
   months_run::BIGINT AS "Months Run So Far" FROM status"""
 
 
-@query(_RECORD_SQL)
+PAGE = 100
+
+
+@query(_RECORD_SQL.replace(" FROM status", f""", (row_number() OVER w - 1) // {PAGE} AS page,
+  (row_number() OVER w - 1) % {PAGE} AS position FROM status WHERE framework IS NOT NULL
+  WINDOW w AS (PARTITION BY framework ORDER BY o_orderkey, name)"""))
 def framework_records(spark, sf):
-    """Nested records, flattened again for the comparison."""
-    records = rp.records_by_framework(_status(spark, sf), "o_orderkey").select("framework", F.explode("records").alias("r"))
-    flat = records.select("framework", "r.name", *[
+    """Nested records, flattened again with page and position for the comparison."""
+    records = rp.records_by_framework(with_ord(_status(spark, sf), "ord", ["o_orderkey", "name"]), "ord", PAGE).select(
+        "framework", F.col("page").cast("bigint").alias("page"), F.posexplode("records").alias("position", "r"))
+    flat = records.select("framework", "page", F.col("position").cast("bigint").alias("position"), "r.name", *[
         F.col(f"r.details.`{label}`").alias(label) for _, label in DETAIL_LABELS])
     return _plain(flat)
 

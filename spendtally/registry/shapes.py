@@ -45,7 +45,7 @@ awards AS (
 """
 CONTRACTS_SQL = AWARDS_SQL + """,
 contracts AS (
-  SELECT a.*, o_orderkey * 1000000 + s_suppkey AS contract_ord, s_name AS suppliers,
+  SELECT a.*, o_orderkey * 100000000 + s_suppkey AS contract_ord, s_name AS suppliers,
     'R' || lpad(s_suppkey::VARCHAR, 6, '0') AS reg_no,
     CASE WHEN s_acctbal > 0 THEN floor(s_acctbal)::INT END AS latest_employees,
     s_suppkey AS contract_supplier_key, s_suppkey || '+' || lower(buyer) AS pair_id
@@ -111,7 +111,7 @@ def regkeys(spark, sf) -> DataFrame:
 
 
 def contracts(spark, sf) -> DataFrame:
-    """One contract per order and supplier; ``contract_ord`` is unique."""
+    """One contract per order and supplier; ``contract_ord`` is unique for up to 100 million suppliers."""
     pairs = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey").distinct()
     supplier = table(spark, sf, "supplier")
     a = awards(spark, sf)
@@ -122,7 +122,7 @@ def contracts(spark, sf) -> DataFrame:
         .select(*[c for c in a.columns if c != "o_orderkey"], F.col("s_name").alias("suppliers"),
                 reg_no().alias("SupplierCompanyRegistrationNumber"),
                 employees.alias("latest_employees"),
-                (F.col("o_orderkey") * 1_000_000 + F.col("s_suppkey")).alias("contract_ord"))
+                (F.col("o_orderkey") * 100_000_000 + F.col("s_suppkey")).alias("contract_ord"))
     )
 
 

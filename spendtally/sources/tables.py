@@ -90,11 +90,14 @@ def with_ord(df: DataFrame, name: str, cols: Sequence[str]) -> DataFrame:
 
 
 def with_file_order(df: DataFrame, name: str) -> DataFrame:
-    """Row order of a table just read from files; use at once, before any shuffle.
+    """Row order of a table just read from files: by file name, then place in the file.
 
-    The number depends on file splits only, so a re-run task gives it again.
+    Use at once, before any shuffle.  Spark reads files in order of size, so a
+    running number alone is not the source order of several files.  The order
+    depends on file splits only, so a re-run task gives it again.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    return df.withColumn(name, F.struct(
+        F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("row")))
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

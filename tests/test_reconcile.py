@@ -100,3 +100,13 @@ def test_summary(spark, keyed, day, last):
     labelled = ll.with_report_labels(ll.add_flags(lines))
     assert {"Contracting Authority", "Supplier", "Total Months Run So Far", "Expired"} <= set(labelled.columns)
     assert labelled.where("amber").count() == last
+
+
+def test_a_missing_name_is_an_unknown_row(spark, keyed):
+    """Spend whose only unmatched rows have no name is left over, not lost."""
+    contracts, mi = keyed
+    known = mi.where("mi_ord = 1").select(*mi.columns)
+    nameless = known.withColumns({"CustomerName": F.lit(None).cast("string"), "PairID": F.lit("none+none")})
+    both = known.unionByName(nameless)
+    assert rc.unknown_names(both, contracts).count() == 0
+    assert rc.residual_mi(contracts, both).count() == rc.unmatched_mi(both, contracts).count() == 1

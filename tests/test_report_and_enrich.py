@@ -40,7 +40,9 @@ def test_records(report):
     assert [x.name for x in one_page["Framework 2"].records] == ["Supplier 8", "Supplier 9", "Supplier 10"]
     assert one_page["Framework 2"].records[2].details["Months Run So Far"] == 12
     pages = rp.records_by_framework(report, "ord", page_size=2).collect()
-    assert sorted(x.name for p in pages for x in p.records) == sorted(n for _, n, *_ in golden.REPORT)
+    in_order = [x.name for p in sorted(pages, key=lambda p: (p.framework, p.page)) for x in p.records]
+    assert in_order == [n for f, n, *_ in sorted(golden.REPORT, key=lambda r: r[0])]
+    assert all(len(p.records) <= 2 for p in pages)
     rec = json.loads(rp.record_json(report).where("name = 'Supplier 3'").first().record)
     assert rec["details"]["Contract start"] == "2024-07-01" and rec["framework"] == "Framework 1"
 

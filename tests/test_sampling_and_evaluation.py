@@ -113,6 +113,12 @@ def test_requests_and_answers(spark, rows):
     assert got == {1: "Home Office", 2: None, 3: None, 6: "Capgemini"}
 
 
+def test_echoed_answer_stays_if_listed(spark):
+    listed = spark.createDataFrame([(1, "A"), (1, "B"), (2, "B")], "row_id int, candidate string")
+    answers = spark.createDataFrame([(1, '{"match": "A"}'), (2, '{"match": "A"}')], "row_id int, response string")
+    assert {r.row_id: r.match for r in rq.accept_responses(answers, listed, ["row_id"]).collect()} == {1: "A", 2: None}
+
+
 def test_pending_runs(spark):
     done = [("p1", "s1", "d", 20, 42, 0.85), ("p1", "s1", "d", 20, 42, 0.85)]
     todo = done[:1] + [("p1", "s2", "d", 20, 42, 0.85), ("p1", "s1", "d", 20, 42, 0.9)]

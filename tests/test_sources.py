@@ -126,9 +126,30 @@ def test_salted_join_equals_plain_join(spark):
         got = salted_inner_join(a, b, "k", "x", "y", min_rows=rows, salts=4)
         assert got.count() == want.count() and got.exceptAll(want.select(got.columns)).count() == 0
     sizes = key_sizes(a, "k")
-    assert hottest(sizes, "k", 100).collect()[0].k == "hot" and hottest(sizes, "k", 1, max_keys=5).count() == 5
+    # every key over the limit is split, however many there are, in more parts the more rows it has
+    assert [tuple(r) for r in hottest(sizes, "k", 100, 4).collect()] == [("hot", 4)]
+    parts = {r.k: r.parts for r in hottest(sizes, "k", 10, 4).collect()}
+    assert len(parts) == sizes.count() and parts["hot"] == 30
+    many = spark.range(6000).select((F.col("id") % 2000).alias("k"))
+    assert hottest(key_sizes(many, "k"), "k", 3, 4).count() == 2000
 
 
 def test_checkpoint_keeps_rows(spark):
     df = tb.shared_checkpoint(spark.range(10))
     assert df.count() == 10
+
+
+def test_row_order_of_several_files(spark, tmp_path):
+    """Order is by file name and place, whatever the sizes of the files."""
+    at = 0
+    for name, n in (("a", 2), ("b", 400), ("c", 40)):
+        (tmp_path / f"{name}.csv").write_text("k\n" + "".join(f"{i}\n" for i in range(at, at + n)))
+        at += n
+    rows = tb.with_file_order(tb.read_table(spark, str(tmp_path), "k int"), "ord").orderBy("ord").collect()
+    assert [r.k for r in rows] == list(range(at))
+
+
+def test_default_lookup_is_unique(spark):
+    left = spark.createDataFrame([(1,), (2,)], "k int")
+    dim = spark.createDataFrame([(1, " "), (1, "b"), (1, "a"), (2, None)], "k int, v string")
+    assert sorted(map(tuple, with_default(left, dim, "k", "v", F.lit("none")).collect())) == [(1, "a"), (2, "none")]
