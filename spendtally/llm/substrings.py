@@ -194,7 +194,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(MAX_LONG))
     text_hash = F.xxhash64("text")
     texts = docs.filter(F.length("text") >= 2 * WINDOW - 1)
-    found = texts.select(text_hash.alias("text_hash"), "text").mapInPandas(_anchor_texts, "anchor long, text_hash long")
+    # 48 bits tell the few texts that share an anchor apart, and make the largest shuffle smaller
+    found = texts.select(F.shiftrightunsigned(text_hash, 16).alias("text_hash"), "text").mapInPandas(_anchor_texts, "anchor long, text_hash long")
     # a task sends an anchor twice per chunk at most, so rows go as they are
     found = found.repartition("anchor").groupBy("anchor").agg(F.min("text_hash").alias("low"), F.max("text_hash").alias("high"))
     found = cut(found.filter("low != high").select("anchor", F.shiftrightunsigned("anchor", 27).alias("upper")))
