@@ -321,6 +321,51 @@ def test_linked_vectors_recall(spark):
     assert all(found[i] == 0 for i in (902, 903, 904, 905, 906)) and all(r.kept == (r.vec_id == r.component_id) for r in got if r.vec_id is not None)
 
 
+def test_links_of_a_family_are_counted_once_and_not_sent(spark):
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=24)
+    rows = [(i, (centre + rng.normal(size=24) * 0.05).tolist(), "x") for i in range(1500)]
+    rows += [(2000 + i, rows[i][1], "x") for i in range(3)]
+    got = {r.vec_id: r for r in lattice.lattice_digest(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()}
+    v = np.array([r[1] for r in rows])
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    n = ((v @ v.T) >= 0.93).sum(axis=1) - 1
+    assert n.min() > 1000
+    assert all(got[r[0]].n_links <= k for r, k in zip(rows, n)) and sum(r.n_links for r in got.values()) >= 0.99 * n.sum()
+    assert {r.component_id for r in got.values()} == {0}
+
+
+def test_pairs_are_met_in_one_cell():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(60, 12)) * 0.1 + rng.normal(size=12)
+    c = lattice.cells(x / np.linalg.norm(x, axis=1, keepdims=True))
+    seen, can = collections.Counter(), set()
+    for i in range(60):
+        for j in range(60):
+            for t in range(lattice.TABLES):
+                if i != j and c[j, t, 0] in c[i, t]:
+                    can.add((min(i, j), max(i, j)))
+                    seen[min(i, j), max(i, j)] += bool(lattice.met_here(c[[i]], c[[j]], np.array([i < j]), c[j, t, 0])[0])
+    assert can and set(seen.values()) == {1} and set(seen) == can
+
+
+def test_spanning_links_join_the_same():
+    rng = np.random.default_rng(7)
+    for share in (0.02, 0.1, 0.6):
+        m = rng.random((40, 30)) < share
+
+        def parts(pairs):
+            top = list(range(70))
+            for a, b in pairs:
+                x, y = top[a], top[40 + b]
+                top = [x if t == y else t for t in top]
+            return [top.index(t) for t in top]
+
+        tree = list(zip(*lattice.spanning(m)))
+        assert all(m[a, b] for a, b in tree) and len(tree) < 70
+        assert parts(tree) == parts(zip(*np.nonzero(m)))
+
+
 AWKWARD_PII = [
     None, "", "a@b.c_d@e.f x@y", "._%+-@a-.-", "1.2.3.4.5.6 256.1.1.1 01.002.0003.4 1.2.3", "4111 1111 1111 1111", "4111-1111-1111-1112",
     "41111111111111110000", "4 1-1 1", "+1 (555) 010-9999. +44", "+1--------", "é😀 a.b@c.de 10.0.0.1", "1 " * 3000, "a" * 5000 + "@b.c", "9" * 4000,
