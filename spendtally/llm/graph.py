@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +67,15 @@ def in_filter(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return ((bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
+def may_be_in(bitmap):
+    """The test of ``in_filter`` on a column of longs without nulls, for a broadcast bitmap; only that column goes to Python."""
+
+    def test(keys: pd.Series) -> pd.Series:
+        return pd.Series(in_filter(bitmap.value, keys.to_numpy()))
+
+    return F.pandas_udf(test, "boolean")
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Key of a row by what it holds, the same in every scan."""
     return F.xxhash64(doc_id, text)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import MAX_LONG, WordHashes, cut, hashed_words, plain_id, shingle_hashes, whole_id
-from .graph import in_filter, key_filter, row_key
+from .graph import in_filter, key_filter, may_be_in, row_key
 
 #: Words in a window, and in the anchors that index it.
 WINDOW, ANCHOR = 20, 6
@@ -212,11 +212,16 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
                           F.length("text").alias("n"))
     same = digest.groupBy("h", "crc", "n").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).filter("first < last")
     copies = digest.join(same, ["h", "crc", "n"]).filter("rank > first").select("row_key", F.lit(-1).alias("start"))
-    marks = repeats.union(copies).groupBy("row_key").agg(F.collect_set("start").alias("starts"))
+    marks = cut(repeats.union(copies).groupBy("row_key").agg(F.collect_set("start").alias("starts")))
+    # only texts that may have a mark are moved to it; the others are parsed where they are read
+    marked = may_be_in(sc.broadcast(key_filter(marks, "row_key")))("row_key")
     rows = docs.select(*plain_id(F.col("doc_id")), row_key().alias("row_key"), "text", F.lit(with_text).alias("wanted"))
+    shown = ["id", "has_id", "text", "starts", "wanted"]
     schema = ("id long, has_id boolean, n_words long, n_removed long, kept_sha256 string, kept_text string, "
               "factor_start array<int>, factor_words array<int>")
-    out = rows.join(marks, "row_key", "left").select("id", "has_id", "text", "starts", "wanted").mapInPandas(_cut_texts, schema)
+    met = rows.filter(marked).join(marks, "row_key", "left").select(shown)
+    alone = rows.filter(~marked).withColumn("starts", F.lit(None).cast("array<int>")).select(shown)
+    out = met.mapInPandas(_cut_texts, schema).union(alone.mapInPandas(_cut_texts, schema))
     return out.select(whole_id(), *[c for c in out.columns if c not in ("id", "has_id")])
 
 
