@@ -18,7 +18,8 @@ from ..operators.scoring import (
     levenshtein_similarity,
     matching_blocks_ratio,
 )
-from ..sources.tables import normalise_na, resolve_col
+from ..sources.tables import normalise_na, resolve_col, shared_checkpoint
+from .requests import accept_responses
 
 # --- fixed values -----------------------------------------------------------
 NUM_DISTRACTORS = 20
@@ -90,10 +91,13 @@ def _with_rule_no(offered: DataFrame) -> DataFrame:
         *offered.columns, "rule_no")
 
 
-def _score(offered: DataFrame, scorer: str) -> DataFrame:
+def _score(offered: DataFrame, scorer: str, threshold: float) -> DataFrame:
+    """Offers with their score; those that cannot reach the threshold may be left out."""
     a, c = folded("input_name"), F.lower("candidate")
     if scorer == "ratio":
-        return offered.withColumn("score", matching_blocks_ratio(a, c))
+        # M matched characters are a common subsequence, so the distance is at most la + lb - 2M = (1 - ratio) * (la + lb)
+        most = (F.length(a) + F.length(c)) * F.lit(1 - threshold) + F.lit(1e-6)
+        return offered.where(F.levenshtein(a, c) <= most).withColumn("score", matching_blocks_ratio(a, c))
     if scorer == "levenshtein":
         longest = F.greatest(F.length(a), F.length(c))
         return offered.withColumn("score", F.when(longest > 0, levenshtein_similarity(a, c)).otherwise(0.0))
@@ -103,7 +107,7 @@ def _score(offered: DataFrame, scorer: str) -> DataFrame:
 def best_offers(offered: DataFrame, config: RunConfig) -> DataFrame:
     """``(row_id, match)`` chosen from each row's own offer."""
     if config.scorer != "cascade":
-        return best_per_input(_score(offered, config.scorer), ["row_id"],
+        return best_per_input(_score(offered, config.scorer, config.similarity_threshold), ["row_id"],
                               config.similarity_threshold).select("row_id", "match")
     unique = (
         _with_rule_no(offered).where("rule_no is not null").groupBy("row_id", "rule_no")
@@ -111,7 +115,7 @@ def best_offers(offered: DataFrame, config: RunConfig) -> DataFrame:
         .groupBy("row_id").agg(F.min_by("candidate", "rule_no").alias("match"))
     )
     rest = offered.join(unique.select("row_id"), "row_id", "left_anti")
-    fuzzy = best_per_input(_score(rest, "ratio"), ["row_id"], config.similarity_threshold)
+    fuzzy = best_per_input(_score(rest, "ratio", config.similarity_threshold), ["row_id"], config.similarity_threshold)
     return unique.unionByName(fuzzy.select("row_id", "match"))
 
 
@@ -123,18 +127,40 @@ def is_correct(negative, prediction, truth) -> Column:
 
 
 def predictions(rows: DataFrame, configs: Sequence[RunConfig]) -> DataFrame:
-    """One row per labelled row and run."""
+    """One row per labelled row and run; runs with equal size and seed share their draw."""
+    draws = [(c.num_distractors, c.seed) for c in configs]
+    drawn = {d: offers(rows, configs[draws.index(d)]) for d in dict.fromkeys(draws)}
+    drawn = {d: shared_checkpoint(o) if draws.count(d) > 1 else o for d, o in drawn.items()}
     out = None
-    for c in configs:
-        chosen = best_offers(offers(rows, c), c)
-        part = (
-            rows.join(chosen, "row_id", "left")
-            .withColumn("prediction", t.clean_prediction("match"))
-            .withColumn("correct", is_correct("negative", "prediction", "ground_truth"))
-            .select(F.lit(c.run_name).alias("run_name"), "row_id", "input_name", "ground_truth",
-                    "prediction", "correct", "error_type", "entity_type",
-                    F.col("negative").cast("int").alias("is_negative_control"))
-        )
+    for c, draw in zip(configs, draws):
+        chosen = best_offers(drawn[draw], c)
+        part = _judged(rows.join(chosen, "row_id", "left").withColumn("run_name", F.lit(c.run_name)))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _judged(matched: DataFrame) -> DataFrame:
+    """Labelled rows with ``run_name`` and ``match`` -> predictions, right or wrong."""
+    return (
+        matched.withColumn("prediction", t.clean_prediction("match"))
+        .withColumn("correct", is_correct("negative", "prediction", "ground_truth"))
+        .select("run_name", "row_id", "input_name", "ground_truth", "prediction", "correct", "error_type",
+                "entity_type", F.col("negative").cast("int").alias("is_negative_control"))
+    )
+
+
+def predictions_from_responses(rows: DataFrame, responses: DataFrame, configs: Sequence[RunConfig]) -> DataFrame:
+    """One row per labelled row and run, scored from a service's answers: (run_name, row_id, response).
+
+    Only answers that the run's drawn list holds count; a row without one predicts no match.
+    """
+    draws = [(c.num_distractors, c.seed) for c in configs]
+    out = None
+    for d in dict.fromkeys(draws):
+        names = [c.run_name for c, draw in zip(configs, draws) if draw == d]
+        given = accept_responses(responses.where(F.col("run_name").isin(names)), listed(rows, configs[draws.index(d)]), ["row_id"])
+        every = rows.withColumn("run_name", F.explode(F.array(*[F.lit(n) for n in names])))
+        part = _judged(every.join(given.select("run_name", "row_id", "match"), ["run_name", "row_id"], "left"))
         out = part if out is None else out.unionByName(part)
     return out
 

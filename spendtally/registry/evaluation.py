@@ -147,14 +147,17 @@ def accuracy_of_scorers(spark, sf):
   SELECT 'levenshtein' AS run_name, 'none.txt' AS prompt_file, {K}::BIGINT AS num_distractors, {SEED}::BIGINT AS seed,
     0.85::DOUBLE AS similarity_threshold, (SELECT count(*) FROM pool)::BIGINT AS candidate_pool_size,
     (SELECT count(*) FROM predicted)::BIGINT AS rows, (SELECT avg(correct) FROM predicted) AS accuracy_overall,
-    error_type, avg(correct) AS accuracy FROM predicted GROUP BY error_type""")
+    CASE WHEN error_type IS NULL THEN 'entity_type' ELSE 'error_type' END AS kind, coalesce(error_type, entity_type) AS cell,
+    avg(correct) AS accuracy FROM predicted GROUP BY GROUPING SETS ((error_type), (entity_type))""")
 def run_summary(spark, sf):
     rows = _rows(spark, sf)
     summary = ev.run_summary(ev.predictions(rows, [_lev()]), rows, [_lev()])
+    maps = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"accuracy_by_{k}").alias("cells")) for k in ("error_type", "entity_type")])
+    summary = summary.withColumn("m", F.explode(maps))
     return summary.select(
         "run_name", "prompt_file", F.col("num_distractors").cast("bigint").alias("num_distractors"),
         F.col("seed").cast("bigint").alias("seed"), "similarity_threshold", "candidate_pool_size", "rows",
-        "accuracy_overall", F.explode("accuracy_by_error_type").alias("error_type", "accuracy"))
+        "accuracy_overall", F.col("m.kind").alias("kind"), F.explode("m.cells").alias("cell", "accuracy"))
 
 
 @query(f"""WITH {_OFFERS_SQL}
@@ -174,14 +177,39 @@ def prompt_requests(spark, sf):
 def accept_responses(spark, sf):
     """Echoed, null, bare, wrong, cut-off and right answers."""
     rows = _rows(spark, sf)
+    answers = rows.select("row_id", _mixed_response().alias("response"))
+    return rq.accept_responses(answers, ev.listed(rows, _lev()), ["row_id"]).select("row_id", "match")
+
+
+def _mixed_response():
     kind = F.length("input_name") % 6
-    response = (
+    return (
         F.when(kind == 0, F.to_json(F.struct(F.col("input_name").alias("match")))).when(kind == 1, '{"match": null}')
         .when(kind == 2, F.concat(F.lit('"'), "ground_truth", F.lit('"'))).when(kind == 3, "nobody of that name")
         .when(kind == 4, F.concat(F.lit('{"match": "'), "ground_truth"))
         .otherwise(F.to_json(F.struct(F.col("ground_truth").alias("match")))))
-    answers = rows.select("row_id", response.alias("response"))
-    return rq.accept_responses(answers, ev.listed(rows, _lev()), ["row_id"]).select("row_id", "match")
+
+
+@query(f"""WITH {_OFFERS_SQL},
+  answers AS (
+    SELECT 'plain' AS run_name, l.*,
+      CASE length(input_name) % 6 WHEN 0 THEN input_name WHEN 2 THEN ground_truth WHEN 5 THEN ground_truth END AS answer FROM labelled l
+    UNION ALL SELECT 'terse', l.*, CASE length(input_name) % 2 WHEN 0 THEN ground_truth END FROM labelled l),
+  predicted AS (
+    SELECT a.*, CASE WHEN EXISTS (SELECT 1 FROM offered o WHERE o.row_id = a.row_id AND o.candidate = a.answer) THEN answer END AS prediction
+    FROM answers a),
+  judged AS (SELECT *, CASE WHEN negative THEN (prediction IS NULL)::INT ELSE coalesce(prediction = ground_truth, false)::INT END AS correct
+    FROM predicted)
+  SELECT run_name, error_type, count(*)::BIGINT AS rows, avg(correct) AS accuracy FROM judged GROUP BY run_name, error_type""")
+def accuracy_of_prompts(spark, sf):
+    """Answers to two prompts over the same draws, by kind of error."""
+    rows = _rows(spark, sf)
+    terse = F.when(F.length("input_name") % 2 == 0, F.to_json(F.struct(F.col("ground_truth").alias("match"))))
+    responses = rows.select(F.lit("plain").alias("run_name"), "row_id", _mixed_response().alias("response")).union(
+        rows.select(F.lit("terse"), "row_id", terse))
+    runs = [ev.RunConfig("plain", prompt_file="plain.txt"), ev.RunConfig("terse", prompt_file="terse.txt")]
+    judged = ev.predictions_from_responses(rows, responses, runs)
+    return judged.groupBy("run_name", "error_type").agg(F.count("*").alias("rows"), F.avg("correct").alias("accuracy"))
 
 
 _MANIFEST_SQL = """SELECT o_orderpriority AS prompt_file, md5(o_custkey::VARCHAR) AS prompt_sha, o_orderstatus AS dataset_sha,

@@ -29,7 +29,7 @@ latest AS (
 recent AS (SELECT * FROM latest WHERE newest = 1)
 """
 _FIRSTS = ["contract_end", "contract_months", "award_value", "framework_title", "source",
-           "contract_title", "latest_employees"]
+           "contract_title", "latest_employees", "awarded", "contract_description"]
 _ROLL_SQL = ",\n".join(
     f"first({c} ORDER BY match_pass, contract_ord, mi_ord) FILTER (WHERE {c} IS NOT NULL) AS {c}"
     for c in _FIRSTS)
@@ -56,7 +56,7 @@ _LINE_COLS = """
   SELECT buyer, suppliers, contract_start::VARCHAR AS contract_start, contract_end::VARCHAR AS contract_end,
     contract_months::BIGINT AS contract_months, award_value::DOUBLE AS award_value, spend::DOUBLE AS spend,
     framework_title, source, contract_title, latest_employees::BIGINT AS latest_employees, customer_group,
-    months_run::BIGINT AS months_run, expired FROM lines"""
+    awarded::VARCHAR AS awarded, contract_description, months_run::BIGINT AS months_run, expired FROM lines"""
 _EXACT_LINES = f"WITH {sh.DOMAIN_SQL}, {_LATEST_SQL}, {_JOIN1}, {_rolled_sql('joined')}"
 
 # second pass: best Levenshtein similarity of at least .85, by brute force
@@ -92,7 +92,7 @@ def _line_columns(df):
         F.col("contract_months").cast("bigint").alias("contract_months"), sh.money("award_value"),
         F.col("EvidencedSpend").cast("double").alias("spend"), "framework_title", "source", "contract_title",
         F.col("latest_employees").cast("bigint").alias("latest_employees"),
-        F.col("CustomerGroup").alias("customer_group"),
+        F.col("CustomerGroup").alias("customer_group"), sh.text_date("awarded"), "contract_description",
         F.col("months_run").cast("bigint").alias("months_run"), "expired")
 
 

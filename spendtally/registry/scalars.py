@@ -140,7 +140,7 @@ def contract_dates(spark, sf):
         dates.expired("e", sh.AS_OF, inclusive=True).alias("expired_on"))
 
 
-_FP_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+_FP_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 _FP_PARTS = ", ".join(f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in _FP_COLS)
 
 

@@ -39,6 +39,7 @@ awards AS (
   SELECT o_orderkey, buyer, o_orderdate::DATE AS contract_start,
     6 * (1 + o_orderkey % 6) AS contract_months,
     (o_orderdate::DATE + to_months((6 * (1 + o_orderkey % 6))::INT))::DATE AS contract_end,
+    o_orderdate::DATE AS awarded, 'Order ' || o_orderkey || ', ' || o_orderpriority AS contract_description,
     CAST(o_totalprice AS DECIMAL(18,2)) AS award_value, o_orderpriority AS framework_title,
     o_orderstatus AS source, 'Contract ' || o_orderkey AS contract_title
   FROM orders JOIN buyers ON o_custkey = c_custkey)

@@ -124,3 +124,33 @@ def test_pending_runs(spark):
     todo = done[:1] + [("p1", "s2", "d", 20, 42, 0.85), ("p1", "s1", "d", 20, 42, 0.9)]
     left = pending_runs(spark.createDataFrame(todo, RUN_LEDGER), spark.createDataFrame(done, RUN_LEDGER), RUN_KEYS)
     assert sorted((r.prompt_sha, r.similarity_threshold) for r in left.collect()) == [("s1", 0.9), ("s2", 0.85)]
+
+
+def test_pruned_ratios_equal_all_ratios(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    rng = random.Random(4)
+    names = ["".join(rng.choice("abc ") for _ in range(rng.randint(1, 12))).strip() or "a" for _ in range(40)]
+    offered = spark.createDataFrame(
+        [(i, a, c, j) for i, a in enumerate(names) for j, c in enumerate(names) if a != c],
+        "row_id int, input_name string, candidate string, cand_ord int")
+    for threshold in (0.3, 0.6, 0.85):
+        got = dict(ev.best_offers(offered, ev.RunConfig("r", similarity_threshold=threshold)).collect())
+        want = {}
+        for i, a in enumerate(names):
+            scores = [(-SequenceMatcher(None, a, c).ratio(), j, c) for j, c in enumerate(names) if a != c]
+            if scores and -min(scores)[0] >= threshold:
+                want[i] = min(scores)[2]
+        assert got == want
+
+
+def test_answers_to_two_prompts(rows):
+    right = rows.select(F.lit("a").alias("run_name"), "row_id", F.to_json(F.struct(F.col("ground_truth").alias("match"))).alias("response"))
+    runs = [ev.RunConfig("a"), ev.RunConfig("b", seed=7)]
+    got = {}
+    for r in ev.predictions_from_responses(rows, right, runs).collect():
+        got.setdefault(r.run_name, []).append(r)
+    assert len(got["a"]) == len(got["b"]) == rows.count()
+    assert all(r.correct for r in got["a"]) and all(r.prediction is None for r in got["b"])
+    assert all(r.correct == r.is_negative_control for r in got["b"])
