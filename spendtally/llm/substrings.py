@@ -16,7 +16,7 @@ from .graph import in_filter, key_filter, may_be_in, row_key
 #: Words in a window, and in the anchors that index it.
 WINDOW, ANCHOR = 20, 6
 #: Words that are indexed at once.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 
 def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
