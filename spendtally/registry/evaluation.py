@@ -136,7 +136,40 @@ def accuracy_by(spark, sf):
     return ev.accuracy_by(ev.predictions(_rows(spark, sf), [_lev()]))
 
 
-@query()
+def _keyed_sql(side: str, name: str) -> str:
+    keys = {"k1": sh.NAME_KEY_SQL, "k2": sh.BRACKET_KEY_SQL, "k3": sh.SUFFIX_KEY_SQL}
+    return ", ".join(f"{v.replace('{x}', name)} AS {side}{k}" for k, v in keys.items())
+
+
+# no input is a single word, so the acronym rule has no counterpart here
+@query(f"""WITH {_PREDICTED_SQL.replace("offered AS (", "listed AS (", 1).replace("FROM offered JOIN", "FROM listed JOIN")},
+  offered AS (SELECT row_id, candidate, cand_ord, lower(trim(input_name)) AS p, lower(candidate) AS q,
+      {_keyed_sql("a", "input_name")}, {_keyed_sql("c", "candidate")}
+    FROM listed JOIN labelled USING (row_id) WHERE candidate <> input_name), {sh.RATIOS_SQL},
+  by_ratio AS (SELECT row_id, candidate FROM offered JOIN ratios USING (p, q) WHERE ratio >= 0.85
+    QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY ratio DESC, cand_ord, candidate) = 1),
+  fits AS (SELECT row_id, candidate, CASE WHEN ak1 = ck1 THEN 1 WHEN ak2 = ck2 THEN 2 WHEN ak3 = ck3 THEN 3
+      WHEN ak3 <> '' AND ck3 <> '' AND list_has_all(string_split(ak3, ' '), string_split(ck3, ' '))
+        AND len(list_distinct(string_split(ck3, ' '))) < len(list_distinct(string_split(ak3, ' '))) THEN 6
+      WHEN ak3 <> '' AND (starts_with(ck3, ak3 || ' ') OR ends_with(ck3, ' ' || ak3)) THEN 7 END AS rule_no FROM offered),
+  single AS (SELECT row_id, rule_no, min(candidate) AS candidate FROM fits WHERE rule_no IS NOT NULL
+    GROUP BY row_id, rule_no HAVING count(*) = 1),
+  by_rule AS (SELECT row_id, arg_min(candidate, rule_no) AS candidate FROM single GROUP BY row_id),
+  answers AS (
+    SELECT 'levenshtein' AS run_name, row_id, prediction AS answer FROM chosen
+    UNION ALL SELECT 'ratio', row_id, candidate FROM by_ratio
+    UNION ALL SELECT 'cascade', row_id, candidate FROM by_rule
+    UNION ALL SELECT 'cascade', row_id, candidate FROM by_ratio WHERE row_id NOT IN (SELECT row_id FROM by_rule)),
+  judged AS (
+    SELECT run_name, error_type, entity_type, CASE WHEN negative THEN (answer IS NULL)::INT
+      ELSE coalesce(answer = ground_truth, false)::INT END AS correct
+    FROM (SELECT l.*, unnest(['levenshtein', 'ratio', 'cascade']) AS run_name FROM labelled l) LEFT JOIN answers USING (run_name, row_id)),
+  g AS (SELECT run_name, error_type, entity_type, count(*)::BIGINT AS n, avg(correct) AS accuracy FROM judged
+    GROUP BY GROUPING SETS ((run_name), (run_name, error_type), (run_name, entity_type)))
+  SELECT run_name, CASE WHEN error_type IS NOT NULL THEN 'accuracy_error_' ||
+      replace(replace(lower(error_type), ' ', '_'), '-', '_')
+    WHEN entity_type IS NOT NULL THEN 'accuracy_entity_' || lower(entity_type) ELSE 'accuracy_overall' END AS metric,
+    n AS rows, accuracy FROM g""")
 def accuracy_of_scorers(spark, sf):
     """All three scorers as one job."""
     configs = [_lev(), ev.RunConfig("ratio"), ev.RunConfig("cascade", "cascade")]

@@ -42,7 +42,11 @@ def fuzzy_levenshtein(spark, sf):
     return _result(LevenshteinMatcher()(asked, _candidates(spark, sf)))
 
 
-@query()
+@query(f"""WITH RECURSIVE {sh.PART_NAMES_SQL}, asked AS (SELECT DISTINCT {_MISSPELT} AS name FROM names),
+  offered AS (SELECT a.name, n.name AS match, lower(a.name) AS p, lower(n.name) AS q
+    FROM asked a CROSS JOIN names n WHERE a.name <> n.name), {sh.RATIOS_SQL}
+  SELECT name, match, round(ratio, 9) AS score, 'ratio' AS rule FROM offered JOIN ratios USING (p, q) WHERE ratio >= 0.85
+  QUALIFY row_number() OVER (PARTITION BY name ORDER BY ratio DESC, match) = 1""")
 def fuzzy_ratio(spark, sf):
     asked = _names(spark, sf).select(F.expr("concat(substr(name, 1, 2), substr(name, 4))").alias("name")).distinct()
     return _result(RatioMatcher()(asked, _candidates(spark, sf)))
@@ -63,14 +67,6 @@ def fuzzy_low_threshold(spark, sf):
 
 # ---- rules -------------------------------------------------------------------
 
-_KEY = """trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower({x}), '&', ' and ', 'g'),
-    '[''.]', '', 'g'), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"""
-_NAME_KEY = _KEY.format(x="{x}")
-_BRACKET_KEY = _KEY.format(x="regexp_replace({x}, '[(][^)]*[)]', ' ', 'g')")
-_SUFFIX_KEY = ("regexp_replace(" + _BRACKET_KEY
-               + ", '( (limited liability partnership|limited|ltd|plc|llp|alb))+$', '')")
-
-
 def _equal_rule_sql(dirty: str, key: str, rule: str) -> str:
     return f"""WITH {sh.PART_NAMES_SQL}, asked AS (SELECT DISTINCT {dirty} AS name FROM names),
       hits AS (SELECT a.name, n.name AS match FROM asked a JOIN names n
@@ -84,24 +80,24 @@ def _rule(spark, sf, dirty, *rules):
     return _result(RuleMatcher(rules)(asked, _candidates(spark, sf)))
 
 
-@query(_equal_rule_sql("upper(replace(name, ' ', '  ')) || '.'", _NAME_KEY, "normalised"))
+@query(_equal_rule_sql("upper(replace(name, ' ', '  ')) || '.'", sh.NAME_KEY_SQL, "normalised"))
 def normalised_match(spark, sf):
     return _rule(spark, sf, F.concat(F.upper(F.replace("name", F.lit(" "), F.lit("  "))), F.lit(".")), "normalised")
 
 
-@query(_equal_rule_sql("name || ' (' || upper(substr(name, 1, 3)) || ')'", _BRACKET_KEY, "brackets"))
+@query(_equal_rule_sql("name || ' (' || upper(substr(name, 1, 3)) || ')'", sh.BRACKET_KEY_SQL, "brackets"))
 def bracket_match(spark, sf):
     tag = F.concat(F.lit(" ("), F.upper(F.substring("name", 1, 3)), F.lit(")"))
     return _rule(spark, sf, F.concat("name", tag), "brackets")
 
 
-@query(_equal_rule_sql("CASE WHEN length(name) % 2 = 0 THEN name || ' Ltd' ELSE name || ' PLC' END", _SUFFIX_KEY, "suffix"))
+@query(_equal_rule_sql("CASE WHEN length(name) % 2 = 0 THEN name || ' Ltd' ELSE name || ' PLC' END", sh.SUFFIX_KEY_SQL, "suffix"))
 def suffix_match(spark, sf):
     form = F.when(F.length("name") % 2 == 0, " Ltd").otherwise(" PLC")
     return _rule(spark, sf, F.concat("name", form), "suffix")
 
 
-@query(f"""WITH {sh.PART_NAMES_SQL}, keyed AS (SELECT name, {_NAME_KEY.replace('{x}', 'name')} AS k FROM names),
+@query(f"""WITH {sh.PART_NAMES_SQL}, keyed AS (SELECT name, {sh.NAME_KEY_SQL.replace('{x}', 'name')} AS k FROM names),
   c AS (SELECT name AS match, upper(array_to_string(list_transform(string_split(k, ' '), lambda w: substr(w, 1, 1)), '')) AS acronym
     FROM keyed),
   asked AS (SELECT DISTINCT lower(acronym) AS name FROM c)
@@ -113,8 +109,8 @@ def acronym_match(spark, sf):
 
 
 @query(f"""WITH {sh.PART_NAMES_SQL}, asked AS (SELECT DISTINCT 'national ' || name || ' body' AS name FROM names),
-  a AS (SELECT name, list_distinct(string_split({_SUFFIX_KEY.replace('{x}', 'name')}, ' ')) AS nt FROM asked),
-  c AS (SELECT name AS match, list_distinct(string_split({_SUFFIX_KEY.replace('{x}', 'name')}, ' ')) AS ct FROM names),
+  a AS (SELECT name, list_distinct(string_split({sh.SUFFIX_KEY_SQL.replace('{x}', 'name')}, ' ')) AS nt FROM asked),
+  c AS (SELECT name AS match, list_distinct(string_split({sh.SUFFIX_KEY_SQL.replace('{x}', 'name')}, ' ')) AS ct FROM names),
   fits AS (SELECT name, match, len(ct) AS fit FROM a JOIN c ON list_has_all(nt, ct) AND len(ct) < len(nt)),
   best AS (SELECT name, match FROM fits QUALIFY fit = max(fit) OVER (PARTITION BY name))
   SELECT name, min(match) AS match, 1.0::DOUBLE AS score, 'descriptor' AS rule FROM best GROUP BY name HAVING count(*) = 1""")
@@ -123,9 +119,9 @@ def descriptor_match(spark, sf):
 
 
 @query(f"""WITH {sh.PART_NAMES_SQL},
-  k AS (SELECT name, {_SUFFIX_KEY.replace('{x}', 'name')} AS k FROM names),
+  k AS (SELECT name, {sh.SUFFIX_KEY_SQL.replace('{x}', 'name')} AS k FROM names),
   asked AS (SELECT DISTINCT substr(k, strpos(k, ' ') + 1) AS name FROM k),
-  hits AS (SELECT a.name, k.name AS match FROM asked a JOIN k ON {_SUFFIX_KEY.replace('{x}', 'a.name')} <> k.k
+  hits AS (SELECT a.name, k.name AS match FROM asked a JOIN k ON {sh.SUFFIX_KEY_SQL.replace('{x}', 'a.name')} <> k.k
     AND (starts_with(k.k, a.name || ' ') OR ends_with(k.k, ' ' || a.name)))
   SELECT name, min(match) AS match, 1.0::DOUBLE AS score, 'shortened' AS rule FROM hits GROUP BY name
   HAVING count(DISTINCT match) = 1""")
@@ -160,17 +156,11 @@ def _dirty_names(spark, sf):
     return _names(spark, sf).select(dirty.alias("name")).distinct()
 
 
-@query()
-def rule_cascade(spark, sf):
-    """Rules first, matching-blocks ratio for the rest."""
-    return _result(CascadeMatcher()(_dirty_names(spark, sf), _candidates(spark, sf)))
-
-
-@query(f"""WITH {sh.PART_NAMES_SQL}, asked AS (SELECT DISTINCT {_DIRTY_SQL} AS name FROM names),
-  a AS (SELECT name, {_NAME_KEY.replace('{x}', 'name')} AS k1, {_BRACKET_KEY.replace('{x}', 'name')} AS k2,
-    {_SUFFIX_KEY.replace('{x}', 'name')} AS k3 FROM asked),
-  c AS (SELECT name AS match, {_NAME_KEY.replace('{x}', 'name')} AS k1, {_BRACKET_KEY.replace('{x}', 'name')} AS k2,
-    {_SUFFIX_KEY.replace('{x}', 'name')} AS k3 FROM names),
+_RULED_SQL = f"""{sh.PART_NAMES_SQL}, asked AS (SELECT DISTINCT {_DIRTY_SQL} AS name FROM names),
+  a AS (SELECT name, {sh.NAME_KEY_SQL.replace('{x}', 'name')} AS k1, {sh.BRACKET_KEY_SQL.replace('{x}', 'name')} AS k2,
+    {sh.SUFFIX_KEY_SQL.replace('{x}', 'name')} AS k3 FROM asked),
+  c AS (SELECT name AS match, {sh.NAME_KEY_SQL.replace('{x}', 'name')} AS k1, {sh.BRACKET_KEY_SQL.replace('{x}', 'name')} AS k2,
+    {sh.SUFFIX_KEY_SQL.replace('{x}', 'name')} AS k3 FROM names),
   fits AS (SELECT name, match, len(list_distinct(string_split(c.k3, ' '))) AS fit FROM a JOIN c
     ON list_has_all(string_split(a.k3, ' '), string_split(c.k3, ' '))
       AND len(list_distinct(string_split(c.k3, ' '))) < len(list_distinct(string_split(a.k3, ' ')))),
@@ -184,7 +174,22 @@ def rule_cascade(spark, sf):
   single AS (SELECT rule_no, rule, name, min(match) AS match FROM hits GROUP BY rule_no, rule, name
     HAVING count(DISTINCT match) = 1),
   ruled AS (SELECT name, match, 1.0::DOUBLE AS score, rule FROM single
-    QUALIFY row_number() OVER (PARTITION BY name ORDER BY rule_no) = 1),
+    QUALIFY row_number() OVER (PARTITION BY name ORDER BY rule_no) = 1)"""
+
+
+@query(f"""WITH RECURSIVE {_RULED_SQL},
+  offered AS (SELECT a.name, n.name AS match, lower(a.name) AS p, lower(n.name) AS q
+    FROM asked a CROSS JOIN names n WHERE a.name <> n.name AND a.name NOT IN (SELECT name FROM ruled)), {sh.RATIOS_SQL}
+  SELECT name, match, score, rule FROM ruled
+  UNION ALL
+  SELECT name, match, round(ratio, 9), 'ratio' FROM offered JOIN ratios USING (p, q) WHERE ratio >= 0.85
+  QUALIFY row_number() OVER (PARTITION BY name ORDER BY ratio DESC, match) = 1""")
+def rule_cascade(spark, sf):
+    """Rules first, matching-blocks ratio for the rest."""
+    return _result(CascadeMatcher()(_dirty_names(spark, sf), _candidates(spark, sf)))
+
+
+@query(f"""WITH {_RULED_SQL},
   scored AS (SELECT a.name, n.name AS match, 1.0::DOUBLE - levenshtein(lower(a.name), lower(n.name))::DOUBLE
       / greatest(length(a.name), length(n.name))::DOUBLE AS score
     FROM asked a CROSS JOIN names n WHERE a.name <> n.name AND a.name NOT IN (SELECT name FROM ruled))

@@ -74,6 +74,30 @@ PART_NAMES_SQL = """
 names AS (SELECT DISTINCT p_name || ' ' || p_brand || ' ' || lower(p_type) AS name FROM part)
 """
 
+_KEY_SQL = """trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower({x}), '&', ' and ', 'g'),
+    '[''.]', '', 'g'), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"""
+NAME_KEY_SQL = _KEY_SQL.format(x="{x}")
+BRACKET_KEY_SQL = _KEY_SQL.format(x="regexp_replace({x}, '[(][^)]*[)]', ' ', 'g')")
+SUFFIX_KEY_SQL = ("regexp_replace(" + BRACKET_KEY_SQL
+                  + ", '( (limited liability partnership|limited|ltd|plc|llp|alb))+$', '')")
+# The matching-blocks ratio of the pairs (p, q) of ``offered`` that may reach 0.85: the longest common run, the first
+# of equals in p and then in q, and again what lies to its left and to its right.  Needs WITH RECURSIVE.
+RATIOS_SQL = """
+close AS (SELECT DISTINCT p, q FROM offered WHERE levenshtein(p, q) <= 0.15 * (length(p) + length(q)) + 1e-6),
+parts AS (
+  SELECT p, q, p AS x, q AS y, 0 AS m FROM close
+  UNION ALL
+  SELECT p, q, CASE side WHEN 'l' THEN substr(x, 1, i - 1) ELSE substr(x, i + k) END AS x,
+    CASE side WHEN 'l' THEN substr(y, 1, strpos(y, substr(x, i, k)) - 1) ELSE substr(y, strpos(y, substr(x, i, k)) + k) END AS y,
+    CASE side WHEN 'l' THEN k ELSE 0 END AS m
+  FROM (
+    SELECT p, q, x, y, longest[1] AS k, -longest[2] AS i FROM (
+      SELECT *, list_max(list_transform(range(1, length(x) + 1), lambda i:
+        [coalesce(list_max(list_filter(range(1, length(x) - i + 2), lambda k: contains(y, substr(x, i, k)))), 0), -i])) AS longest
+      FROM parts WHERE x <> '' AND y <> '') WHERE longest[1] > 0), (SELECT unnest(['l', 'r']) AS side)),
+ratios AS (SELECT p, q, 2.0::DOUBLE * sum(m) / (length(p) + length(q)) AS ratio FROM parts GROUP BY p, q)
+"""
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
