@@ -44,7 +44,7 @@ def op7_language_model(spark, sf_dir):
     return suffix_tree.language_model_digest(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(lattice.LINKED_SQL)
 def op8_lattice(spark, sf_dir):
     return lattice.lattice_digest(table(spark, sf_dir, "embeddings"))
 
