@@ -205,7 +205,9 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     rows = texts.select(rank.alias("rank"), row_key().alias("row_key"), "text")
     blocks = cut(rows.mapInPandas(_reference_blocks(low, high), "anchor long, rank long, row_key long, start int, windows array<long>"))
     windows = blocks.select("anchor", "rank", "row_key", "start", F.posexplode("windows").alias("i", "window")).filter("window != 0")
-    earliest = windows.groupBy("anchor", "window").agg(F.min("rank").alias("first"))
+    # windows of one document alone need no look-up; what is left is cut off, so that a window in very many texts is split at run time
+    earliest = windows.groupBy("anchor", "window").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
+    earliest = cut(earliest.filter("first < last").drop("last"))
     repeats = windows.join(earliest, ["anchor", "window"]).filter("rank > first").select("row_key", (F.col("start") + F.col("i")).alias("start"))
 
     digest = texts.select(rank.alias("rank"), row_key().alias("row_key"), text_hash.alias("h"), F.crc32(F.col("text").cast("binary")).alias("crc"),
