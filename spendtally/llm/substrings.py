@@ -75,7 +75,10 @@ def _anchor_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _reference_blocks(low, high):
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The windows of every shared anchor: one row per place of an anchor, window hashes in order (0: met before in the text)."""
+        """The windows of every shared anchor: one row per place of an anchor, window hashes in order (0: met before in the text).
+
+        31 bits of the anchor go along: with a window's own 63 they tell all windows apart.
+        """
         known = WordHashes()
         for batch in batches:
             out = []
@@ -92,7 +95,7 @@ def _reference_blocks(low, high):
                 place = np.flatnonzero(shared)
                 cuts = np.flatnonzero((np.diff(at[place]) != 0) | (np.diff(place) != 1)) + 1
                 for run in np.split(place, cuts):
-                    out.append((h[at[run[0]]].astype(np.int64), rank, key, run[0], windows[run].view(np.int64)))
+                    out.append((int(h[at[run[0]]] >> np.uint64(33)), rank, key, run[0], windows[run].view(np.int64)))
                 if len(out) >= 20_000:
                     yield _block_table(out)
                     out = []
@@ -203,7 +206,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     low, high = sc.broadcast(key_filter(found, "anchor")), sc.broadcast(key_filter(found, "upper"))
 
     rows = texts.select(rank.alias("rank"), row_key().alias("row_key"), "text")
-    blocks = cut(rows.mapInPandas(_reference_blocks(low, high), "anchor long, rank long, row_key long, start int, windows array<long>"))
+    blocks = cut(rows.mapInPandas(_reference_blocks(low, high), "anchor int, rank long, row_key long, start int, windows array<long>"))
     windows = blocks.select("anchor", "rank", "row_key", "start", F.posexplode("windows").alias("i", "window")).filter("window != 0")
     # windows of one document alone need no look-up; what is left is cut off, so that a window in very many texts is split at run time
     earliest = windows.groupBy("anchor", "window").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
