@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ from .graph import in_filter, key_filter, may_be_in, row_key
 WINDOW, ANCHOR = 20, 6
 #: Words that are indexed at once.
 CHUNK = 1 << 20
+#: Windows that are sent at once.
+BLOCK_WINDOWS = 1 << 17
 
 
 def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,15 +77,15 @@ def _anchor_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _reference_blocks(low, high):
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The windows of every shared anchor: one row per place of an anchor, window hashes in order (0: met before in the text).
 
         31 bits of the anchor go along: with a window's own 63 they tell all windows apart.
         """
         known = WordHashes()
         for batch in batches:
-            out = []
-            for rank, key, text in zip(batch["rank"], batch["row_key"], batch["text"]):
+            out, held = [], 0
+            for rank, key, text in zip(*(batch.column(c).to_pylist() for c in ("rank", "row_key", "text"))):
                 words = hashed_words(text, known, lower=False)
                 if len(words) < WINDOW:
                     continue
@@ -93,21 +96,27 @@ def _reference_blocks(low, high):
                 windows = window_hashes(words)
                 windows[repeated(windows)] = 0
                 place = np.flatnonzero(shared)
-                cuts = np.flatnonzero((np.diff(at[place]) != 0) | (np.diff(place) != 1)) + 1
-                for run in np.split(place, cuts):
-                    out.append((int(h[at[run[0]]] >> np.uint64(33)), rank, key, run[0], windows[run].view(np.int64)))
-                if len(out) >= 20_000:
+                # a row ends where the anchor changes or a window is left out
+                first = np.flatnonzero(np.concatenate(([True], (np.diff(at[place]) != 0) | (np.diff(place) != 1))))
+                start = place[first]
+                out.append((
+                    (h[at[start]] >> np.uint64(33)).astype(np.int32), np.full(len(first), rank, np.int64), np.full(len(first), key, np.int64),
+                    start.astype(np.int32), np.diff(np.append(first, len(place))), windows[place].view(np.int64)))
+                held += len(place)
+                if held >= BLOCK_WINDOWS:
                     yield _block_table(out)
-                    out = []
+                    out, held = [], 0
             if out:
                 yield _block_table(out)
 
     return blocks
 
 
-def _block_table(out: list) -> pd.DataFrame:
-    anchor, rank, key, start, windows = zip(*out)
-    return pd.DataFrame({"anchor": anchor, "rank": rank, "row_key": key, "start": start, "windows": windows})
+def _block_table(out: list) -> pa.RecordBatch:
+    anchor, rank, key, start, sizes, windows = (np.concatenate(c) for c in zip(*out))
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    columns = {"anchor": anchor, "rank": rank, "row_key": key, "start": start, "windows": pa.ListArray.from_arrays(offsets, windows)}
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def _shared(h: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -206,7 +215,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     low, high = sc.broadcast(key_filter(found, "anchor")), sc.broadcast(key_filter(found, "upper"))
 
     rows = texts.select(rank.alias("rank"), row_key().alias("row_key"), "text")
-    blocks = cut(rows.mapInPandas(_reference_blocks(low, high), "anchor int, rank long, row_key long, start int, windows array<long>"))
+    blocks = cut(rows.mapInArrow(_reference_blocks(low, high), "anchor int, rank long, row_key long, start int, windows array<long>"))
     windows = blocks.select("anchor", "rank", "row_key", "start", F.posexplode("windows").alias("i", "window")).filter("window != 0")
     # windows of one document alone need no look-up; what is left is cut off, so that a window in very many texts is split at run time
     earliest = windows.groupBy("anchor", "window").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
