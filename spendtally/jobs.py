@@ -76,7 +76,8 @@ def enrich(spark: SparkSession, sources: list[str], combined: str, outdir: str,
 
 def evaluate(
     spark: SparkSession, benchmark: str, prompts: str, outdir: str, scorer: str = "ratio",
-    descriptions: DataFrame | None = None,
+    descriptions: DataFrame | None = None, num_distractors: int = ev.NUM_DISTRACTORS, seed: int = ev.SEED,
+    threshold: float = ev.SIMILARITY_THRESHOLD,
 ) -> list[str]:
     """Score every prompt file not yet run on this data; returns the run names.
 
@@ -88,8 +89,7 @@ def evaluate(
     mark = fingerprint(source, source.columns).first()
     manifest = read_prompts(spark, prompts).drop("prompt_text").withColumns({
         "dataset_sha": F.lit(f"{mark.row_count}-{mark.digest_a}-{mark.digest_b}"),
-        "num_distractors": F.lit(ev.NUM_DISTRACTORS), "seed": F.lit(ev.SEED),
-        "similarity_threshold": F.lit(ev.SIMILARITY_THRESHOLD)})
+        "num_distractors": F.lit(num_distractors), "seed": F.lit(seed), "similarity_threshold": F.lit(threshold)})
     ledger_path = f"{outdir}/ledger"
     try:
         ledger = tb.read_table(spark, ledger_path, schemas.RUN_LEDGER, "parquet")
@@ -139,6 +139,9 @@ def main(argv=None) -> None:
     s.add_argument("--keep-existing", action="store_true")
     s = job("evaluate", "benchmark", "prompts", "outdir")
     s.add_argument("--scorer", choices=["ratio", "levenshtein", "cascade"], default="ratio")
+    s.add_argument("--distractors", type=int, default=ev.NUM_DISTRACTORS)
+    s.add_argument("--seed", type=int, default=ev.SEED)
+    s.add_argument("--threshold", type=float, default=ev.SIMILARITY_THRESHOLD)
     s = job("report", "suppliers", "outdir")
     s.add_argument("--as-of", default=None)
     s.add_argument("--threshold", type=int, default=rp.STATUS_MONTHS_THRESHOLD)
@@ -154,7 +157,8 @@ def main(argv=None) -> None:
     elif a.job == "enrich":
         enrich(spark, a.sources, a.combined, a.outdir, not a.keep_existing)
     elif a.job == "evaluate":
-        print("\n".join(evaluate(spark, a.benchmark, a.prompts, a.outdir, a.scorer)) or "nothing to run")
+        runs = evaluate(spark, a.benchmark, a.prompts, a.outdir, a.scorer, None, a.distractors, a.seed, a.threshold)
+        print("\n".join(runs) or "nothing to run")
     else:
         report(spark, a.suppliers, a.outdir, as_of, a.threshold, a.sender)
 

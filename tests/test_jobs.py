@@ -49,6 +49,11 @@ def test_evaluate_skips_done_runs(spark, tmp_path):
     assert preds.count() == 9 and preds.agg(F.avg("correct")).first()[0] == 1.0
     summary = spark.read.json(str(tmp_path / "out" / "summary"))
     assert sorted(r.run_name for r in summary.collect()) == ["careful", "v1", "v2"]
+    jobs.main(["evaluate", "--benchmark", args[1], "--prompts", args[2], "--outdir", args[3], "--scorer", "cascade",
+               "--distractors", "1", "--seed", "7", "--threshold", "0.9"])
+    summary = spark.read.json(str(tmp_path / "out" / "summary"))
+    assert summary.where("num_distractors = 1 and seed = 7 and similarity_threshold = 0.9").count() == 2
+    assert jobs.evaluate(*args, scorer="cascade", num_distractors=1, seed=7, threshold=0.9) == []
 
 
 def test_report(spark, tmp_path):
