@@ -57,7 +57,7 @@ def keep_columns(df: DataFrame, added: list[str]) -> list[str]:
 class WordHashes(dict):
     """64-bit hash of a word (bytes), kept for the words met last."""
 
-    LIMIT = 300_000
+    LIMIT = 1_000_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

@@ -22,6 +22,12 @@ CHUNK = 1 << 20
 BLOCK_WINDOWS = 1 << 17
 
 
+class FewWordHashes(WordHashes):
+    """A smaller table: tasks hold anchors and windows beside it."""
+
+    LIMIT = 300_000
+
+
 def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every anchor of a text, and for each window the place of its anchor.
 
@@ -47,7 +53,7 @@ def anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _anchor_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Anchors in use with a hash of the text that holds them, two if texts of a chunk share one."""
-    known = WordHashes()
+    known = FewWordHashes()
 
     def table(held, texts):
         h = np.concatenate(held)
@@ -82,7 +88,7 @@ def _reference_blocks(low, high):
 
         31 bits of the anchor go along: with a window's own 63 they tell all windows apart.
         """
-        known = WordHashes()
+        known = FewWordHashes()
         for batch in batches:
             out, held = [], 0
             for rank, key, text in zip(*(batch.column(c).to_pylist() for c in ("rank", "row_key", "text"))):
@@ -159,7 +165,7 @@ def factors(found: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _cut_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    known = WordHashes()
+    known = FewWordHashes()
     for batch in batches:
         rows = []
         for text, starts in zip(batch["text"], batch["starts"]):
