@@ -321,6 +321,16 @@ def test_linked_vectors_recall(spark):
     assert all(found[i] == 0 for i in (902, 903, 904, 905, 906)) and all(r.kept == (r.vec_id == r.component_id) for r in got if r.vec_id is not None)
 
 
+def test_pairs_near_the_threshold_are_linked(spark):
+    rng, rows = np.random.default_rng(9), []
+    for k in range(300):
+        a, b = np.linalg.qr(rng.normal(size=(48, 2)))[0].T
+        c = 0.9301 + 0.0099 * k / 300
+        rows += [(2 * k, a.tolist(), k // 10), (2 * k + 1, (c * a + math.sqrt(1 - c * c) * b).tolist(), k // 10)]
+    got = lattice.lattice_digest(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sum(r.n_links for r in got) >= 0.97 * 600 and {r.n_links for r in got} <= {0, 1}
+
+
 def test_links_of_a_family_are_counted_once_and_not_sent(spark):
     rng = np.random.default_rng(5)
     centre = rng.normal(size=24)
