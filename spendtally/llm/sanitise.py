@@ -124,19 +124,73 @@ def revealing_terms(beside: DataFrame, counts: DataFrame, mentions: DataFrame) -
     return c.filter(F.col("disclosure") >= GENERALISE).select("value", "term", "disclosure")
 
 
+def may_hold(text: Column) -> Column:
+    """False only for texts in which no base pattern is searched."""
+    return text.rlike("|".join(f"(?:{sign})" for sign in SIGNS.values()))
+
+
+def document_terms(docs: DataFrame) -> DataFrame:
+    """The distinct terms of every document: place, term."""
+    terms = F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), lambda t: F.lower(t))
+    return docs.select("place", F.explode(F.array_distinct(terms)).alias("term"))
+
+
+def revealing_in_documents(docs: DataFrame, holds: DataFrame) -> DataFrame:
+    """(value, term, disclosure) as in ``revealing_terms``, where to meet is to be in one document, at any distance.
+
+    ``holds`` has the distinct (place, value).  A term in more documents than ``most``
+    cannot reveal the value even if it is in all of the value's, so leaving it out
+    before pairs are made loses none.
+    """
+    total = F.broadcast(docs.agg(F.count("*").alias("total")))
+    often = holds.groupBy("value").agg(F.count("*").alias("n_value")).filter(F.col("n_value") >= SUPPORT).join(total)
+    often = often.withColumn("most", F.col("n_value") * F.pow(F.col("total") / F.col("n_value"), F.lit(1 - GENERALISE)) + F.lit(0.5))
+    most = often.agg(F.max("most").alias("limit"))
+    counts = document_terms(docs).groupBy("term").agg(F.count("*").alias("n")).filter(F.col("n") >= SUPPORT)
+    counts = counts.join(F.broadcast(most), F.col("n") <= F.col("limit")).drop("limit")
+    held = holds.join(often, "value")
+    met = document_terms(docs.filter(may_hold(F.col("text")))).join(held.select("place").distinct(), "place", "left_semi").join(counts, "term")
+    met = met.join(held, "place").filter("n <= most")
+    c = met.groupBy("value", "term", "n", "n_value", "total").agg(F.count("*").alias("both")).filter(F.col("both") >= SUPPORT)
+    own = F.log2(F.col("total") / F.col("n_value"))
+    c = c.withColumn("disclosure", F.when(own > 0, (F.log2(F.col("both") / F.col("n")) + own) / own).otherwise(F.lit(0.0)))
+    return c.filter(F.col("disclosure") >= GENERALISE).select("value", "term", "disclosure")
+
+
+def occurrences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Every occurrence of the ``wanted`` (place, term, disclosure): place, start, end, disclosure.
+
+    Places are running sums of lengths over rows, as in ``base_spans``.
+    """
+    text = docs.filter(may_hold(F.col("text"))).join(wanted.select("place").distinct(), "place", "left_semi")
+    gaps, terms = F.split("text", TERM, -1), F.regexp_extract_all("text", F.lit(TERM), F.lit(0))
+    pieces = F.transform(terms, lambda t, i: F.struct(F.lower(t).alias("term"), F.length(t).alias("long"), F.length(F.get(gaps, i)).alias("gap")))
+    so_far = Window.partitionBy("place").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    rows = text.select("place", F.posexplode(pieces).alias("i", "t")).select("place", "i", "t.*")
+    rows = rows.withColumn("end", F.sum(F.col("gap") + F.col("long")).over(so_far)).withColumn("start", F.col("end") - F.col("long"))
+    return rows.join(wanted, ["place", "term"]).select("place", "start", "end", "disclosure")
+
+
 def sensitive_spans(docs: DataFrame) -> DataFrame:
     """All spans: place, kind_no, start, end (code points, end exclusive), remove.
 
-    ``docs`` has place and text.  Base spans of the four kinds stay as found; terms
-    that reveal a value of the same document by their place beside it are added
-    (kind ``term``).  What a term reveals is estimated over the whole corpus: every
-    word of every text is counted, and every mention of a value with the terms of its
-    context, whose length bounds the pairs of a mention.
+    ``docs`` has place and text.  Base spans of the four kinds stay as found; every
+    occurrence of a term that reveals a value of the same document is added (kind
+    ``term``), however far from the value.  What a term reveals is estimated over the
+    whole corpus in two ways, and the larger counts: by mentions, with the terms of
+    their context, and by documents, with all their terms.
     """
     spans = cut(base_spans(docs))
     beside = cut(context_terms(spans))
-    revealed = revealing_terms(beside, term_counts(docs), spans)
-    added = beside.join(revealed, ["value", "term"]).groupBy("place", "start", "end").agg(F.max("disclosure").alias("disclosure"))
+    holds = cut(spans.select("place", "value").distinct())
+    revealed = revealing_terms(beside, term_counts(docs), spans).union(revealing_in_documents(docs, holds))
+    revealed = cut(revealed.groupBy("value", "term").agg(F.max("disclosure").alias("disclosure")))
+    near = beside.join(revealed, ["value", "term"]).select("place", "start", "end", "disclosure")
+    wanted = cut(holds.join(revealed, "value").groupBy("place", "term").agg(F.max("disclosure").alias("disclosure")))
+    s = spans.select(F.col("place").alias("s_place"), F.col("start").alias("s_start"), F.col("end").alias("s_end"))
+    inside = (F.col("place") == F.col("s_place")) & (F.col("start") < F.col("s_end")) & (F.col("s_start") < F.col("end"))
+    every = occurrences(docs, wanted).join(s, inside, "left_anti")
+    added = near.union(every).groupBy("place", "start", "end").agg(F.max("disclosure").alias("disclosure"))
     added = added.select("place", F.lit(4).alias("kind_no"), "start", "end", (F.col("disclosure") >= REMOVE).alias("remove"))
     return spans.select("place", "kind_no", "start", "end", F.lit(False).alias("remove")).union(added)
 

@@ -408,6 +408,20 @@ def test_revealing_terms_are_masked_beside_their_value_only(spark, tmp_path):
     assert safe[500] is None and safe[10] == dict(rows)[10]
 
 
+def test_revealing_terms_are_masked_in_the_whole_document(spark, tmp_path):
+    filler = "the day " * 40
+    rows = [(i, f"Zorblatt came. {filler} writes from me@corp.example {filler} and zorblatt left") for i in range(5)]
+    rows += [(10 + i, f"plain {filler} the writes from and came left") for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    safe = {r.doc_id: r.text for r in sanitise.sanitised(df).collect()}
+    assert all("zorblatt" not in safe[i].lower() and safe[i].count("the day") == 80 and "came" in safe[i] for i in range(5))
+    spans = {r.doc_id: r.spans for r in sanitise.sanitise_digest(df).collect()}
+    text = dict(rows)[0]
+    found = [text[int(a) : int(b)] for k, a, b in (x.split(":") for x in spans[0].split(",")) if k == "term"]
+    assert found == ["Zorblatt", "zorblatt"] and all(spans[i] == "" for i in spans if i >= 10)
+
+
 def test_mix_meets_targets(docs):
     got = mixing.mix_digest(docs).collect()
     assert len(got) == docs.count()
