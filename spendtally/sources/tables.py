@@ -138,12 +138,11 @@ def write_summary(df: DataFrame, path: str, mode: str = "errorifexists") -> None
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def shared_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage in the folder that ``spark.checkpoint.dir`` names.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's folder in the one that ``spark.checkpoint.dir`` names.
 
     Only a local session with no such setting gets a folder of its own.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -152,4 +151,10 @@ def shared_checkpoint(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
             folder = tempfile.mkdtemp(prefix="spendtally-")
         sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
+
+
+def shared_checkpoint(df: DataFrame) -> DataFrame:
+    """Cut lineage in the folder that ``spark.checkpoint.dir`` names."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
