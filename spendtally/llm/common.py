@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import shared_checkpoint
+from ..sources.tables import checkpoint_folder, shared_checkpoint
 
 #: The six ASCII blanks that separate words, as a regular expression class.
 BLANKS = r"[\x20\x09-\x0D]"
@@ -38,6 +39,17 @@ def cut(df: DataFrame) -> DataFrame:
     return shared_checkpoint(df)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """Path of a new folder, not yet made, beside the session's checkpoints."""
+    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours on whatever store it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
 def plain_id(doc_id: Column) -> list[Column]:
     """An id for pandas, which has no null longs: ``id`` (0 for null) and ``has_id``."""
     return [F.coalesce(doc_id.cast("long"), F.lit(0).cast("long")).alias("id"), doc_id.isNotNull().alias("has_id")]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, lattice, mixing, neardup, quality, sanitise, sharding, substrings, suffix_tree
+from . import (
+    conversations, decontaminate, language, lattice, lines, mixing, neardup, quality, ranking, sanitise, sharding, substrings, suffix_tree,
+)
 from ..registry.book import Book
 from .common import table
 
@@ -59,6 +61,21 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
 
+@query(ranking.RANKED_SQL)
+def op11_ranking(spark, sf_dir):
+    return ranking.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(lines.LINES_SQL)
+def op12_lines(spark, sf_dir):
+    return lines.line_digest(table(spark, sf_dir, "documents"))
+
+
+@query(conversations.REPAIRED_SQL)
+def op13_conversations(spark, sf_dir):
+    return conversations.repair_digest(table(spark, sf_dir, "conversations"))
+
+
 def all_queries():
     return dict(query.queries)
 
