@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import keep_columns, remove_folder, shared_folder
+from .common import cut, keep_columns, remove_folder, shared_folder
 
 MIN_LENGTH = 20
 MIN_DOCS = 3
@@ -81,11 +81,8 @@ class LineRuns:
     def _tables(self) -> list[DataFrame]:
         return [t for level in self.levels for _, t in level]
 
-    def add(self, entries: DataFrame) -> DataFrame:
-        """Merge one batch of ``line_entries`` with the runs and add it as a run; gives the run.
-
-        No document may come twice.  ``seen`` is false for the keys that are new.
-        """
+    def add(self, entries: DataFrame) -> None:
+        """Merge one batch of ``line_entries`` with the runs and add it as a run; no document may come twice."""
         new = entries.filter("first").groupBy(*KEY).agg(F.count("*").alias("docs"), F.max("doc_id").alias("last"))
         marks = []
         for i, t in enumerate(self._tables()):
@@ -93,10 +90,8 @@ class LineRuns:
             run = t.filter("not seen").select(*KEY, F.lit(True).alias(marks[-1]))
             new = new.join(run.hint("merge"), KEY, "left")
         seen = F.coalesce(*[F.col(m) for m in marks], F.lit(False))
-        run = self._write(new.select(*KEY, "docs", "last", seen.alias("seen")))
-        self.levels[0].append(run)
+        self.levels[0].append(self._write(new.select(*KEY, "docs", "last", seen.alias("seen"))))
         self._compact()
-        return run[1]
 
     def _compact(self) -> None:
         for i, level in enumerate(self.levels):
@@ -164,7 +159,8 @@ def drop_repeated_lines(
     index = LineRuns(spark, fanout=fanout)
     for b in range(batches):
         index.add(entries.filter(F.col("batch") == b))
-    met = entries.join(index.frequent(min_docs), KEY).filter(~F.col("doc_id").eqNullSafe(F.col("last")))
+    # cut off from its buckets, so that both sides are shuffled and a common line can be split
+    met = entries.join(cut(index.frequent(min_docs)), KEY).filter(~F.col("doc_id").eqNullSafe(F.col("last")))
     dropped = met.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.collect_set("pos").alias("_dropped"))
     names = keep_columns(docs, ["n_lines", "n_dropped", "text"])
     row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row")
