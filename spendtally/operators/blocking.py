@@ -8,6 +8,12 @@ ones are, which keeps words that every name shares ("council", "department")
 out of the join.  Pieces meet the inputs' substrings in one equi-join; length
 and position limits discard most chance meetings inside it.
 
+Below the threshold at which a piece must survive, names meet by the characters
+they share (``sharing_pairs``): a name's characters, repeats numbered, are put in
+one order, the rarest first, and two names that share enough of them share one
+among the first few (the prefix rule of set similarity joins, Chaudhuri et al.,
+ICDE 2006).
+
 Arrays are opened with explode_outer: a plain explode adds a "not empty" filter
 that is pushed down to the scan and computes the array once more for every row.
 """
@@ -89,6 +95,8 @@ def close_pairs(
     of a piece are spread as well: one more part per ``spread_rows`` candidates up to
     ``splits``, then by the square root of their number.
     """
+    if not bound.cuts:
+        raise ValueError(f"no piece need survive at a threshold of {bound.threshold}; use sharing_pairs")
     pieces = candidate_pieces(candidates, bound, spare)
     common = (
         pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("_n"))
@@ -133,3 +141,70 @@ def close_pairs(
         grams.join(k, same & F.expr(near))
         .select("name", "a", "candidate", "cand_ord", "c", F.expr(differing).alias("differing"))
     )
+
+
+def _character_tokens(names: DataFrame, text: str, length: str) -> DataFrame:
+    """``(token, text)``: one row for each character of a text, the k-th occurrence as a token of its own."""
+    chars = f"filter(array_distinct(split({text}, '')), ch -> ch <> '')"
+    tokens = (
+        f"flatten(transform({chars}, ch -> transform(sequence(1, length({text}) - length(replace({text}, ch, ''))), "
+        f"k -> xxhash64(ch, k))))"
+    )
+    return names.select(text).distinct().withColumn(length, F.length(text)).select(text, length, F.explode_outer(F.expr(tokens)).alias("token"))
+
+
+def _prefixes(tokens: DataFrame, common: DataFrame, bound: EditBound, text: str, length: str) -> DataFrame:
+    """``(text, prefix)``: the first tokens of each text, rarest among candidates first."""
+    ranked = tokens.join(common, "token", "left").groupBy(text, length).agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "token"))).alias("_all"))
+    return ranked.select(text, F.expr(f"slice(transform(_all, t -> t.token), 1, {bound.prefix(length)})").alias("prefix"))
+
+
+def sharing_pairs(inputs: DataFrame, candidates: DataFrame, bound: EditBound, block_rows: int = 2_000) -> DataFrame:
+    """Pairs that may reach any threshold above 0: columns and inputs as ``close_pairs``.
+
+    A superset of the qualifying pairs; each pair comes once.  Names of a token meet
+    in cells of about ``block_rows`` names a side, so a character that all names hold
+    is work for many tasks; a pair is looked at in the cell of the first token that
+    both prefixes hold, and there length, character signature and (for the edit
+    distance) the banded distance decide.  At a low threshold most names do share
+    enough characters, so the work comes near the product of both sides; put a
+    higher threshold first and give this join what is left.
+    """
+    a = inputs.withColumn("a", folded("name")).where(F.length("a") > 0)
+    c = candidates.withColumn("c", F.lower("candidate")).where(F.length("c") > 0)
+    c_tokens, a_tokens = _character_tokens(c, "c", "cl"), _character_tokens(a, "a", "al")
+    common = c_tokens.groupBy("token").agg(F.count(F.lit(1)).alias("_n"))
+    ap = _prefixes(a_tokens, common, bound, "a", "al").withColumnRenamed("prefix", "ap")
+    cp = _prefixes(c_tokens, common, bound, "c", "cl").withColumnRenamed("prefix", "cp")
+    ap, cp = ap.select("*", F.explode("ap").alias("token")), cp.select("*", F.explode("cp").alias("token"))
+
+    def blocks(rows, name):
+        return rows.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name))
+
+    cells = blocks(ap, "_spread").join(blocks(cp, "_parts"), "token")
+    left = (
+        a.join(ap, "a").join(cells, "token").withColumns({"a0": char_signature("a", 0), "a1": char_signature("a", 1), "al": F.length("a")})
+        .withColumn("_copy", F.pmod(F.xxhash64("name"), F.col("_spread")).cast("int"))
+        .withColumn("_part", F.explode(F.expr("sequence(0, _parts - 1)")))
+        .select("token", "_part", "_copy", "name", "a", "al", "a0", "a1", "ap")
+    )
+    right = (
+        c.join(cp, "c").join(cells, "token").withColumns({"c0": char_signature("c", 0), "c1": char_signature("c", 1), "cl": F.length("c")})
+        .withColumn("_part", F.pmod(F.xxhash64("candidate"), F.col("_parts")).cast("int"))
+        .withColumn("_copy", F.explode(F.expr("sequence(0, _spread - 1)")))
+        .select(F.col("token").alias("_t"), F.col("_part").alias("_q"), F.col("_copy").alias("_c"), "candidate", "cand_ord", "c", "cl", "c0", "c1", "cp")
+    )
+    differing = "bit_count(a0 ^ c0) + bit_count(a1 ^ c1)"
+    near = (
+        f"cl between {bound.min_len('al')} and {bound.max_len('al')} and {differing} <= al + cl - 2 * {bound.overlap('al', 'cl')} "
+        "and name <> candidate and array_intersect(ap, cp)[0] = token"
+    )
+    if not bound.ratio:
+        near += f" and levenshtein(a, c, {bound.tolerance('al', 'cl')}) >= 0"
+    # few bytes go in and many pairs come out, and cells are of bounded size, so the parallelism is set here
+    n = int(inputs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = left.repartition(n, "token", "_part", "_copy"), right.repartition(n, "_t", "_q", "_c")
+    same = (F.col("token") == F.col("_t")) & (F.col("_part") == F.col("_q")) & (F.col("_copy") == F.col("_c"))
+    return left.join(right.hint("merge"), same & F.expr(near)).select(
+        "name", "a", "candidate", "cand_ord", "c", F.expr(differing).alias("differing"))

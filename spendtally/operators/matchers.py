@@ -11,12 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from typing import ClassVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import shared_checkpoint
-from .blocking import DEFAULT_SPARE, close_pairs
+from .blocking import DEFAULT_SPARE, close_pairs, sharing_pairs
 from .rules import RULES, first_rule, rule_hits
 from .scoring import (
     SIMILARITY_THRESHOLD,
@@ -31,6 +32,8 @@ Matcher = Callable[[DataFrame, DataFrame], DataFrame]
 
 # Names with a near-perfect match are settled at this threshold first.
 FIRST_THRESHOLD = 0.95
+# Where no piece of a name need survive, names with a fair match are settled at this one before.
+MIDDLE_THRESHOLD = 0.75
 
 
 def _settle(df: DataFrame, key: str) -> DataFrame:
@@ -70,16 +73,28 @@ class _SimilarityMatcher:
 
     A name whose best score reaches the higher first threshold is settled there
     exactly, as all its candidates at that level are seen; the high threshold
-    makes long, selective pieces.  Only the other names meet the wider search.
+    makes long, selective pieces.  Only the other names meet the wider search.  Any
+    threshold above 0 is possible; at the lowest ones names meet by the characters
+    that they share, and only those without a fair match do.
     """
 
     threshold: float = SIMILARITY_THRESHOLD
     spare: int = DEFAULT_SPARE
     first_threshold: float = FIRST_THRESHOLD
+    by_ratio: ClassVar[bool] = False
 
     def __call__(self, inputs: DataFrame, candidates: DataFrame) -> DataFrame:
-        levels = sorted({max(self.first_threshold, self.threshold), self.threshold}, reverse=True)
-        return _in_turn(inputs, candidates, [lambda i, c, t=t: self._best(i, c, t) for t in levels])
+        levels = {max(self.first_threshold, self.threshold), self.threshold}
+        if not self._bound(self.threshold).cuts:
+            levels.add(MIDDLE_THRESHOLD)
+        return _in_turn(inputs, candidates, [lambda i, c, t=t: self._best(i, c, t) for t in sorted(levels, reverse=True)])
+
+    def _bound(self, t: float) -> EditBound:
+        return EditBound(t, ratio=self.by_ratio)
+
+    def _pairs(self, inputs: DataFrame, candidates: DataFrame, t: float) -> DataFrame:
+        bound = self._bound(t)
+        return close_pairs(inputs, candidates, bound, self.spare) if bound.cuts else sharing_pairs(inputs, candidates, bound)
 
 
 @dataclass(frozen=True)
@@ -87,8 +102,7 @@ class LevenshteinMatcher(_SimilarityMatcher):
     """Similarity is 1 - edit distance / longer length, case ignored."""
 
     def _best(self, inputs: DataFrame, candidates: DataFrame, t: float) -> DataFrame:
-        pairs = close_pairs(inputs, candidates, EditBound(t), self.spare)
-        scored = pairs.withColumn("score", levenshtein_similarity("a", "c"))
+        scored = self._pairs(inputs, candidates, t).withColumn("score", levenshtein_similarity("a", "c"))
         return best_per_input(scored, ["name"], t).withColumn("rule", F.lit("levenshtein"))
 
 
@@ -100,8 +114,10 @@ class RatioMatcher(_SimilarityMatcher):
     within a known number of edits and the blocking loses nothing.
     """
 
+    by_ratio: ClassVar[bool] = True
+
     def _best(self, inputs: DataFrame, candidates: DataFrame, t: float) -> DataFrame:
-        scored = top_ratios(close_pairs(inputs, candidates, EditBound(t, ratio=True), self.spare), t)
+        scored = top_ratios(self._pairs(inputs, candidates, t), t)
         return best_per_input(scored, ["name"], t).withColumn("rule", F.lit("ratio"))
 
 

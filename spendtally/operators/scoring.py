@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import _col, trim_all
+from .block_ratio import block_ratios
 
 # --- fixed values -----------------------------------------------------------
 SIMILARITY_THRESHOLD = 0.85
@@ -31,11 +32,11 @@ def levenshtein_similarity(a, b) -> Column:
 
 def matching_blocks_ratio(a, b) -> Column:
     """Ratcliff-Obershelp ratio 2M / (|a| + |b|); the argument order matters."""
-    # a local function travels to the workers by value, so they need no copy of this package
     def ratios(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([
-            None if p is None or q is None else SequenceMatcher(None, p, q).ratio() for p, q in zip(x, y)
-        ], dtype="float64")
+        there = (x.notna() & y.notna()).to_numpy()
+        out = np.full(len(x), np.nan)
+        out[there] = block_ratios(x[there].tolist(), y[there].tolist())
+        return pd.Series(out).astype(object).where(there, None)
 
     return F.pandas_udf(ratios, T.DoubleType())(_col(a), _col(b))
 
@@ -61,17 +62,21 @@ class EditBound:
     """How far apart two texts may be and still reach a similarity threshold.
 
     ``max_len``: longest partner of a text of a given length; ``tolerance``: the
-    most edits between two texts of given lengths.  Both work on numbers and,
-    through SQL text, on columns.
+    most edits between two texts of given lengths; ``overlap``: the fewest
+    characters they share, repeats counted.  All work on numbers and, through SQL
+    text, on columns.  ``cuts``: whether a piece of a text must survive the edits.
     """
 
     threshold: float
     ratio: bool = False
 
     def __post_init__(self):
-        low = 2 / 3 if self.ratio else 0.5
-        if not low < self.threshold <= 1:
-            raise ValueError(f"threshold must be above {low:.3g} and at most 1, got {self.threshold}")
+        if not 0 < self.threshold <= 1:
+            raise ValueError(f"threshold must be above 0 and at most 1, got {self.threshold}")
+
+    @property
+    def cuts(self) -> bool:
+        return self.threshold > (2 / 3 if self.ratio else 0.5)
 
     @property
     def stretch(self) -> float:
@@ -89,6 +94,14 @@ class EditBound:
         size = f"({n} + {m})" if self.ratio else f"greatest({n}, {m})"
         return f"cast(floor({1 - self.threshold!r}D * {size} + {_EPS}) as int)"
 
+    def overlap(self, n: str, m: str) -> str:
+        size = f"({n} + {m}) / 2D" if self.ratio else f"greatest({n}, {m})"
+        return f"cast(greatest(1, ceil({self.threshold!r}D * {size} - {_EPS})) as int)"
+
+    def prefix(self, n: str) -> str:
+        """Tokens of which a text must share one with any partner, if all texts order theirs alike."""
+        return f"({n} - {self.overlap(n, self.min_len(n))} + 1)"
+
     def bits(self, n: str, m: str) -> str:
         """Most differing ``char_signature`` bits."""
         return self.tolerance(n, m) if self.ratio else f"2 * {self.tolerance(n, m)}"
@@ -118,37 +131,31 @@ def top_ratios(pairs: DataFrame, threshold: float) -> DataFrame:
     """``(name, candidate, cand_ord, score)``: pairs that may hold a name's best ratio.
 
     ``pairs(name, a, candidate, cand_ord, c, differing)``.  ``differing`` caps
-    the ratio at 1 - differing / (|a| + |c|).  Pairs are streamed name by name,
-    highest cap first, and a pair whose cap is below the best ratio seen is
-    never scored; no group is held in memory.
+    the ratio at 1 - differing / (|a| + |c|).  Pairs are scored where they are
+    made: of a batch, each name's pair with the highest cap first, then those
+    whose cap is not below the best ratio that the task met for the name.
     """
-    cap = 1.0 - F.col("differing") / (F.length("a") + F.length("c"))
-    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (
-        pairs.withColumn("cap", cap).repartition(n, "name")
-        .sortWithinPartitions("name", F.desc("cap"), "candidate")
-    )
-    slack = _EPS
+    slack, names_kept = _EPS, 1_000_000
 
     def score(batches):
-        current = last = None
-        best = threshold
+        best = {}
         for batch in batches:
-            keep, scores = [], []
-            rows = zip(batch["name"], batch["a"], batch["candidate"], batch["c"], batch["cap"])
-            for i, (name, a, candidate, c, limit) in enumerate(rows):
-                if name != current:
-                    current, last, best = name, None, threshold
-                if limit < best - slack or candidate == last:
+            if len(best) > names_kept:
+                best.clear()
+            size = batch["a"].str.len() + batch["c"].str.len()
+            cap = 1.0 - batch["differing"] / size
+            batch = batch.assign(cap=cap).sort_values(["name", "cap"], ascending=[True, False], kind="stable")
+            batch = batch.drop_duplicates(["name", "candidate"])
+            first = ~batch["name"].duplicated()
+            for part in (batch[first], batch[~first]):
+                part = part[part["cap"] >= part["name"].map(best).fillna(threshold) - slack]
+                if part.empty:
                     continue
-                last = candidate
-                r = SequenceMatcher(None, a, c).ratio()
-                if r >= best:
-                    best = r
-                    keep.append(i)
-                    scores.append(r)
-            yield batch.iloc[keep][["name", "candidate", "cand_ord"]].assign(score=scores)
+                part = part.assign(score=block_ratios(part["a"].tolist(), part["c"].tolist()))
+                part = part[part["score"] >= part["name"].map(best).fillna(threshold)]
+                best.update(part.groupby("name")["score"].max().to_dict())
+                yield part[["name", "candidate", "cand_ord", "score"]]
 
     types = dict(pairs.dtypes)
-    return ordered.mapInPandas(
+    return pairs.mapInPandas(
         score, f"name string, candidate string, cand_ord {types['cand_ord']}, score double")
