@@ -1,5 +1,5 @@
 """Name-matching rules: case and punctuation, brackets, legal forms, acronyms,
-extra descriptors, shortened forms and user aliases.
+extra descriptors, shortened forms, user aliases and chains of them.
 
 Arrays are opened with the outer forms: a plain explode adds a "not empty" filter
 that is pushed down to the scan and computes the array once more for every row.
@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from .aliases import alias_chain_hits
 
 # --- fixed values: rule names in order of trust -------------------------------
-RULES = ("normalised", "brackets", "suffix", "acronym", "alias", "descriptor", "shortened")
+RULES = ("normalised", "brackets", "suffix", "acronym", "alias", "alias_chain", "descriptor", "shortened")
 # ------------------------------------------------------------------------------
 _NO = {r: i for i, r in enumerate(RULES, 1)}
 
@@ -75,28 +76,63 @@ def _unique_by_key(inputs: DataFrame, candidates: DataFrame, rules) -> DataFrame
     return joined.select("name", "rule_no", hit.alias("match")).where("match is not null")
 
 
-def _descriptor_hits(inputs: DataFrame, candidates: DataFrame) -> DataFrame:
+# Candidates filed under a word, and inputs that hold it, meet in cells of about so many a side.
+WORD_BLOCK_ROWS = 10_000
+
+
+def _word_mask(tokens: str) -> str:
+    """64 bits that stand for the words of a name; a set's mask holds the mask of each subset."""
+    return f"aggregate({tokens}, 0L, (m, w) -> m | shiftleft(1L, cast(pmod(xxhash64(w), 64) as int)))"
+
+
+def word_cells(filed: DataFrame, asked: DataFrame, block_rows: int = WORD_BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join on ``word`` with ``_part`` and ``_copy``: a frequent word's postings are split.
+
+    Candidates of a word are dealt into parts and inputs into copies, and each is
+    sent to all of the other's, so that every pair meets in one cell.
+    """
+    def sizes(df, name):
+        return df.groupBy("word").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name))
+
+    split = sizes(filed, "_parts").join(sizes(asked, "_copies"), "word").where("_parts > 1 or _copies > 1")
+    one = F.lit(1)
+    c = (
+        filed.join(split, "word", "left").withColumn("_part", F.pmod(F.xxhash64("candidate"), F.coalesce("_parts", one)).cast("int"))
+        .withColumn("_copy", F.explode_outer(F.expr("sequence(0, coalesce(_copies, 1) - 1)"))).drop("_parts", "_copies")
+    )
+    a = (
+        asked.join(split, "word", "left").withColumn("_copy", F.pmod(F.xxhash64("name"), F.coalesce("_copies", one)).cast("int"))
+        .withColumn("_part", F.explode_outer(F.expr("sequence(0, coalesce(_parts, 1) - 1)"))).drop("_parts", "_copies")
+    )
+    return c, a
+
+
+def _descriptor_hits(inputs: DataFrame, candidates: DataFrame, block_rows: int = WORD_BLOCK_ROWS) -> DataFrame:
     """Candidates whose words are a proper subset of the input's words.
 
     A candidate is filed under its rarest word only; any input holding all its
-    words holds that one, so nothing is lost.  The fullest fit wins if it is
-    the only one of its size.
+    words holds that one, so nothing is lost.  A word that stays frequent, because
+    names consist of frequent words alone, has its postings split.  Sizes and word
+    masks tell most pairs apart before their words are compared.  The fullest fit
+    wins if it is the only one of its size.
     """
     c = candidates.select("candidate", t.name_tokens("candidate").alias("ct")).where(F.size("ct") > 0)
-    words = c.select("candidate", "ct", F.explode_outer("ct").alias("word"))
+    c = c.withColumns({"cn": F.size("ct"), "cm": F.expr(_word_mask("ct"))})
+    words = c.select("*", F.explode_outer("ct").alias("word"))
     common = words.groupBy("word").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     rarest = Window.partitionBy("candidate").orderBy(F.coalesce("_n", F.lit(0)), "word")
     filed = (
         words.join(common, "word", "left").withColumn("_r", F.row_number().over(rarest))
-        .where("_r = 1").select("word", "candidate", "ct")
+        .where("_r = 1").select("word", "candidate", "ct", "cn", "cm")
     )
-    asked = inputs.select("name", t.name_tokens("name").alias("nt")).select(
-        "name", "nt", F.explode_outer("nt").alias("word")).where("word is not null")
+    asked = inputs.select("name", t.name_tokens("name").alias("nt"))
+    asked = asked.withColumns({"nn": F.size("nt"), "nm": F.expr(_word_mask("nt"))}).select(
+        "*", F.explode_outer("nt").alias("word")).where("word is not null")
+    filed, asked = word_cells(filed, asked, block_rows)
     fits = (
-        asked.join(filed, "word")
-        .where((F.size("ct") < F.size("nt")) & (F.size(F.array_except("ct", "nt")) == 0)
-               & (F.col("candidate") != F.col("name")))
-        .groupBy("name", F.size("ct").alias("fit"))
+        asked.join(filed, ["word", "_part", "_copy"])
+        .where("cn < nn and (cm & nm) = cm and candidate <> name and size(array_except(ct, nt)) = 0")
+        .groupBy("name", F.col("cn").alias("fit"))
         .agg(F.count(F.lit(1)).alias("n"), F.min("candidate").alias("match"))
     )
     return (
@@ -132,6 +168,9 @@ def rule_hits(
             names.withColumn("key", t.name_key("name")).join(known, "key")
             .where(F.col("match") != F.col("name"))
             .select("name", F.lit(_NO["alias"]).alias("rule_no"), "match"))
+    if "alias_chain" in rules and aliases is not None:
+        hits = hits.unionByName(
+            alias_chain_hits(names, cands, aliases).select("name", F.lit(_NO["alias_chain"]).alias("rule_no"), "match"))
     return hits
 
 

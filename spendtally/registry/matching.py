@@ -44,7 +44,7 @@ def fuzzy_levenshtein(spark, sf):
 
 @query(f"""WITH RECURSIVE {sh.PART_NAMES_SQL}, asked AS (SELECT DISTINCT {_MISSPELT} AS name FROM names),
   offered AS (SELECT a.name, n.name AS match, lower(a.name) AS p, lower(n.name) AS q
-    FROM asked a CROSS JOIN names n WHERE a.name <> n.name), {sh.RATIOS_SQL}
+    FROM asked a CROSS JOIN names n WHERE a.name <> n.name), {sh.ratios_sql()}
   SELECT name, match, round(ratio, 9) AS score, 'ratio' AS rule FROM offered JOIN ratios USING (p, q) WHERE ratio >= 0.85
   QUALIFY row_number() OVER (PARTITION BY name ORDER BY ratio DESC, match) = 1""")
 def fuzzy_ratio(spark, sf):
@@ -65,6 +65,26 @@ def fuzzy_low_threshold(spark, sf):
     return _result(LevenshteinMatcher(threshold=0.7)(asked, cands))
 
 
+@query(f"""WITH RECURSIVE {sh.PART_NAMES_SQL}, asked AS (SELECT DISTINCT upper(p_type) || ' ' || p_name AS name FROM part),
+  cands AS (SELECT DISTINCT p_name || ' ' || lower(p_type) AS candidate FROM part),
+  offered AS (SELECT name, candidate, lower(name) AS p, candidate AS q FROM asked CROSS JOIN cands WHERE name <> candidate),
+  edits AS (SELECT a.name, n.name AS candidate, 1.0::DOUBLE - levenshtein(lower(a.name), lower(n.name))::DOUBLE
+      / greatest(length(a.name), length(n.name))::DOUBLE AS score FROM asked a CROSS JOIN names n),
+  {sh.ratios_sql("true")},
+  scored AS (SELECT 'levenshtein' AS rule, name, candidate, score FROM edits
+    UNION ALL SELECT 'ratio', name, candidate, ratio FROM offered JOIN ratios USING (p, q))
+  SELECT rule, name, candidate AS match, round(score, 9) AS score FROM scored WHERE score >= 0.4
+  QUALIFY row_number() OVER (PARTITION BY rule, name ORDER BY score DESC, candidate) = 1""")
+def fuzzy_any_threshold(spark, sf):
+    """Type before name against name before type: best matches far below what a surviving piece can find."""
+    part = sh.table(spark, sf, "part")
+    asked = part.select(F.concat(F.upper("p_type"), F.lit(" "), "p_name").alias("name")).distinct()
+    short = part.select(F.concat("p_name", F.lit(" "), F.lower("p_type")).alias("candidate")).distinct()
+    edits = LevenshteinMatcher(0.4)(asked, _candidates(spark, sf))
+    blocks = RatioMatcher(0.4)(asked, short.withColumn("cand_ord", F.col("candidate")))
+    return _result(edits.unionByName(blocks))
+
+
 # ---- rules -------------------------------------------------------------------
 
 def _equal_rule_sql(dirty: str, key: str, rule: str) -> str:
@@ -142,6 +162,34 @@ def alias_match(spark, sf):
     return _result(RuleMatcher(("alias",), aliases)(asked, _candidates(spark, sf)))
 
 
+_LINKS = (
+    ("'once ' || b", "name", "true"), ("'twice ' || b", "'ONCE ' || b", "true"), ("'thrice ' || b", "'Twice: ' || b", "true"),
+    ("'once ' || b", "'thrice ' || b", "length(b) % 5 = 0"), ("'lost ' || b", "'nowhere ' || b", "true"),
+    ("'round ' || b", "'square ' || b", "true"), ("'square ' || b", "'round ' || b", "true"),
+)
+_ASKED = ("upper('thrice ' || b)", "'twice ' || b", "'lost ' || b", "'round ' || b")
+_BRANDED = "p_name || ' ' || p_brand AS b, p_name || ' ' || p_brand || ' ' || lower(p_type) AS name"
+
+
+@query(f"""WITH RECURSIVE {sh.PART_NAMES_SQL}, p AS (SELECT DISTINCT {_BRANDED} FROM part),
+  links AS ({' UNION '.join(f"SELECT {sh.NAME_KEY_SQL.replace('{x}', a)} AS k, {sh.NAME_KEY_SQL.replace('{x}', c)} AS t FROM p WHERE {w}" for a, c, w in _LINKS)}),
+  offered AS (SELECT {sh.NAME_KEY_SQL.replace('{x}', 'name')} AS k, name AS match FROM names),
+  asked AS ({' UNION '.join(f"SELECT {a} AS name FROM p" for a in _ASKED)}),
+  reach AS (SELECT name, t FROM asked JOIN links ON k = {sh.NAME_KEY_SQL.replace('{x}', 'name')}
+    UNION SELECT name, l.t FROM reach r JOIN links l ON l.k = r.t WHERE r.t NOT IN (SELECT k FROM offered))
+  SELECT name, min(match) AS match, 1.0::DOUBLE AS score, 'alias_chain' AS rule FROM reach JOIN offered ON t = k
+  GROUP BY name HAVING count(DISTINCT match) = 1""")
+def alias_chain_match(spark, sf):
+    """Chains of two to three names, some with a way back, some with several ends, dead ends and plain cycles."""
+    parts = sh.table(spark, sf, "part").selectExpr(*_BRANDED.split(", ")).distinct()
+    links = None
+    for alias, candidate, when in _LINKS:
+        some = parts.where(when).selectExpr(f"{alias} AS alias", f"{candidate} AS candidate")
+        links = some if links is None else links.union(some)
+    asked = parts.select(F.explode(F.expr(f"array({', '.join(_ASKED)})")).alias("name")).distinct()
+    return _result(RuleMatcher(("alias_chain",), links)(asked, _candidates(spark, sf)))
+
+
 _DIRTY_SQL = """CASE length(name) % 4 WHEN 0 THEN upper(name) WHEN 1 THEN name || ' (UK) Ltd'
     WHEN 2 THEN substr(name, 1, 2) || substr(name, 4) ELSE name || ' public body' END"""
 
@@ -179,7 +227,7 @@ _RULED_SQL = f"""{sh.PART_NAMES_SQL}, asked AS (SELECT DISTINCT {_DIRTY_SQL} AS
 
 @query(f"""WITH RECURSIVE {_RULED_SQL},
   offered AS (SELECT a.name, n.name AS match, lower(a.name) AS p, lower(n.name) AS q
-    FROM asked a CROSS JOIN names n WHERE a.name <> n.name AND a.name NOT IN (SELECT name FROM ruled)), {sh.RATIOS_SQL}
+    FROM asked a CROSS JOIN names n WHERE a.name <> n.name AND a.name NOT IN (SELECT name FROM ruled)), {sh.ratios_sql()}
   SELECT name, match, score, rule FROM ruled
   UNION ALL
   SELECT name, match, round(ratio, 9), 'ratio' FROM offered JOIN ratios USING (p, q) WHERE ratio >= 0.85

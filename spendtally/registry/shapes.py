@@ -80,10 +80,8 @@ NAME_KEY_SQL = _KEY_SQL.format(x="{x}")
 BRACKET_KEY_SQL = _KEY_SQL.format(x="regexp_replace({x}, '[(][^)]*[)]', ' ', 'g')")
 SUFFIX_KEY_SQL = ("regexp_replace(" + BRACKET_KEY_SQL
                   + ", '( (limited liability partnership|limited|ltd|plc|llp|alb))+$', '')")
-# The matching-blocks ratio of the pairs (p, q) of ``offered`` that may reach 0.85: the longest common run, the first
-# of equals in p and then in q, and again what lies to its left and to its right.  Needs WITH RECURSIVE.
-RATIOS_SQL = """
-close AS (SELECT DISTINCT p, q FROM offered WHERE levenshtein(p, q) <= 0.15 * (length(p) + length(q)) + 1e-6),
+_RATIOS_SQL = """
+close AS (SELECT DISTINCT p, q FROM offered WHERE {near}),
 parts AS (
   SELECT p, q, p AS x, q AS y, 0 AS m FROM close
   UNION ALL
@@ -99,6 +97,15 @@ ratios AS (SELECT p, q, 2.0::DOUBLE * sum(m) / (length(p) + length(q)) AS ratio
 """
 
 
+def ratios_sql(near: str = "levenshtein(p, q) <= 0.15 * (length(p) + length(q)) + 1e-6") -> str:
+    """The matching-blocks ratio of the pairs (p, q) of ``offered`` that are near, by default those that may reach 0.85.
+
+    The longest common run, the first of equals in p and then in q, and again what lies to its left and to its right.
+    Needs WITH RECURSIVE.
+    """
+    return _RATIOS_SQL.replace("{near}", near)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 

@@ -3,8 +3,10 @@ from difflib import SequenceMatcher
 
 import pytest
 
-from spendtally.operators.blocking import close_pairs
+from spendtally.operators.block_ratio import block_ratios
+from spendtally.operators.blocking import close_pairs, sharing_pairs
 from spendtally.operators.matchers import CascadeMatcher, LevenshteinMatcher, RatioMatcher, RuleMatcher
+from spendtally.operators.rules import _descriptor_hits, word_cells
 from spendtally.operators.scoring import EditBound, best_per_input, matching_blocks_ratio
 
 
@@ -74,14 +76,14 @@ def dirty_names(seed, n=90):
     return sorted(asked), base
 
 
-@pytest.mark.parametrize("t,spare", [(0.85, 3), (0.85, 0), (0.6, 1), (0.95, 2)])
+@pytest.mark.parametrize("t,spare", [(0.85, 3), (0.85, 0), (0.6, 1), (0.95, 2), (0.5, 1), (0.4, 1), (0.05, 1)])
 def test_levenshtein_equals_brute_force(spark, t, spare):
     asked, base = dirty_names(int(t * 100) + spare)
     got = found(LevenshteinMatcher(t, spare)(names(spark, asked), cands(spark, base)))
     assert got == brute(asked, base, lev, t)
 
 
-@pytest.mark.parametrize("t,spare", [(0.85, 3), (0.7, 0), (0.9, 1)])
+@pytest.mark.parametrize("t,spare", [(0.85, 3), (0.7, 0), (0.9, 1), (2 / 3, 1), (0.4, 1), (0.05, 1)])
 def test_ratio_equals_brute_force(spark, t, spare):
     asked, base = dirty_names(int(t * 100) + spare + 50)
     got = found(RatioMatcher(t, spare)(names(spark, asked), cands(spark, base)))
@@ -110,12 +112,40 @@ def test_tie_goes_to_earliest_candidate(spark):
     assert got.columns == ["name", "match", "score", "rule"]
 
 
-def test_threshold_limits():
-    for bad in (0.5, 0.3, 1.01):
+def test_threshold_limits(spark):
+    for bad in (0, -0.5, 1.01):
         with pytest.raises(ValueError):
             EditBound(bad)
-    with pytest.raises(ValueError):
-        EditBound(0.66, ratio=True)
+    for low in (EditBound(0.5), EditBound(0.66, ratio=True)):
+        assert not low.cuts
+        with pytest.raises(ValueError):
+            close_pairs(names(spark, ["a"]), cands(spark, ["b"]), low)
+
+
+@pytest.mark.parametrize("ratio_bound", [False, True])
+def test_a_character_of_all_names_is_split_without_loss(spark, ratio_bound):
+    asked, base = dirty_names(6, 60)
+    bound = EditBound(0.45, ratio=ratio_bound)
+    score = ratio if ratio_bound else lev
+
+    def pairs(rows):
+        found = [(r.name, r.candidate) for r in sharing_pairs(names(spark, asked), cands(spark, base), bound, rows).collect()]
+        assert len(found) == len(set(found))
+        return set(found)
+
+    want = {(n, c) for n in asked for c in base if n.strip() and n != c and score(n.strip().lower(), c.lower()) >= 0.45}
+    assert want <= pairs(10**6) == pairs(7)
+
+
+def test_block_ratios_equal_the_standard_definition():
+    rnd = random.Random(8)
+    text = lambda n, letters: "".join(rnd.choice(letters) for _ in range(n))
+    pairs = [(text(rnd.randint(0, 25), "abcd é\U0001f600"), text(rnd.randint(0, 25), "abcd é\U0001f600")) for _ in range(400)]
+    # from 200 characters on, common ones start no block
+    pairs += [(text(rnd.randint(150, 400), x), text(rnd.randint(190, 400), x)) for x in ("ab ", "abcdefghijklmnopq" + "e" * 8) for _ in range(15)]
+    pairs += [("", ""), ("", "b"), ("a" + "x" * 250, "x" * 250 + "a")]
+    assert block_ratios(*map(list, zip(*pairs))).tolist() == [ratio(a, b) for a, b in pairs]
+
 
 
 def test_score_zero_never_wins(spark):
@@ -193,3 +223,78 @@ def test_user_matcher_with_map_in_pandas(spark):
 
     step = CascadeMatcher((RuleMatcher(), service))
     assert found(step(names(spark, ["home office"]), cands(spark, ["X"]))) == {"home office": "Home Office"}
+
+
+def chain_of(spark, links, offered, asked):
+    aliases = spark.createDataFrame(links, "alias string, candidate string")
+    return found(RuleMatcher(("alias_chain",), aliases)(names(spark, asked), cands(spark, offered)))
+
+
+def test_alias_chains_of_any_length(spark):
+    long = [(f"step {i}", f"Step: {i + 1}") for i in range(40)] + [("STEP 40", "The End")]
+    got = chain_of(spark, long, ["The End", "step 99"], ["step 0", "Step 17", "step 40", "step 41"])
+    assert got == {"step 0": "The End", "Step 17": "The End", "step 40": "The End"}
+
+
+def test_alias_cycles_and_ambiguous_ends(spark):
+    links = [
+        ("a", "b"), ("b", "a"),                                    # a cycle without exit
+        ("c", "d"), ("d", "e"), ("e", "c"), ("e", "Goal"),         # a cycle with one exit
+        ("f", "g"), ("g", "Goal"), ("g", "h"), ("h", "Other"),     # two ends
+        ("i", "j"), ("i", "k"), ("j", "Goal"), ("k", "GOAL!"),     # two ways to one end
+        ("l", "m"),                                                # a dead end
+        ("n", "Stop"), ("Stop", "Goal"),                           # a name on offer ends the chain
+        ("self", "self"), ("o", "o2"), ("o2", "o"), ("o2", None), (None, "Goal"), ("", "Goal"),
+    ]
+    offered = ["Goal", "Other", "Stop"]
+    asked = [x for x in "abcdefghijklmno"] + ["self", "Stop", "Goal", ""]
+    assert chain_of(spark, links, offered, asked) == {
+        "c": "Goal", "d": "Goal", "e": "Goal", "h": "Other", "i": "Goal", "j": "Goal", "k": "Goal", "n": "Stop", "Stop": "Goal"}
+    # two names on offer that differ in case only
+    assert chain_of(spark, [("x", "y"), ("y", "goal")], ["Goal", "GOAL"], ["x", "y"]) == {}
+    assert chain_of(spark, [], offered, asked) == {}
+
+
+def test_alias_chains_equal_a_plain_search(spark):
+    rnd = random.Random(11)
+    nodes = [f"n{i}" for i in range(60)]
+    links = sorted({(rnd.choice(nodes), rnd.choice(nodes)) for _ in range(75)})
+    offered = nodes[:8]
+    want = {}
+    for n in nodes:
+        seen, todo = set(), [c for a, c in links if a == n and c != n]
+        while todo:
+            x = todo.pop()
+            if x not in seen:
+                seen.add(x)
+                if x not in offered:
+                    todo += [c for a, c in links if a == x and c != x]
+        ends = seen & set(offered)
+        if len(ends) == 1 and ends != {n}:
+            want[n] = ends.pop()
+    assert len(want) > 5 and chain_of(spark, links, offered, nodes) == want
+
+
+def test_a_word_of_all_names_is_the_work_of_many_tasks(spark):
+    rnd = random.Random(12)
+    pool = ["council", "north", "south", "east", "west", "city", "park"]
+    base = sorted({" ".join(["council", *rnd.sample(pool[1:], rnd.randint(0, 3))]) for _ in range(200)})
+    asked = sorted({" ".join(rnd.sample(pool, rnd.randint(2, 6))) for _ in range(120)})
+    c, a = names(spark, asked), cands(spark, base)
+
+    def hits(rows):
+        return {(r.name, r.match) for r in _descriptor_hits(c, a, rows).collect()}
+
+    want = set()
+    for n in asked:
+        fit = [x for x in base if set(x.split()) < set(n.split())]
+        top = [x for x in fit if len(x.split()) == max(len(y.split()) for y in fit)]
+        if len(top) == 1:
+            want.add((n, top[0]))
+    assert want and hits(10**6) == want == hits(5)
+    one = spark.createDataFrame([("council", x) for x in base], "word string, candidate string")
+    other = spark.createDataFrame([("council", x) for x in asked], "word string, name string")
+    left, right = word_cells(one, other, block_rows=10)
+    cells = left.join(right, ["word", "_part", "_copy"]).groupBy("_part", "_copy").count().collect()
+    assert sum(r["count"] for r in cells) == len(base) * len(asked)
+    assert len(cells) > 20 and max(r["count"] for r in cells) < len(base) * len(asked) / 10
