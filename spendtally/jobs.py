@@ -115,7 +115,7 @@ def report(spark: SparkSession, suppliers: str, outdir: str, as_of, threshold: i
     """Suppliers file -> status rows partitioned by framework, and nested records as JSON."""
     rows = tb.with_file_order(tb.read_table(spark, suppliers, schemas.SUPPLIERS_REPORT), "ord")
     status = rp.status_report(rows, as_of, threshold, sender)
-    tb.write_table(status, f"{outdir}/status", mode="overwrite", partition_by=["framework"])
+    rp.write_report(status, f"{outdir}/status", "overwrite")
     tb.write_summary(rp.records_by_framework(status, "ord"), f"{outdir}/records", mode="overwrite")
 
 

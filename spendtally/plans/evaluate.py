@@ -3,22 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
-from pyspark.sql import Column, DataFrame, GroupedData
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..operators.rules import RULES
 from ..operators.sampling import sample_candidates
-from ..operators.scoring import (
-    SIMILARITY_THRESHOLD,
-    best_per_input,
-    folded,
-    levenshtein_similarity,
-    matching_blocks_ratio,
-)
-from ..sources.tables import normalise_na, resolve_col, shared_checkpoint
+from ..operators.scoring import SIMILARITY_THRESHOLD, folded, matching_blocks_ratio
+from ..sources.tables import normalise_na, resolve_col
 from .requests import accept_responses
 
 # --- fixed values -----------------------------------------------------------
@@ -58,16 +52,49 @@ def candidate_pool(rows: DataFrame) -> DataFrame:
         t.is_real_option("candidate")).distinct()
 
 
-def listed(rows: DataFrame, config: RunConfig) -> DataFrame:
-    """Drawn candidates, the asked name included if it was drawn: one row per candidate."""
+CONFIG_SCHEMA = (
+    "run_name string, scorer string, similarity_threshold double, num_distractors int, seed int, "
+    "prompt_file string, prompt_sha string, dataset_sha string"
+)
+SCORERS = ("ratio", "levenshtein", "cascade")
+#: What tells one draw of candidates from another.
+DRAW = ["num_distractors", "seed"]
+Configs = Sequence[RunConfig] | DataFrame
+
+
+def config_table(spark: SparkSession, configs: Configs) -> DataFrame:
+    """The runs as a table with the columns of ``RunConfig``, one row a run."""
+    if isinstance(configs, DataFrame):
+        return configs.select(*RunConfig.__dataclass_fields__)
+    for c in configs:
+        if c.scorer not in SCORERS:
+            raise ValueError(f"unknown scorer {c.scorer!r}; use {', '.join(SCORERS)}")
+    return spark.createDataFrame([astuple(c) for c in configs], CONFIG_SCHEMA)
+
+
+def listed(rows: DataFrame, configs: Configs | RunConfig) -> DataFrame:
+    """Drawn candidates, the asked name included if it was drawn: one row per draw and candidate.
+
+    Runs with equal size and seed share their draw; ``num_distractors`` and ``seed``
+    name it.  One run given by itself has one draw, and no such columns.
+    """
+    if isinstance(configs, RunConfig):
+        return listed(rows, [configs]).drop(*DRAW)
+    runs = config_table(rows.sparkSession, configs)
+    draws = runs.agg(F.collect_set(F.struct(*DRAW))).scalar()
+    every = rows.withColumn("_d", F.explode(draws)).select("*", *[F.col(f"_d.{c}").alias(c) for c in DRAW])
     return sample_candidates(
-        rows, candidate_pool(rows), ["row_id"], "input_name", "ground_truth", "negative",
-        k=config.num_distractors, seed=config.seed)
+        every, candidate_pool(rows), ["row_id"], "input_name", "ground_truth", "negative",
+        k=F.col("num_distractors"), seed=F.col("seed"), draw_cols=DRAW)
+
 
+def offers(rows: DataFrame, configs: Configs | RunConfig) -> DataFrame:
+    """Offered candidates, the asked name itself left out: one row per draw and candidate."""
+    return listed(rows, configs).where(F.col("candidate") != F.col("input_name"))
 
-def offers(rows: DataFrame, config: RunConfig) -> DataFrame:
-    """Offered candidates, the asked name itself left out: one row per candidate."""
-    return listed(rows, config).where(F.col("candidate") != F.col("input_name"))
+
+# Rules that need no table of aliases.
+_RULE_NOS = [i for i, r in enumerate(RULES, 1) if not r.startswith("alias")]
 
 
 def _with_rule_no(offered: DataFrame) -> DataFrame:
@@ -86,37 +113,37 @@ def _with_rule_no(offered: DataFrame) -> DataFrame:
         F.size(F.array_except("c_words", "a_words")) == 0)
     tests["shortened"] = filled & (F.col("c_suffix").startswith(F.concat("a_suffix", F.lit(" ")))
                                    | F.col("c_suffix").endswith(F.concat(F.lit(" "), F.col("a_suffix"))))
-    rule = F.coalesce(*[F.when(tests[r], i) for i, r in enumerate(RULES, 1) if r in tests])
+    rule = F.coalesce(*[F.when(tests[RULES[i - 1]], i) for i in _RULE_NOS])
     return offered.withColumns(keys).withColumns(words).withColumn("rule_no", rule).select(
         *offered.columns, "rule_no")
 
 
-def _score(offered: DataFrame, scorer: str, threshold: float) -> DataFrame:
-    """Offers with their score; those that cannot reach the threshold may be left out."""
+def best_offers(offered: DataFrame, ids: Sequence[str], least_ratio: float | Column) -> DataFrame:
+    """What each scorer chooses from an offer: (ids, ``levenshtein``, ``ratio``, ``rule``).
+
+    The first two are the best match with its score; ratios below ``least_ratio`` may
+    be left out.  ``rule`` is the match of the first rule that fits one candidate only.
+    """
     a, c = folded("input_name"), F.lower("candidate")
-    if scorer == "ratio":
-        # M matched characters are a common subsequence, so the distance is at most la + lb - 2M = (1 - ratio) * (la + lb)
-        most = (F.length(a) + F.length(c)) * F.lit(1 - threshold) + F.lit(1e-6)
-        return offered.where(F.levenshtein(a, c) <= most).withColumn("score", matching_blocks_ratio(a, c))
-    if scorer == "levenshtein":
-        longest = F.greatest(F.length(a), F.length(c))
-        return offered.withColumn("score", F.when(longest > 0, levenshtein_similarity(a, c)).otherwise(0.0))
-    raise ValueError(f"unknown scorer {scorer!r}; use ratio, levenshtein or cascade")
-
-
-def best_offers(offered: DataFrame, config: RunConfig) -> DataFrame:
-    """``(row_id, match)`` chosen from each row's own offer."""
-    if config.scorer != "cascade":
-        return best_per_input(_score(offered, config.scorer, config.similarity_threshold), ["row_id"],
-                              config.similarity_threshold).select("row_id", "match")
-    unique = (
-        _with_rule_no(offered).where("rule_no is not null").groupBy("row_id", "rule_no")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("candidate").alias("candidate")).where("n = 1")
-        .groupBy("row_id").agg(F.min_by("candidate", "rule_no").alias("match"))
-    )
-    rest = offered.join(unique.select("row_id"), "row_id", "left_anti")
-    fuzzy = best_per_input(_score(rest, "ratio", config.similarity_threshold), ["row_id"], config.similarity_threshold)
-    return unique.unionByName(fuzzy.select("row_id", "match"))
+    distance = F.levenshtein(a, c)
+    longest = F.greatest(F.length(a), F.length(c))
+    # M matched characters are a common subsequence, so the distance is at most la + lb - 2M = (1 - ratio) * (la + lb)
+    most = (F.length(a) + F.length(c)) * (F.lit(1.0) - least_ratio) + F.lit(1e-6)
+    scored = _with_rule_no(offered.select(*ids, "input_name", "candidate", "cand_ord")).withColumns({
+        "a": a, "c": c, "edits": F.when(longest > 0, 1.0 - distance / longest).otherwise(0.0), "near": distance <= most})
+    # far pairs go to Python as nulls and come back as such
+    scored = scored.withColumn("blocks", matching_blocks_ratio(F.when(F.col("near"), F.col("a")), F.when(F.col("near"), F.col("c"))))
+
+    def best(score):
+        return F.min(F.when(F.col(score) > 0, F.struct((-F.col(score)).alias("neg"), "cand_ord", "candidate")))
+
+    by_rule = [F.count(F.when(F.col("rule_no") == i, 1)).alias(f"n{i}") for i in _RULE_NOS]
+    by_rule += [F.min(F.when(F.col("rule_no") == i, F.col("candidate"))).alias(f"c{i}") for i in _RULE_NOS]
+    found = scored.groupBy(*ids).agg(best("edits").alias("e"), best("blocks").alias("b"), *by_rule)
+    return found.select(
+        *ids, *[F.struct(F.col(f"{k}.candidate").alias("match"), (-F.col(f"{k}.neg")).alias("score")).alias(v)
+                for k, v in (("e", "levenshtein"), ("b", "ratio"))],
+        F.coalesce(*[F.when(F.col(f"n{i}") == 1, F.col(f"c{i}")) for i in _RULE_NOS]).alias("rule"))
 
 
 def is_correct(negative, prediction, truth) -> Column:
@@ -126,17 +153,29 @@ def is_correct(negative, prediction, truth) -> Column:
         F.coalesce(p == F.col(truth), F.lit(False))).cast("int")
 
 
-def predictions(rows: DataFrame, configs: Sequence[RunConfig]) -> DataFrame:
-    """One row per labelled row and run; runs with equal size and seed share their draw."""
-    draws = [(c.num_distractors, c.seed) for c in configs]
-    drawn = {d: offers(rows, configs[draws.index(d)]) for d in dict.fromkeys(draws)}
-    drawn = {d: shared_checkpoint(o) if draws.count(d) > 1 else o for d, o in drawn.items()}
-    out = None
-    for c, draw in zip(configs, draws):
-        chosen = best_offers(drawn[draw], c)
-        part = _judged(rows.join(chosen, "row_id", "left").withColumn("run_name", F.lit(c.run_name)))
-        out = part if out is None else out.unionByName(part)
-    return out
+def _run_rows(rows: DataFrame, runs: DataFrame, *columns: str) -> DataFrame:
+    """Labelled rows for every run, with the run's columns; the runs come as one value, whatever their number."""
+    every = runs.agg(F.collect_list(F.struct(*columns))).scalar()
+    return rows.withColumn("_run", F.explode(every)).select("*", *[F.col(f"_run.{c}").alias(c) for c in columns]).drop("_run")
+
+
+def predictions(rows: DataFrame, configs: Configs) -> DataFrame:
+    """One row per labelled row and run.
+
+    The runs are a table: every draw is made, and every offer scored, once for all
+    runs that share it, and threshold and scorer are columns, so the plan does not
+    grow with the number of runs.
+    """
+    runs = config_table(rows.sparkSession, configs)
+    least = runs.agg(F.coalesce(F.min(F.when(F.col("scorer") != "levenshtein", F.col("similarity_threshold"))), F.lit(2.0))).scalar()
+    best = best_offers(offers(rows, runs), ["row_id", *DRAW], least)
+    asked = _run_rows(rows, runs, "run_name", "scorer", "similarity_threshold", *DRAW)
+    reached = lambda scorer: F.when(F.col(scorer)["score"] >= F.col("similarity_threshold"), F.col(scorer)["match"])
+    match = (
+        F.when(F.col("scorer") == "levenshtein", reached("levenshtein")).when(F.col("scorer") == "ratio", reached("ratio"))
+        .when(F.col("scorer") == "cascade", F.coalesce("rule", reached("ratio")))
+        .otherwise(F.raise_error(F.concat(F.lit("unknown scorer "), F.col("scorer")))))
+    return _judged(asked.join(best, ["row_id", *DRAW], "left").withColumn("match", match))
 
 
 def _judged(matched: DataFrame) -> DataFrame:
@@ -149,20 +188,17 @@ def _judged(matched: DataFrame) -> DataFrame:
     )
 
 
-def predictions_from_responses(rows: DataFrame, responses: DataFrame, configs: Sequence[RunConfig]) -> DataFrame:
+def predictions_from_responses(rows: DataFrame, responses: DataFrame, configs: Configs) -> DataFrame:
     """One row per labelled row and run, scored from a service's answers: (run_name, row_id, response).
 
     Only answers that the run's drawn list holds count; a row without one predicts no match.
     """
-    draws = [(c.num_distractors, c.seed) for c in configs]
-    out = None
-    for d in dict.fromkeys(draws):
-        names = [c.run_name for c, draw in zip(configs, draws) if draw == d]
-        given = accept_responses(responses.where(F.col("run_name").isin(names)), listed(rows, configs[draws.index(d)]), ["row_id"])
-        every = rows.withColumn("run_name", F.explode(F.array(*[F.lit(n) for n in names])))
-        part = _judged(every.join(given.select("run_name", "row_id", "match"), ["run_name", "row_id"], "left"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    runs = config_table(rows.sparkSession, configs)
+    asked = _run_rows(rows, runs, "run_name", *DRAW)
+    # a row's answer in a run, with the draw that the run used
+    given = responses.select("run_name", "row_id", "response").join(asked.select("run_name", "row_id", *DRAW), ["run_name", "row_id"])
+    given = accept_responses(given, listed(rows, runs), ["row_id", *DRAW])
+    return _judged(asked.join(given.select("run_name", "row_id", "match"), ["run_name", "row_id"], "left"))
 
 
 def accuracy_by(preds: DataFrame, keys: Sequence[str] = ("error_type", "entity_type")) -> DataFrame:
@@ -178,7 +214,7 @@ def accuracy_by(preds: DataFrame, keys: Sequence[str] = ("error_type", "entity_t
                        F.avg("correct").alias("accuracy")).select("run_name", "metric", "rows", "accuracy")
 
 
-def run_summary(preds: DataFrame, rows: DataFrame, configs: Sequence[RunConfig]) -> DataFrame:
+def run_summary(preds: DataFrame, rows: DataFrame, configs: Configs) -> DataFrame:
     """One record per run: parameters, overall accuracy and two accuracy maps."""
     keys = ["error_type", "entity_type"]
     cells = preds.groupingSets([["run_name"], *[["run_name", k] for k in keys]], "run_name", *keys).agg(
@@ -192,9 +228,5 @@ def run_summary(preds: DataFrame, rows: DataFrame, configs: Sequence[RunConfig])
           .alias(f"accuracy_by_{k}") for k in keys])
     pool_size = candidate_pool(rows).agg(F.count(F.lit(1))).scalar()
     fields = ["prompt_file", "prompt_sha", "dataset_sha", "similarity_threshold", "num_distractors", "seed"]
-    for f in fields:
-        value = F.lit(None)
-        for c in configs:
-            value = F.when(F.col("run_name") == c.run_name, F.lit(getattr(c, f))).otherwise(value)
-        out = out.withColumn(f, value)
-    return out.withColumn("candidate_pool_size", pool_size)
+    runs = config_table(rows.sparkSession, configs).select("run_name", *fields)
+    return out.join(runs, "run_name", "left").withColumn("candidate_pool_size", pool_size)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import months_run_capped, parse_day
 from ..functions.status import STATUS_MONTHS_THRESHOLD, contract_status, status_reason
 from ..functions.text import draft_letter, pounds
+from ..operators.ordinals import range_ordinals
 from ..schemas import DETAIL_LABELS
+from ..sources.tables import read_table, write_table
 
 
 def status_report(
@@ -27,13 +30,31 @@ def status_report(
     )
 
 
+def write_report(report: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The report as Parquet, one folder a framework."""
+    write_table(report, path, mode=mode, partition_by=["framework"])
+
+
+def read_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A report that ``write_report`` wrote, with the schema of the report.
+
+    The schema keeps framework names text (a folder named 007 would else come back
+    as a number) and lets a report without rows be read.
+    """
+    return read_table(spark, path, schema, "parquet").select(*schema.names)
+
+
 def for_framework(df: DataFrame, framework: str) -> DataFrame:
-    """One framework's rows; an unknown one gives none."""
+    """One framework's rows; an unknown one gives none.  Of a written report only its folder is read."""
     return df.where(F.col("framework") == framework)
 
 
 def first_framework(df: DataFrame) -> DataFrame:
-    """Rows of the first framework by name; no rows in, no rows out."""
+    """Rows of the first framework by name; no rows in, no rows out.
+
+    Give it a report that ``read_report`` read: the name is found from the folder
+    names, and only that folder is read.
+    """
     return df.where(F.col("framework") == df.agg(F.min("framework")).scalar())
 
 
@@ -53,12 +74,13 @@ def records_by_framework(df: DataFrame, order: str, page_size: int = 10_000) ->
 
     Page n holds the records from place ``n * page_size`` on, at every size, so
     page number and place within it are the source order, and no row holds more
-    than a page.  Places come from a sort of the order column, which spills.
+    than a page.  Places are numbered by ranges, so a framework of any size is the
+    work of many tasks.
     """
-    place = F.row_number().over(Window.partitionBy("framework").orderBy(order)) - 1
-    page = F.floor(place / page_size).cast("int")
-    listed = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), "name", "details")))
+    placed = range_ordinals(details(df.where("framework is not null"), order), "framework", order)
+    page = F.floor(F.col("place") / page_size).cast("int")
+    listed = F.sort_array(F.collect_list(F.struct("place", "name", "details")))
     return (
-        details(df.where("framework is not null"), order).withColumn("page", page).groupBy("framework", "page")
+        placed.withColumn("page", page).groupBy("framework", "page")
         .agg(F.transform(listed, lambda r: F.struct(r["name"], r["details"])).alias("records"))
     )

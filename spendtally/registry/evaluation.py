@@ -145,7 +145,7 @@ def _keyed_sql(side: str, name: str) -> str:
 @query(f"""WITH {_PREDICTED_SQL.replace("offered AS (", "listed AS (", 1).replace("FROM offered JOIN", "FROM listed JOIN")},
   offered AS (SELECT row_id, candidate, cand_ord, lower(trim(input_name)) AS p, lower(candidate) AS q,
       {_keyed_sql("a", "input_name")}, {_keyed_sql("c", "candidate")}
-    FROM listed JOIN labelled USING (row_id) WHERE candidate <> input_name), {sh.RATIOS_SQL},
+    FROM listed JOIN labelled USING (row_id) WHERE candidate <> input_name), {sh.ratios_sql()},
   by_ratio AS (SELECT row_id, candidate FROM offered JOIN ratios USING (p, q) WHERE ratio >= 0.85
     QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY ratio DESC, cand_ord, candidate) = 1),
   fits AS (SELECT row_id, candidate, CASE WHEN ak1 = ck1 THEN 1 WHEN ak2 = ck2 THEN 2 WHEN ak3 = ck3 THEN 3

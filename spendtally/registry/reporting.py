@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from ..sources.tables import with_ord
+from ..sources.tables import checkpoint_folder, with_ord
 from ..plans import enrich as en
 from ..plans import report as rp
 from ..schemas import DETAIL_LABELS
@@ -113,6 +115,14 @@ def _status(spark, sf):
     return rp.status_report(_suppliers(spark, sf), sh.AS_OF, sender="Contract Team")
 
 
+def _written(spark, sf):
+    """The report, written to a folder of its own on the shared store and read back."""
+    path = f"{checkpoint_folder(spark)}/report-{uuid.uuid4().hex}"
+    status = _status(spark, sf)
+    rp.write_report(status, path)
+    return rp.read_report(spark, path, status.schema)
+
+
 def _status_columns(df):
     return df.select("framework", "name", "buyer_name", "o_orderkey", sh.text_date("contract_end"),
                      F.col("months_run").cast("bigint").alias("months_run"), "status", "status_reason")
@@ -138,12 +148,12 @@ def status_counts(spark, sf):
 
 @query(f"WITH {_REPORT_SQL} SELECT {_STATUS_COLS} FROM status WHERE framework = '2-HIGH'")
 def for_framework(spark, sf):
-    return _status_columns(rp.for_framework(_status(spark, sf), "2-HIGH"))
+    return _status_columns(rp.for_framework(_written(spark, sf), "2-HIGH"))
 
 
 @query(f"WITH {_REPORT_SQL} SELECT {_STATUS_COLS} FROM status WHERE framework = (SELECT min(framework) FROM status)")
 def first_framework(spark, sf):
-    return _status_columns(rp.first_framework(_status(spark, sf)))
+    return _status_columns(rp.first_framework(_written(spark, sf)))
 
 
 _RECORD_SQL = f"""WITH {_REPORT_SQL} SELECT framework, name, buyer AS "Buyer name", award_value::DOUBLE AS "Contract value",

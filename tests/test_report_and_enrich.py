@@ -4,6 +4,7 @@ import golden
 import pytest
 from pyspark.sql import functions as F
 
+from spendtally.operators.ordinals import range_ordinals
 from spendtally.plans import enrich as en
 from spendtally.plans import report as rp
 
@@ -47,6 +48,37 @@ def test_records(report):
     assert rec["details"]["Contract start"] == "2024-07-01" and rec["framework"] == "Framework 1"
 
 
+def test_pages_of_a_large_framework_come_in_order_from_many_tasks(spark):
+    df = spark.range(0, 3000, 1, 7).selectExpr(
+        "case when id % 3 > 0 then 'big' when id % 6 = 0 then 'small' end as framework", "id as ord", "concat('n', id) as name")
+    placed = range_ordinals(df, "framework", "ord", parts=5)
+    rows = placed.collect()
+    for f in ("big", "small", None):
+        mine = sorted((r.place, r.ord) for r in rows if r.framework == f)
+        assert [p for p, _ in mine] == list(range(len(mine))) and [o for _, o in mine] == sorted(o for _, o in mine)
+    assert len(rows) == 3000 and placed.columns == ["framework", "ord", "name", "place"]
+    ranges = range_ordinals(df.where("framework = 'big'"), "framework", "ord", parts=5)
+    plan = ranges._jdf.queryExecution().executedPlan().toString()
+    assert "windowspecdefinition(framework" in plan and "row_number() windowspecdefinition(framework#" in plan
+    numbered = [x for x in plan.splitlines() if "row_number()" in x]
+    assert numbered and all("_range#" in x.split("windowspecdefinition(")[1] for x in numbered)
+    assert range_ordinals(df.where("false"), "framework", "ord").collect() == []
+
+
+def test_a_written_report_is_pruned_to_one_folder(spark, report, tmp_path):
+    path = str(tmp_path / "report")
+    rp.write_report(report.withColumn("framework", F.expr("replace(framework, 'Framework ', '00')")), path)
+    read = rp.read_report(spark, path, report.schema)
+    assert read.columns == report.columns
+    assert rp.for_framework(read, "002").count() == 3 and rp.for_framework(read, "2").count() == 0
+    assert {r.framework for r in rp.first_framework(read).collect()} == {"001"}
+    for df in (rp.for_framework(read, "002"), rp.first_framework(read)):
+        scan = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan parquet" in x]
+        assert "PartitionFilters: [isnotnull(framework" in scan[0] and "DataFilters: []" in scan[0]
+    rp.write_report(report.where("false"), str(tmp_path / "none"))
+    assert rp.first_framework(rp.read_report(spark, str(tmp_path / "none"), report.schema)).count() == 0
+
+
 def test_last_wins(spark):
     def src(rows):
         return spark.createDataFrame(

@@ -136,7 +136,8 @@ def test_pruned_ratios_equal_all_ratios(spark):
         [(i, a, c, j) for i, a in enumerate(names) for j, c in enumerate(names) if a != c],
         "row_id int, input_name string, candidate string, cand_ord int")
     for threshold in (0.3, 0.6, 0.85):
-        got = dict(ev.best_offers(offered, ev.RunConfig("r", similarity_threshold=threshold)).collect())
+        best = ev.best_offers(offered, ["row_id"], threshold).where(f"ratio.score >= {threshold}")
+        got = dict(best.select("row_id", "ratio.match").collect())
         want = {}
         for i, a in enumerate(names):
             scores = [(-SequenceMatcher(None, a, c).ratio(), j, c) for j, c in enumerate(names) if a != c]
@@ -154,3 +155,16 @@ def test_answers_to_two_prompts(rows):
     assert len(got["a"]) == len(got["b"]) == rows.count()
     assert all(r.correct for r in got["a"]) and all(r.prediction is None for r in got["b"])
     assert all(r.correct == r.is_negative_control for r in got["b"])
+
+
+def test_runs_are_a_table_and_the_plan_does_not_grow(spark, rows):
+    few = [ev.RunConfig("r0")]
+    many = [ev.RunConfig(f"r{i}", ev.SCORERS[i % 3], 0.4 + 0.05 * (i % 11), 2 + i % 3, 40 + i % 2) for i in range(40)]
+    size = lambda runs: len(ev.predictions(rows, runs)._jdf.queryExecution().optimizedPlan().toString().splitlines())
+    assert size(few) == size(many)
+    alone = {r.run_name: (r["rows"], r.accuracy) for c in many[:6] for r in ev.accuracy_by(ev.predictions(rows, [c])).where("metric = 'accuracy_overall'").collect()}
+    together = ev.accuracy_by(ev.predictions(rows, ev.config_table(spark, many))).where("metric = 'accuracy_overall'").collect()
+    assert len(together) == 40 and all((r["rows"], r.accuracy) == alone[r.run_name] for r in together if r.run_name in alone)
+    with pytest.raises(Exception, match="unknown scorer"):
+        bad = ev.config_table(spark, few).withColumn("scorer", F.lit("magic"))
+        ev.predictions(rows, bad).collect()
