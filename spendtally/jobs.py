@@ -45,7 +45,7 @@ def _inputs(spark: SparkSession, indir: str):
     contracts = tb.read_table(spark, f"{indir}/contracts.csv", schemas.CONTRACTS)
     mi = tb.read_table(spark, f"{indir}/mi.csv", schemas.MI)
     keys = tb.read_table(spark, f"{indir}/reg_number_supplier_key.csv", schemas.REG_KEYS)
-    return tb.with_file_order(contracts, "contract_ord"), tb.with_file_order(mi, "mi_ord"), keys
+    return tb.with_row_numbers(contracts, "contract_ord"), tb.with_row_numbers(mi, "mi_ord"), keys
 
 
 def combine(spark: SparkSession, indir: str, outdir: str, matcher: Matcher, residual: str = "reference") -> None:

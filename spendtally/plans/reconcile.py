@@ -7,7 +7,7 @@ aggregates on the hash path).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import nullable_key, pair_id
@@ -76,8 +76,12 @@ def _left_join_pairs(
 def reconcile_exact(
     contracts: DataFrame, mi: DataFrame, min_rows: int = 1_000_000, salts: int = 32
 ) -> DataFrame:
-    """Pass 1: every contract with its spend rows, or once with nulls."""
-    return _left_join_pairs(contracts, mi, contract_index(contracts), pair_names(mi), min_rows, salts)
+    """Pass 1: every contract with its spend rows, or once with nulls.
+
+    The reduced forms of both sides are read several times, so they are written first.
+    """
+    index, names = shared_checkpoint(contract_index(contracts)), shared_checkpoint(pair_names(mi))
+    return _left_join_pairs(contracts, mi, index, names, min_rows, salts)
 
 
 def matched_mi(mi: DataFrame, contracts: DataFrame) -> DataFrame:
@@ -243,11 +247,16 @@ def spend_by_pair(names: DataFrame) -> DataFrame:
     """``(PairID, spend, n_rows, mi_group)`` from ``spend_by_name`` rows.
 
     ``mi_group`` is the first non-null group with its position; equal positions
-    fall back to text order.
+    fall back to text order.  Sums are combined by hash, and of a pair's groups each
+    task sends on the first.  ``names`` is read twice.
     """
-    group = F.when(F.col("CustomerGroup").isNotNull(), F.struct("mi_ord", "CustomerGroup"))
-    return names.groupBy("PairID").agg(
-        F.sum("spend").alias("spend"), F.sum("n_rows").alias("n_rows"), F.min(group).alias("mi_group"))
+    sums = names.groupBy("PairID").agg(F.sum("spend").alias("spend"), F.sum("n_rows").alias("n_rows"))
+    first = Window.partitionBy("PairID").orderBy("mi_ord", "CustomerGroup")
+    groups = (
+        names.where("CustomerGroup is not null").withColumn("_r", F.row_number().over(first)).where("_r = 1")
+        .select(F.col("PairID").alias("_p"), F.struct("mi_ord", "CustomerGroup").alias("mi_group"))
+    )
+    return sums.join(groups, F.col("PairID").eqNullSafe(F.col("_p")), "left").drop("_p")
 
 
 __all__ = [

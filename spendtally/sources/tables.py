@@ -6,7 +6,7 @@ import tempfile
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,6 +100,21 @@ def with_file_order(df: DataFrame, name: str) -> DataFrame:
         F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("row")))
 
 
+def with_row_numbers(df: DataFrame, name: str) -> DataFrame:
+    """Number the rows of a table just read from files 0, 1, ... in the order of ``with_file_order``.
+
+    The rows are written once with their places, as splits may fall differently in
+    another scan; what goes before a split is a running sum over one row per split.
+    """
+    placed = shared_checkpoint(with_file_order(df, "_at"))
+    splits = placed.groupBy("_at.file", "_at.block").agg(F.count(F.lit(1)).alias("_n"), F.min("_at.row").alias("_first"))
+    before = Window.partitionBy(F.lit(0)).orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select(
+        F.col("file").alias("_f"), F.col("block").alias("_b"), (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_off"))
+    same = (F.col("_at.file") == F.col("_f")) & (F.col("_at.block") == F.col("_b"))
+    return placed.join(offsets, same).withColumn(name, F.col("_off") + F.col("_at.row")).drop("_at", "_f", "_b", "_off")
+
+
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 

@@ -67,3 +67,20 @@ def test_first_pass_keeps_every_contract_and_row_pairing(spark):
         hits = mp.PairID.isna().sum() if p is None else (mp.PairID == p).sum()
         want += max(1, int(hits))
     assert rc.reconcile_exact(c, m, min_rows=2, salts=4).count() == want
+
+
+def test_roll_up_sorts_for_no_aggregate(spark):
+    c, m = tables(spark, 4)
+    combined = spark.createDataFrame(rc.reconcile_exact(c, m).collect(), rc.reconcile_exact(c, m).schema)
+    for df in (ll.line_level(c, m, "2023-05-20"), ll.line_level_from_combined(combined, "2023-05-20")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_orders_of_any_type_give_the_same_lines(spark):
+    c, m = tables(spark, 5)
+    c = c.withColumn("contract_ord", c.contract_ord * 10 + F.coalesce("contract_supplier_key", F.lit(9)))
+    as_text = lambda df, o: df.withColumn(o, F.struct(F.lit("f").alias("file"), F.lpad(F.col(o).cast("string"), 6, "0").alias("row")))
+    cols = [x for x in ll.line_level(c, m, "2023-05-20").columns]
+    assert rows(ll.line_level(c, m, "2023-05-20")) == rows(
+        ll.line_level(as_text(c, "contract_ord"), as_text(m, "mi_ord"), "2023-05-20").select(cols))

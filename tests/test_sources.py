@@ -153,3 +153,17 @@ def test_default_lookup_is_unique(spark):
     left = spark.createDataFrame([(1,), (2,)], "k int")
     dim = spark.createDataFrame([(1, " "), (1, "b"), (1, "a"), (2, None)], "k int, v string")
     assert sorted(map(tuple, with_default(left, dim, "k", "v", F.lit("none")).collect())) == [(1, "a"), (2, "none")]
+
+
+def test_row_numbers_follow_files_and_lines(spark, tmp_path):
+    # the larger file comes last by name, though Spark reads it first; small splits cut it up
+    (tmp_path / "a.csv").write_text("k,v\n" + "".join(f"a{i},x\n" for i in range(50)))
+    (tmp_path / "b.csv").write_text("k,v\n" + "".join(f"b{i},{'y' * 40}\n" for i in range(2000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        df = tb.with_row_numbers(spark.read.option("header", True).csv(str(tmp_path)), "n")
+        got = [(r.n, r.k) for r in df.orderBy("n").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == list(enumerate([f"a{i}" for i in range(50)] + [f"b{i}" for i in range(2000)]))
+    assert df.columns == ["k", "v", "n"] and dict(df.dtypes)["n"] == "bigint"
