@@ -11,6 +11,10 @@ from ..functions.json_text import json_ids
 from ..functions.text import trim_all
 
 
+# Parts that rows without a registration number are dealt into.
+NULL_PARTS = 32
+
+
 def attach_supplier_key(
     contracts: DataFrame,
     regkeys: DataFrame,
@@ -20,14 +24,19 @@ def attach_supplier_key(
     """Inner join on registration number; several keys per number fan out.
 
     ``null_keys="match"`` lets a missing number meet a missing number;
-    ``"drop"`` is the plain SQL join.
+    ``"drop"`` is the plain SQL join.  Contracts without a number are dealt into
+    ``NULL_PARTS`` parts by their content, and keys without one go to each part.
     """
     if null_keys not in ("match", "drop"):
         raise ValueError("null_keys must be 'match' or 'drop'")
     if null_keys == "drop":
         return contracts.join(regkeys, on, "inner")
-    keys = regkeys.withColumnRenamed(on, "_reg")
-    return contracts.join(keys, F.col(on).eqNullSafe(F.col("_reg")), "inner").drop("_reg")
+    content = [F.col(f"`{c}`") for c in contracts.columns]
+    dealt = F.when(F.col(on).isNull(), F.pmod(F.xxhash64(*content), F.lit(NULL_PARTS))).otherwise(0).cast("int")
+    every = F.when(F.col("_reg").isNull(), F.sequence(F.lit(0), F.lit(NULL_PARTS - 1))).otherwise(F.array(F.lit(0)))
+    keys = regkeys.withColumnRenamed(on, "_reg").withColumn("_key_part", F.explode(every))
+    same = F.col(on).eqNullSafe(F.col("_reg")) & (F.col("_part") == F.col("_key_part"))
+    return contracts.withColumn("_part", dealt).join(keys, same, "inner").drop("_reg", "_part", "_key_part")
 
 
 def member_rows(df: DataFrame, keys: DataFrame, on: str, keep: bool = True) -> DataFrame:

@@ -65,7 +65,7 @@ Configs = Sequence[RunConfig] | DataFrame
 def config_table(spark: SparkSession, configs: Configs) -> DataFrame:
     """The runs as a table with the columns of ``RunConfig``, one row a run."""
     if isinstance(configs, DataFrame):
-        return configs.select(*RunConfig.__dataclass_fields__)
+        return configs.select(*[F.col(f).cast(t) for f, t in (c.split(" ") for c in CONFIG_SCHEMA.split(", "))])
     for c in configs:
         if c.scorer not in SCORERS:
             raise ValueError(f"unknown scorer {c.scorer!r}; use {', '.join(SCORERS)}")

@@ -17,6 +17,18 @@ def prompt_requests(offered: DataFrame, ids, template: str, name: str = "input_n
     return listed.withColumn("prompt", render_prompt(F.lit(template), name, "candidates"))
 
 
+def prompts_of_files(offered: DataFrame, ids, prompts: DataFrame, name: str = "input_name") -> DataFrame:
+    """``(prompt_file, ids, prompt)``: every prompt file filled in for every asked name.
+
+    ``prompts(prompt_file, prompt_text)`` as ``read_prompts`` gives them; they come as
+    one value, so names and prompts meet without a join.
+    """
+    files = prompts.agg(F.collect_list(F.struct("prompt_file", "prompt_text"))).scalar()
+    listed = prompt_requests(offered, ids, "", name).withColumn("_p", F.explode(files))
+    return listed.select(
+        F.col("_p.prompt_file").alias("prompt_file"), *ids, render_prompt(F.col("_p.prompt_text"), name, "candidates").alias("prompt"))
+
+
 def accept_responses(responses: DataFrame, offered: DataFrame, ids, response: str = "response") -> DataFrame:
     """Parse answers and keep those that the caller's list holds; a wrong or empty answer is null.
 

@@ -232,17 +232,21 @@ def _mixed_response():
     SELECT a.*, CASE WHEN EXISTS (SELECT 1 FROM offered o WHERE o.row_id = a.row_id AND o.candidate = a.answer) THEN answer END AS prediction
     FROM answers a),
   judged AS (SELECT *, CASE WHEN negative THEN (prediction IS NULL)::INT ELSE coalesce(prediction = ground_truth, false)::INT END AS correct
-    FROM predicted)
-  SELECT run_name, error_type, count(*)::BIGINT AS rows, avg(correct) AS accuracy FROM judged GROUP BY run_name, error_type""")
+    FROM predicted),
+  g AS (SELECT run_name, error_type, entity_type, count(*)::BIGINT AS n, avg(correct) AS accuracy FROM judged
+    GROUP BY GROUPING SETS ((run_name), (run_name, error_type), (run_name, entity_type)))
+  SELECT run_name, CASE WHEN error_type IS NOT NULL THEN 'accuracy_error_' ||
+      replace(replace(lower(error_type), ' ', '_'), '-', '_')
+    WHEN entity_type IS NOT NULL THEN 'accuracy_entity_' || lower(entity_type) ELSE 'accuracy_overall' END AS metric,
+    n AS rows, accuracy FROM g""")
 def accuracy_of_prompts(spark, sf):
-    """Answers to two prompts over the same draws, by kind of error."""
+    """Answers to two prompts over the same draws: overall, by kind of error and of body."""
     rows = _rows(spark, sf)
     terse = F.when(F.length("input_name") % 2 == 0, F.to_json(F.struct(F.col("ground_truth").alias("match"))))
     responses = rows.select(F.lit("plain").alias("run_name"), "row_id", _mixed_response().alias("response")).union(
         rows.select(F.lit("terse"), "row_id", terse))
     runs = [ev.RunConfig("plain", prompt_file="plain.txt"), ev.RunConfig("terse", prompt_file="terse.txt")]
-    judged = ev.predictions_from_responses(rows, responses, runs)
-    return judged.groupBy("run_name", "error_type").agg(F.count("*").alias("rows"), F.avg("correct").alias("accuracy"))
+    return ev.accuracy_by(ev.predictions_from_responses(rows, responses, runs))
 
 
 _MANIFEST_SQL = """SELECT o_orderpriority AS prompt_file, md5(o_custkey::VARCHAR) AS prompt_sha, o_orderstatus AS dataset_sha,

@@ -141,13 +141,14 @@ def red_amber_flags(spark, sf):
   SELECT buyer AS "Contracting Authority", suppliers AS "Supplier", award_value::DOUBLE AS "Award Value",
     contract_start::VARCHAR AS "Contract Start Date", contract_end::VARCHAR AS "Contract End Date",
     contract_months::BIGINT AS "Contract Duration (Months)", customer_group AS "Customer Group",
-    months_run::BIGINT AS "Total Months Run So Far", expired AS "Expired" FROM lines""")
+    months_run::BIGINT AS "Total Months Run So Far", expired AS "Expired", spend::DOUBLE AS "EvidencedSpend", framework_title, source,
+    contract_title, contract_description, awarded::VARCHAR AS awarded, latest_employees::BIGINT AS latest_employees FROM lines""")
 def line_level_labels(spark, sf):
     c, m = _keyed(spark, sf)
-    out = ll.line_level(c, m, sh.AS_OF).select(
-        "buyer", "suppliers", sh.money("award_value"), sh.text_date("contract_start"),
-        sh.text_date("contract_end"), F.col("contract_months").cast("bigint").alias("contract_months"),
-        "CustomerGroup", F.col("months_run").cast("bigint").alias("months_run"), "expired")
+    out = ll.line_level(c, m, sh.AS_OF).withColumns({
+        **{x: F.col(x).cast("double") for x in ("award_value", "EvidencedSpend")},
+        **{x: F.col(x).cast("string") for x in ("contract_start", "contract_end", "awarded")},
+        **{x: F.col(x).cast("bigint") for x in ("contract_months", "months_run", "latest_employees")}})
     return ll.with_report_labels(out)
 
 

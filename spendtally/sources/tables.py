@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,12 +141,24 @@ def union_tables(spark: SparkSession, names: Sequence[str], cols: Sequence[str])
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists",
-                partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
-    """Parquet between jobs, CSV with header at the edges; sorted only here, if asked for."""
-    w = (df.orderBy(*sort_by) if sort_by else df).write.mode(mode).partitionBy(*partition_by)
+                partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> int:
+    """Parquet between jobs, CSV with header at the edges; sorted only here, if asked for.
+
+    Gives the number of rows written, which the writing tasks count as they go.
+    """
+    rows = df.orderBy(*sort_by) if sort_by else df
+    counted = Observation()
+    # above the sort, whose sampling would count rows twice
+    w = rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode(mode).partitionBy(*partition_by)
     if fmt == "csv":
         w = w.option("header", True).option("escape", '"')
     w.format(fmt).save(path)
+    return counted.get.get("rows", 0)
+
+
+def write_counts(spark: SparkSession, counts: dict[str, int], path: str) -> None:
+    """``(table_name, row_count)`` of the tables a job wrote, as JSON lines."""
+    write_summary(spark.createDataFrame(sorted(counts.items()), "table_name string, row_count bigint").coalesce(1), path, "overwrite")
 
 
 def write_summary(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -169,6 +182,21 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+@contextmanager
+def own_checkpoints(spark: SparkSession) -> Iterator[str]:
+    """A checkpoint folder of its own for a piece of work that writes its results; deleted with the work's end."""
+    sc = spark.sparkContext
+    base = checkpoint_folder(spark).rsplit("/", 1)[0]
+    sc.setCheckpointDir(base)  # makes a new folder in it
+    mine = sc.getCheckpointDir()
+    try:
+        yield mine
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(mine)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        sc.setCheckpointDir(base)
+
+
 def shared_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage in the folder that ``spark.checkpoint.dir`` names."""
     checkpoint_folder(df.sparkSession)

@@ -1,4 +1,5 @@
 import json
+import os
 
 import golden
 import pytest
@@ -167,3 +168,22 @@ def test_row_numbers_follow_files_and_lines(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == list(enumerate([f"a{i}" for i in range(50)] + [f"b{i}" for i in range(2000)]))
     assert df.columns == ["k", "v", "n"] and dict(df.dtypes)["n"] == "bigint"
+
+
+def test_missing_numbers_meet_in_many_parts(spark):
+    left = spark.range(500).selectExpr("if(id % 5 = 0, cast(id as string), null) as reg", "id")
+    keys = spark.createDataFrame([(None, 1), (None, 2), ("5", 3), ("5", 4), ("7", 9)], "reg string, SupplierKey int")
+    joined = attach_supplier_key(left, keys, on="reg")
+    got = sorted((r.id, r.SupplierKey) for r in joined.collect())
+    assert got == sorted([(i, k) for i in range(500) if i % 5 for k in (1, 2)] + [(5, 3), (5, 4)])
+    assert joined.columns == ["reg", "id", "SupplierKey"]
+    assert "_part" in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_job_takes_its_checkpoints_away(spark, tmp_path):
+    before = tb.checkpoint_folder(spark)
+    with tb.own_checkpoints(spark) as folder:
+        assert tb.shared_checkpoint(spark.range(10)).count() == 10 and folder != before
+        assert os.listdir(folder.removeprefix("file:"))
+    assert not os.path.exists(folder.removeprefix("file:"))
+    assert tb.shared_checkpoint(spark.range(3)).count() == 3
