@@ -6,13 +6,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import _col, trim_all
+from . import block_ratio
 from .block_ratio import block_ratios
 
+# travels to the workers by value, so they need no copy of this package
+cloudpickle.register_pickle_by_value(block_ratio)
+
 # --- fixed values -----------------------------------------------------------
 SIMILARITY_THRESHOLD = 0.85
 # ----------------------------------------------------------------------------
