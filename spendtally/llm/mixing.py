@@ -110,7 +110,7 @@ def allocate(
 
 def position(offset: Column, schedules: Sequence = SCHEDULES) -> Column:
     """Training time of the copy that begins at word ``offset`` of its source's stream."""
-    share = offset / F.col("target")
+    share = F.when(F.col("target") > 0, offset / F.col("target")).otherwise(F.lit(0.0))
     out = None
     for k, knots in enumerate(schedules):
         here = F.col("source_no") % len(schedules) == k
@@ -118,6 +118,53 @@ def position(offset: Column, schedules: Sequence = SCHEDULES) -> Column:
     return out
 
 
+def _copies(epochs: int) -> Column:
+    """How often a row is trained on: until its taken words are used up; a row without words, in each round that reaches it."""
+    words = F.floor(F.col("target") + F.lit(0.5))
+    reached = sum((F.when((F.col("start") + F.col("source_size") * k < words) | ((F.col("source_size") == 0) & F.lit(k == 0)), 1).otherwise(0)
+                   for k in range(epochs)), F.lit(0))
+    some = F.expr("cast((taken - 1) div size as int) + 1")
+    return F.when(F.col("size") == 0, reached).when(F.col("taken") > 0, some).otherwise(0)
+
+
+def _placed(docs: DataFrame, added: Sequence[str], size: Column, seed: str, weights, schedules, epochs: int) -> DataFrame:
+    """Every row as ``row``, without the columns of ``added``, beside its size, source_size, target, taken and positions."""
+    kept = keep_columns(docs, list(added))
+    key = F.xxhash64("doc_id", "source", "text_hash", "size").alias("key")
+    plan = allocate(docs, size, seed, weights, schedules, epochs).withColumn("copies", _copies(epochs))
+    numbers = F.when(F.col("copies") > 0, F.sequence(F.lit(0), F.col("copies") - 1)).otherwise(F.array().cast("array<int>"))
+    positions = F.transform(numbers, lambda k: position(F.col("start") + k * F.col("source_size"), schedules))
+    plan = cut(plan.select(F.col("doc_id").alias("p_id"), key, "i", "n", "size", "source_size", "target", "taken", positions.alias("positions")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), "doc_id", "source",
+                       F.xxhash64("text").alias("text_hash"), size.cast("long").alias("size"))
+    rows = rows.select("row", "doc_id", key)
+    # rows without an equal meet their plan at once; equal rows, if there are any, are numbered first
+    one, several = plan.filter("n = 1").drop("i", "n"), plan.filter("n > 1").drop("n")
+    both = rows.join(one, "key")
+    if not several.isEmpty():
+        equal = rows.join(several.select("key").distinct(), "key", "left_semi")
+        equal = equal.withColumn("i", F.row_number().over(Window.partitionBy("key", "doc_id").orderBy(F.lit(1))) - 1).join(several, ["key", "i"])
+        both = both.unionByName(equal.drop("i"))
+    return both.filter(F.col("doc_id").eqNullSafe(F.col("p_id"))).select("row", "doc_id", "size", "source_size", "target", "taken", "positions")
+
+
+def mixed_documents(
+    docs: DataFrame, size: Column, seed: str = "mix", weights: Sequence[int] = WEIGHTS,
+    schedules: Sequence = SCHEDULES, epochs: int = EPOCHS,
+) -> DataFrame:
+    """The rows of ``docs``, each once, range-sorted by their first training position, those not taken last.
+
+    Adds ``source_size``, ``target``, ``taken`` and ``positions`` (of all copies, in
+    order); they replace namesakes of the input.  Rows as in ``allocate``; a row of
+    size 0 takes no words, and has a position for each round that reaches its place
+    (one, if its whole source has no words).
+    """
+    added = ["source_size", "target", "taken", "positions"]
+    kept = keep_columns(docs, added)
+    rows = _placed(docs, added, size, seed, weights, schedules, epochs)
+    return rows.orderBy(F.get("positions", 0).asc_nulls_last(), "doc_id").select(*[F.col(f"row.`{c}`") for c in kept], *added)
+
+
 def training_order(
     docs: DataFrame, size: Column, seed: str = "mix", weights: Sequence[int] = WEIGHTS,
     schedules: Sequence = SCHEDULES, epochs: int = EPOCHS,
@@ -125,34 +172,26 @@ def training_order(
     """The mix itself: the rows of ``docs``, each as often as it is taken, sorted by training position.
 
     Adds ``position`` and ``mix_words`` (words to train on: all, or fewer in the
-    last document that a source gives).  Both replace namesakes of the input.
+    last document that a source gives).  Both replace namesakes of the input.  A row
+    of size 0 (a null, empty or blank text) stays, with 0 words, once for each round
+    of its source that reaches its place.
     """
-    kept = keep_columns(docs, ["position", "mix_words"])
-    key = F.xxhash64("doc_id", "source", "text_hash", "size").alias("key")
-    plan = allocate(docs, size, seed, weights, schedules, epochs).filter("taken > 0")
-    copies = F.expr(f"sequence(0, cast((taken - 1) div size as int))")
-    plan = plan.withColumn("k", F.explode(copies)).withColumn("offset", F.col("start") + F.col("k") * F.col("source_size"))
-    plan = plan.select(
-        F.col("doc_id").alias("p_id"), key, F.col("i"), "n", position(F.col("offset"), schedules).alias("position"),
-        F.least(F.col("size"), F.col("taken") - F.col("k") * F.col("size")).alias("mix_words"),
-    )
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), "doc_id", "source",
-                       F.xxhash64("text").alias("text_hash"), size.cast("long").alias("size"))
-    rows = rows.select("row", "doc_id", key)
-    # rows without an equal meet their plan at once; equal rows are numbered first
-    one, several = plan.filter("n = 1").drop("i", "n"), plan.filter("n > 1").drop("n")
-    alone = rows.join(one, "key")
-    equal = rows.join(several.select("key").distinct(), "key", "left_semi")
-    equal = equal.withColumn("i", F.row_number().over(Window.partitionBy("key", "doc_id").orderBy(F.lit(1))) - 1).join(several, ["key", "i"])
-    both = alone.unionByName(equal.drop("i")).filter(F.col("doc_id").eqNullSafe(F.col("p_id")))
-    return both.select(*[F.col(f"row.`{c}`") for c in kept], "position", "mix_words").orderBy("position", "doc_id")
+    added = ["position", "mix_words"]
+    kept = keep_columns(docs, added)
+    rows = _placed(docs, added, size, seed, weights, schedules, epochs)
+    rows = rows.select("row", "doc_id", "size", "taken", F.posexplode("positions").alias("k", "position"))
+    words = F.least(F.col("size"), F.col("taken") - F.col("k") * F.col("size"))
+    return rows.withColumn("mix_words", words).select(
+        *[F.col(f"row.`{c}`") for c in kept], "position", "mix_words", F.col("doc_id").alias("_id")
+    ).orderBy("position", "_id").drop("_id")
 
 
 def mix_digest(documents: DataFrame) -> DataFrame:
-    """What the mix takes of every document, sorted by first training position (null: none taken)."""
-    a = allocate(documents, word_count(F.col("text")))
-    first = F.when(F.col("taken") > 0, position(F.col("start")))
-    return a.select("doc_id", "size", "source_size", "target", "taken", first.alias("position")).orderBy("position", "doc_id")
+    """What the mix takes of every document, from the whole documents sorted by first training position (null: none taken)."""
+    size = word_count(F.col("text"))
+    mixed = mixed_documents(documents.select("doc_id", "source", "text"), size)
+    return mixed.select("doc_id", size.alias("size"), "source_size", "target", "taken",
+                        F.when(F.col("taken") > 0, F.get("positions", 0)).alias("position"))
 
 
 #: The same result in DuckDB.

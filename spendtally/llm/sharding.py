@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from .common import cut, keep_columns
 
-#: More buckets than this are never made; their table of offsets is broadcast (16 bytes a row).
-MAX_BUCKETS = 1 << 20
+#: Shuffle partitions of the scatter at most; from there on a partition holds several buckets, worked off one by one.
+MAX_PARTS = 1 << 14
+#: The table of bucket offsets (16 bytes a row) is broadcast up to so many buckets, and joined beyond.
+BROADCAST_BUCKETS = 1 << 20
 
 
 def text_bytes(text: Column) -> Column:
@@ -36,10 +38,10 @@ def shuffled_shards(
         raise ValueError("n_shards must be at least 1")
     size = row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes)
     total = df.agg(F.sum(size.cast("long")).alias("b")).first()["b"] or 0
-    n_buckets = max(1, -(-total // max(bucket_bytes, -(-total // MAX_BUCKETS))))
+    n_buckets = max(1, -(-total // bucket_bytes))
     kept = keep_columns(df, ["shard", "slot"])
     rows = df.select(F.monotonically_increasing_id().alias("place"), F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"))
-    scattered = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "place"), F.lit(n_buckets))).repartition(n_buckets, "bucket")
+    scattered = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "place"), F.lit(n_buckets))).repartition(min(n_buckets, MAX_PARTS), "bucket")
     buckets = scattered.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("place", "row"))).alias("rows"))
     # places are unique, so this order and the permutation drawn from it come out the same in a re-run task
     mixed = buckets.sortWithinPartitions("bucket").select("bucket", F.shuffle("rows", F.lit(seed)).alias("rows"))
@@ -53,7 +55,7 @@ def shuffled_shards(
     shard = F.expr(f"(before + i) * {n_shards} div `all`")
     first = F.expr(f"(shard * `all` + {n_shards - 1}) div {n_shards}")
     return (
-        written.join(F.broadcast(offsets), "bucket")
+        written.join(F.broadcast(offsets) if n_buckets <= BROADCAST_BUCKETS else offsets, "bucket")
         .withColumn("shard", shard.cast("int")).withColumn("slot", pos - first)
         .select(*[F.col(f"row.`{c}`") for c in kept], "shard", "slot")
     )
@@ -65,10 +67,9 @@ def write_shards(shards: DataFrame, path: str, mode: str = "errorifexists") -> N
 
 
 def shard_digest(documents: DataFrame, n_shards: int = 16, seed: int = 20) -> DataFrame:
-    """Shard and slot of every document, law ``rows``; a null text has a null checksum."""
-    digest = documents.select(
-        "doc_id", text_bytes(F.col("text")).alias("size"), F.crc32(F.col("text").cast("binary")).alias("text_crc32")
-    )
-    return shuffled_shards(digest, n_shards, seed).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    """Shard and slot of every document, law ``rows``, from the whole shuffled rows; a null text has a null checksum."""
+    rows = shuffled_shards(documents.select("doc_id", "text"), n_shards, seed, row_bytes=text_bytes(F.col("text")) + 64)
+    return rows.select(
+        "doc_id", text_bytes(F.col("text")).alias("size"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
     )

@@ -444,6 +444,44 @@ def test_training_order_repeats_rows_and_follows_schedules(docs):
     assert sum(r.mix_words for r in rows) == sum(r.taken for r in mixing.mix_digest(docs).collect())
 
 
+def test_rows_without_words_stay_in_the_mix(spark, tmp_path):
+    rows = [(i, t, s) for i, (t, s) in enumerate(
+        [("one two", "a"), (None, "a"), ("", "a"), (" \t", "b"), (None, "c"), (None, "c"), ("x y z " * 50, "b"), ("", None)])]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    mixed = mixing.mixed_documents(df, word_count(F.col("text"))).collect()
+    assert sorted(r.doc_id for r in mixed) == list(range(8))
+    placed = {r.doc_id: r.positions for r in mixed}
+    firsts = [r.positions[0] for r in mixed if r.positions]
+    assert firsts == sorted(firsts) and not any(r.positions for r in mixed[len(firsts):])
+    assert len(placed[4]) == len(placed[5]) == len(placed[7]) == 1  # sources without any words
+    assert 1 <= len(placed[1]) <= 3 and all(r.taken == 0 for r in mixed if not words(r.text))
+    out = mixing.training_order(df, word_count(F.col("text"))).collect()
+    assert collections.Counter(r.doc_id for r in out) == collections.Counter({i: len(p) for i, p in placed.items() if p})
+    assert all(r.mix_words == 0 for r in out if not words(r.text))
+
+
+def test_shards_are_written_and_read_back(spark, docs, tmp_path):
+    out = sharding.shuffled_shards(docs, 4, seed=3, row_bytes=sharding.text_bytes(F.col("text")) + 64, bucket_bytes=1 << 16)
+    sharding.write_shards(out, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert sorted(map(str, back.select(docs.columns).collect())) == sorted(map(str, docs.collect()))
+    sizes = [r["count"] for r in back.groupBy("shard").count().collect()]
+    assert len(sizes) == 4 and max(sizes) - min(sizes) <= 1
+
+
+def test_many_buckets_share_a_partition(spark, docs, monkeypatch):
+    monkeypatch.setattr(sharding, "MAX_PARTS", 2)
+    monkeypatch.setattr(sharding, "BROADCAST_BUCKETS", 1)
+    rows = sharding.shuffled_shards(docs, 4, seed=3, bucket_bytes=256).collect()
+    assert sorted(str(r[:-2]) for r in rows) == sorted(str(r[:]) for r in docs.collect())
+    slots = collections.defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+
+
 def test_demand_is_inverted(spark):
     knots = ((0.0, 0.0), (0.5, 2.0), (1.0, 1.0))
     got = [r.t for r in spark.range(11).select(mixing.invert_demand(F.col("id") / 10, knots).alias("t")).collect()]
@@ -465,7 +503,8 @@ def sf(docs, none, spark, tmp_path_factory):
     labels = [(i, int(i % 4 > 0), 0) for i in range(44)] + [(None, 1, 0), (3, None, 0)]
     docs.write.parquet(f"{full}/documents.parquet")
     none.write.parquet(f"{empty}/documents.parquet")
-    for name, rows, schema in (("labels", labels, LABELS), ("benchmark", [(1, "no such words in any of these texts"), (2, None)], BENCH),
+    turns = "conv_id long, turn long, role string, text string"
+    for name, rows, schema in (("labels", labels, LABELS), ("conversations", [(1, 0, "user", "Hello."), (1, 1, "assistant", "Yes")], turns), ("benchmark", [(1, "no such words in any of these texts"), (2, None)], BENCH),
                                ("embeddings", [(1, [1.0, 2.0], 1), (2, [1.0, 2.0], 1)], "vec_id long, embedding array<float>, label int")):
         spark.createDataFrame(rows, schema).write.parquet(f"{full}/{name}.parquet")
         spark.createDataFrame([], schema).write.parquet(f"{empty}/{name}.parquet")
@@ -482,6 +521,38 @@ def test_pipeline_stages_on_awkward_and_empty_tables(spark, docs, sf):
     assert out.count() > 0
 
 
+def test_every_stage_of_the_pipeline_keeps_the_rows_it_should(spark, docs, sf, tmp_path):
+    texts = lambda df: sorted((str(r.doc_id), str(r.text)) for r in df.collect())
+    item = " ".join(f"secret{i}" for i in range(12))
+    spark.createDataFrame([(1, item)], BENCH).write.parquet(str(tmp_path / "benchmark.parquet"))
+    leak = spark.createDataFrame([(900, f"{sentence(random.Random(7), 30)} {item} {sentence(random.Random(8), 30)}")], "doc_id long, text string")
+    given = docs.unionByName(leak, allowMissingColumns=True)
+    given.write.parquet(str(tmp_path / "given"))
+    given = spark.read.parquet(str(tmp_path / "given"))
+    stages = dict(corpus_pipeline.STAGES)
+    # one row of each component, and every row without words
+    out = stages["MinHash near-dedup"](spark, given, sf[0])
+    rows = [(r.doc_id, r.text) for r in given.collect()]
+    components = plain_components(rows, 5, 80)
+    wordless = sum(not words(t) for _, t in rows)
+    assert out.count() == wordless + len({c[2] for c in components if c[1]})
+    assert sum(not words(r.text) for r in out.collect()) == wordless
+    # all but the row that holds the item
+    out = stages["benchmark decontamination"](spark, given, str(tmp_path))
+    assert texts(out) == sorted(x for x in texts(given) if x[0] != "900")
+    # every row as often as the mix says
+    plan = {(str(r.doc_id), str(r.text)): 0 for r in given.collect()}
+    for r in mixing.mixed_documents(given, word_count(F.col("text"))).collect():
+        plan[str(r.doc_id), str(r.text)] += len(r.positions)
+    out = stages["mixing sources to target weights"](spark, given, sf[0])
+    assert collections.Counter(texts(out)) == collections.Counter({k: n for k, n in plan.items() if n})
+    # all rows, evenly
+    out = stages["sharding"](spark, given, sf[0])
+    assert texts(out) == texts(given)
+    counts = collections.Counter(r.shard for r in out.collect())
+    assert len(counts) == 16 and max(counts.values()) - min(counts.values()) <= 1
+
+
 @pytest.mark.parametrize("name", sorted(registry.all_queries()))
 def test_queries_on_empty_tables(spark, sf, name):
     assert registry.all_queries()[name](spark, sf[1]).count() == 0
