@@ -32,34 +32,34 @@ def _item_shingles(shingle_words: int, percent: int):
         known = WordHashes()
         for batch in batches:
             for item, has, text in zip(batch["id"], batch["has_id"], batch["text"]):
-                s = shingle_set(hashed_words(text, known), shingle_words)
+                words = hashed_words(text, known)
+                s = shingle_set(words, shingle_words)
                 if len(s):
                     # the smallest hashes of a set are its MinHash samples
                     sampled = np.arange(len(s)) < sketch_length(len(s), percent)
                     whole = np.bitwise_xor.reduce(s * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64)
-                    yield pd.DataFrame({"id": item, "has_id": has, "n_item": len(s), "whole": whole,
-                                        "h": s.view(np.int64), "sampled": sampled})
+                    yield pd.DataFrame({"id": item, "has_id": has, "k": min(len(words), shingle_words), "n_item": len(s),
+                                        "whole": whole, "h": s.view(np.int64), "sampled": sampled})
 
     return shingles
 
 
 def item_index(benchmark: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """(item_id, n_item, h, sampled): the shingles of every distinct item set, under its smallest id."""
+    """(whole, item_id, k, n_item, h, sampled): the ``k``-word shingles of every distinct item set, under its smallest id."""
     rows = benchmark.select(*plain_id(F.col("item_id")), "text")
-    found = rows.mapInPandas(_item_shingles(shingle_words, percent), "id long, has_id boolean, n_item long, whole long, h long, sampled boolean")
-    found = found.select(whole_id().alias("item_id"), "n_item", "whole", "h", "sampled").filter("item_id is not null")
-    return found.groupBy("whole", "n_item", "h").agg(F.min("item_id").alias("item_id"), F.max("sampled").alias("sampled")).select(
-        "item_id", "n_item", "h", "sampled")
+    found = rows.mapInPandas(_item_shingles(shingle_words, percent), "id long, has_id boolean, k int, n_item long, whole long, h long, sampled boolean")
+    found = found.select(whole_id().alias("item_id"), "k", "n_item", "whole", "h", "sampled")
+    return found.groupBy("whole", "k", "n_item", "h").agg(F.min("item_id").alias("item_id"), F.max("sampled").alias("sampled"))
 
 
-def _document_hits(shingle_words: int, samples, every):
+def _document_hits(lengths: list[int], samples, every):
     def hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
         for batch in batches:
             found = []
             for doc, has, key, text in zip(batch["id"], batch["has_id"], batch["row_key"], batch["text"]):
                 words = hashed_words(text, known)
-                s = shingle_hashes(words, min(len(words), shingle_words)) if len(words) else words
+                s = np.concatenate([shingle_hashes(words, k) for k in lengths])
                 if in_filter(samples.value, s).any():
                     s = np.unique(s[in_filter(every.value, s)])
                     found.append((doc, has, key, s.view(np.int64)))
@@ -76,27 +76,30 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, shingle_words: int =
 
     An item is held if at least ``percent`` of its distinct ``shingle_words``-word
     shingles (lower-cased) occur in the document; an item of fewer words is one
-    shingle and found only as a whole document.  Items fall into size classes, and a
-    class fixes how many MinHash samples (smallest hashes) an item keeps, so that no
-    document that holds it can lack them all.  A document is looked at if it may
-    have a sample of some item; then its shingles meet those of the items in a join
-    and are counted exactly.  Bitmaps of at most 16 MB go before the join, which is
-    an ordinary one however many items there are.
-
-    Items with equal shingles are one, with the smallest id; items without id or
-    words are left out; null or empty texts hold none.  Rows equal in id and text
-    give one pair.
+    shingle of its own length, and looked up at that length in every document.
+    Items fall into size classes, and a class fixes how many MinHash samples
+    (smallest hashes) an item keeps, so that no document that holds it can lack them
+    all.  A document is looked at if it may have a sample of some item; then its
+    shingles meet those of the items in a join and are counted exactly.  Bitmaps of
+    at most 16 MB go before the join, which is an ordinary one however many items
+    there are.
+
+    Items with equal shingles are one, with the smallest id, which is null if none
+    has one; items without words are left out; null or empty texts hold none.  Rows
+    equal in id and text give one pair.
     """
     index = cut(item_index(benchmark, shingle_words, percent))
     sc = docs.sparkSession.sparkContext
+    lengths = sorted(r.k for r in index.select("k").distinct().collect()) or [shingle_words]  # at most shingle_words rows
     every = sc.broadcast(key_filter(index.select("h"), "h"))
     samples = sc.broadcast(key_filter(index.filter("sampled").select("h"), "h"))
     rows = docs.select(*plain_id(F.col("doc_id")), row_key().alias("row_key"), "text")
-    hits = rows.mapInPandas(_document_hits(shingle_words, samples, every), "id long, has_id boolean, row_key long, h long")
+    hits = rows.mapInPandas(_document_hits(lengths, samples, every), "id long, has_id boolean, row_key long, h long")
     met = hits.select(whole_id(), "row_key", "h").join(index, "h")
     # equal rows give the same hits again
-    met = met.groupBy("doc_id", "row_key", "item_id", "n_item", "h").agg(F.max("sampled").alias("sampled"))
-    shared = met.groupBy("doc_id", "row_key", "item_id", "n_item").agg(F.count("*").alias("n_shared"), F.max("sampled").alias("sampled"))
+    item = ["doc_id", "row_key", "whole", "item_id", "n_item"]
+    met = met.groupBy(*item, "h").agg(F.max("sampled").alias("sampled"))
+    shared = met.groupBy(*item).agg(F.count("*").alias("n_shared"), F.max("sampled").alias("sampled"))
     held = shared.filter(F.col("sampled") & (F.col("n_shared") * 100 >= F.col("n_item") * percent))
     return held.select("doc_id", "row_key", "item_id", "n_item", "n_shared", (F.col("n_shared") / F.col("n_item")).alias("containment"))
 
@@ -116,20 +119,21 @@ def contained_digest(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 #: The same result in DuckDB, by a join on the shingles themselves.
 CONTAINED_SQL = r"""
 WITH low AS (
-  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark
+  SELECT 'd' AS kind, row_number() OVER () AS r, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), item_id, text FROM benchmark
 ), w AS (
-  SELECT kind, id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS ws
+  SELECT kind, r, id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS ws
   FROM low
-), s AS (
-  SELECT kind, id, unnest(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END)) AS sh
-  FROM w
+), lengths AS (SELECT DISTINCT least(len(ws), 5) AS k FROM w WHERE kind = 'b' AND len(ws) > 0),
+s AS (
+  SELECT kind, r, id, k, unnest(list_distinct(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' ')))) AS sh
+  FROM w, lengths WHERE len(ws) >= k AND (kind = 'd' OR k = least(len(ws), 5))
 ), items AS (
-  SELECT min(id) AS id FROM (SELECT id, list(sh ORDER BY sh) AS l FROM s WHERE kind = 'b' GROUP BY id) GROUP BY l
+  SELECT min(id) AS id, min(r) AS r FROM (SELECT r, id, k, list(sh ORDER BY sh) AS l FROM s WHERE kind = 'b' GROUP BY r, id, k) GROUP BY k, l
 ), b AS (
-  SELECT s.id, sh, count(*) OVER (PARTITION BY s.id) AS n_item FROM s JOIN items ON items.id = s.id WHERE kind = 'b'
+  SELECT items.id, s.r, k, sh, count(*) OVER (PARTITION BY s.r) AS n_item FROM s JOIN items ON items.r = s.r WHERE kind = 'b'
 )
 SELECT d.id AS doc_id, b.id AS item_id, b.n_item, count(*) AS n_shared, count(*) / b.n_item AS containment
-FROM s d JOIN b ON d.sh = b.sh AND d.kind = 'd'
-GROUP BY d.id, b.id, b.n_item HAVING 100 * count(*) >= 80 * b.n_item
+FROM s d JOIN b ON d.k = b.k AND d.sh = b.sh AND d.kind = 'd'
+GROUP BY d.r, d.id, b.r, b.id, b.n_item HAVING 100 * count(*) >= 80 * b.n_item
 """
