@@ -19,22 +19,22 @@ GRAMS = (2, 3, 4)
 COUNT_BITS, FILTER_BITS, HASHES = 20, 22, 2
 #: A language contains an n-gram whose share of its n-grams is at least RARE of the highest share, and at least FLOOR.
 RARE, FLOOR = 0.25, 1e-6
-#: Characters that are hashed at once.
+#: Characters that are hashed at once; a piece of a longer text ends with a word.
 CHUNK = 1 << 18
 FOLDS, HELD_OUT = 4, 2
 UNDECIDED = "und"
 
 
 def gram_places(text: str) -> np.ndarray:
-    """Place (0 to 2**COUNT_BITS - 1) of every n-gram of the letters of ``text``, in pieces of CHUNK characters."""
+    """Place (0 to 2**COUNT_BITS - 1) of every n-gram of the letters of ``text``; no n-gram lies in two pieces."""
     out = []
-    for at in range(0, len(text), CHUNK):
-        piece = text[max(0, at - max(GRAMS)) : at + CHUNK].lower()
+    for piece in _pieces(text):
+        piece = piece.lower()
         c = np.frombuffer(f" {piece} ".encode("utf-32-le", "surrogatepass"), np.uint32)
         letter = _letters(c)
         # all that is no letter is a blank, and a run of blanks is one
         c = np.where(letter, c, np.uint32(32))
-        c = c[~((c == 32) & (np.roll(c, 1) == 32))].astype(np.uint64)
+        c = c[np.append(True, (c[1:] != 32) | (c[:-1] != 32))].astype(np.uint64)
         for k in GRAMS:
             n = len(c) - k + 1
             if n <= 0:
@@ -50,6 +50,17 @@ def gram_places(text: str) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
+def _pieces(text: str) -> Iterator[str]:
+    """The text in pieces of about CHUNK characters, cut where no word is."""
+    start = 0
+    while start < len(text):
+        end = start + CHUNK
+        while end < len(text) and text[end].isalpha():
+            end += 1
+        yield text[start:end]
+        start = end
+
+
 def _letters(codes: np.ndarray) -> np.ndarray:
     ascii_ = ((codes | 32) >= 97) & ((codes | 32) <= 122)
     wide = codes >= 128
