@@ -135,26 +135,46 @@ def document_terms(docs: DataFrame) -> DataFrame:
     return docs.select("place", F.explode(F.array_distinct(terms)).alias("term"))
 
 
-def revealing_in_documents(docs: DataFrame, holds: DataFrame) -> DataFrame:
-    """(value, term, disclosure) as in ``revealing_terms``, where to meet is to be in one document, at any distance.
-
-    ``holds`` has the distinct (place, value).  A term in more documents than ``most``
-    cannot reveal the value even if it is in all of the value's, so leaving it out
-    before pairs are made loses none.
+def _documents_of(rows: DataFrame, key: str) -> DataFrame:
+    """(key, n, class): in how many documents each key stands, and one class for all keys that stand in the same ones."""
+    found = rows.groupBy(key).agg(F.count("*").alias("n"), *[F.expr(f"bit_xor(xxhash64({k}, place))").alias(f"h{k}") for k in (1, 2)])
+    return found.filter(F.col("n") >= SUPPORT).select(key, "n", F.struct("n", "h1", "h2").alias("class"))
+
+
+def revealing_classes(docs: DataFrame, holds: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Which terms reveal which values if to meet is to be in one document, at any distance, by classes.
+
+    Gives (place, v_class) of the values, (v_class, t_class, disclosure) and (term,
+    t_class).  ``holds`` has the distinct (place, value).  All counts of a value and a
+    term depend on the documents they stand in alone, so values of the same documents
+    are one class, and so are terms: a document full of values and terms of its own,
+    copied or not, makes few pairs.  A term in more documents than ``most`` cannot
+    reveal the value even if it is in all of the value's, so leaving it out before
+    pairs are made loses none.
     """
     total = F.broadcast(docs.agg(F.count("*").alias("total")))
-    often = holds.groupBy("value").agg(F.count("*").alias("n_value")).filter(F.col("n_value") >= SUPPORT).join(total)
-    often = often.withColumn("most", F.col("n_value") * F.pow(F.col("total") / F.col("n_value"), F.lit(1 - GENERALISE)) + F.lit(0.5))
-    most = often.agg(F.max("most").alias("limit"))
-    counts = document_terms(docs).groupBy("term").agg(F.count("*").alias("n")).filter(F.col("n") >= SUPPORT)
-    counts = counts.join(F.broadcast(most), F.col("n") <= F.col("limit")).drop("limit")
-    held = holds.join(often, "value")
-    met = document_terms(docs.filter(may_hold(F.col("text")))).join(held.select("place").distinct(), "place", "left_semi").join(counts, "term")
-    met = met.join(held, "place").filter("n <= most")
-    c = met.groupBy("value", "term", "n", "n_value", "total").agg(F.count("*").alias("both")).filter(F.col("both") >= SUPPORT)
+    values = _documents_of(holds, "value").withColumnsRenamed({"class": "v_class", "n": "n_value"}).join(total)
+    values = values.withColumn("most", F.col("n_value") * F.pow(F.col("total") / F.col("n_value"), F.lit(1 - GENERALISE)) + F.lit(0.5))
+    most = values.agg(F.max("most").alias("limit"))
+    terms = _documents_of(document_terms(docs), "term").withColumnRenamed("class", "t_class")
+    terms = terms.join(F.broadcast(most), F.col("n") <= F.col("limit")).drop("limit")
+    held = holds.join(values, "value").select("place", "v_class", "n_value", "total", "most").distinct()
+    met = document_terms(docs.filter(may_hold(F.col("text")))).join(held.select("place").distinct(), "place", "left_semi").join(terms, "term")
+    met = met.select("place", "t_class", "n").distinct().join(held, "place").filter("n <= most")
+    c = met.groupBy("v_class", "t_class", "n", "n_value", "total").agg(F.count("*").alias("both")).filter(F.col("both") >= SUPPORT)
     own = F.log2(F.col("total") / F.col("n_value"))
     c = c.withColumn("disclosure", F.when(own > 0, (F.log2(F.col("both") / F.col("n")) + own) / own).otherwise(F.lit(0.0)))
-    return c.filter(F.col("disclosure") >= GENERALISE).select("value", "term", "disclosure")
+    return held.select("place", "v_class"), c.filter(F.col("disclosure") >= GENERALISE).select("v_class", "t_class", "disclosure"), terms.select("term", "t_class")
+
+
+def revealed_by_documents(docs: DataFrame, holds: DataFrame) -> DataFrame:
+    """(place, term, disclosure): terms that reveal, by ``revealing_classes``, a value of the place's document."""
+    held, revealing, terms = revealing_classes(docs, holds)
+    revealing = cut(revealing)
+    classes = held.join(revealing, "v_class").groupBy("place", "t_class").agg(F.max("disclosure").alias("disclosure"))
+    wanted = terms.join(revealing.select("t_class").distinct(), "t_class", "left_semi")
+    mine = document_terms(docs.filter(may_hold(F.col("text"))).join(classes.select("place").distinct(), "place", "left_semi"))
+    return mine.join(wanted, "term").join(classes, ["place", "t_class"]).select("place", "term", "disclosure")
 
 
 def occurrences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -171,6 +191,22 @@ def occurrences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.join(wanted, ["place", "term"]).select("place", "start", "end", "disclosure")
 
 
+def _outside(found: DataFrame, spans: DataFrame) -> DataFrame:
+    """Rows of ``found`` (place, start, end, disclosure) that overlap no span of their place.
+
+    Both lie side by side in order of start, so each row looks at the furthest end
+    before it and the next start after it only.
+    """
+    both = found.select("place", "start", "end", "disclosure").union(
+        spans.select("place", F.col("start").cast("long"), F.col("end").cast("long"), F.lit(None).cast("double")))
+    span = F.col("disclosure").isNull()
+    forth = Window.partitionBy("place").orderBy("start", F.asc_nulls_first("disclosure")).rowsBetween(Window.unboundedPreceding, -1)
+    back = Window.partitionBy("place").orderBy(F.desc("start"), F.desc_nulls_last("disclosure")).rowsBetween(Window.unboundedPreceding, -1)
+    both = both.withColumns({"ended": F.max(F.when(span, F.col("end"))).over(forth), "begins": F.min(F.when(span, F.col("start"))).over(back)})
+    free = (F.coalesce("ended", F.lit(0)) <= F.col("start")) & (F.coalesce("begins", F.col("end")) >= F.col("end"))
+    return both.filter(~span & free).select("place", "start", "end", "disclosure")
+
+
 def sensitive_spans(docs: DataFrame) -> DataFrame:
     """All spans: place, kind_no, start, end (code points, end exclusive), remove.
 
@@ -178,18 +214,18 @@ def sensitive_spans(docs: DataFrame) -> DataFrame:
     occurrence of a term that reveals a value of the same document is added (kind
     ``term``), however far from the value.  What a term reveals is estimated over the
     whole corpus in two ways, and the larger counts: by mentions, with the terms of
-    their context, and by documents, with all their terms.
+    their context, and by documents, with all their terms.  Rows are told apart by
+    place, so repeated rows and ids count each; a text of any length costs in
+    proportion to it.
     """
     spans = cut(base_spans(docs))
     beside = cut(context_terms(spans))
     holds = cut(spans.select("place", "value").distinct())
-    revealed = revealing_terms(beside, term_counts(docs), spans).union(revealing_in_documents(docs, holds))
-    revealed = cut(revealed.groupBy("value", "term").agg(F.max("disclosure").alias("disclosure")))
+    revealed = cut(revealing_terms(beside, term_counts(docs), spans))
     near = beside.join(revealed, ["value", "term"]).select("place", "start", "end", "disclosure")
-    wanted = cut(holds.join(revealed, "value").groupBy("place", "term").agg(F.max("disclosure").alias("disclosure")))
-    s = spans.select(F.col("place").alias("s_place"), F.col("start").alias("s_start"), F.col("end").alias("s_end"))
-    inside = (F.col("place") == F.col("s_place")) & (F.col("start") < F.col("s_end")) & (F.col("s_start") < F.col("end"))
-    every = occurrences(docs, wanted).join(s, inside, "left_anti")
+    wanted = holds.join(revealed, "value").select("place", "term", "disclosure").union(revealed_by_documents(docs, holds))
+    wanted = cut(wanted.groupBy("place", "term").agg(F.max("disclosure").alias("disclosure")))
+    every = _outside(occurrences(docs, wanted), spans)
     added = near.union(every).groupBy("place", "start", "end").agg(F.max("disclosure").alias("disclosure"))
     added = added.select("place", F.lit(4).alias("kind_no"), "start", "end", (F.col("disclosure") >= REMOVE).alias("remove"))
     return spans.select("place", "kind_no", "start", "end", F.lit(False).alias("remove")).union(added)
