@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -173,6 +174,68 @@ def test_quality_learns_and_scores_all_rows(spark, docs, none):
     assert quality.good_documents(docs, labels).columns == docs.columns
 
 
+M = (1 << 64) - 1
+
+
+def plain_mix(x):
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = (x ^ (x >> 33)) * factor & M
+    return x ^ (x >> 33)
+
+
+def plain_features(text):
+    """Feature place -> weight, a word at a time."""
+    ws = (text or "").encode().split()
+    if not ws:
+        return {}
+    kind = lambda c: "A" if 65 <= c <= 90 else "a" if 97 <= c <= 122 or c >= 128 else "0" if 48 <= c <= 57 else chr(c)
+    shapes = [xxhash.xxh3_64_intdigest(("\0" + "".join(map(kind, w[:1])) + "".join(map(kind, w[-3:]))).encode("latin-1")) for w in ws]
+    words_ = [xxhash.xxh3_64_intdigest(w) for w in ws]
+
+    def two(a, b):
+        x = (a * 0x9E3779B97F4A7C15 + (b ^ (b >> 32)) * 0xD6E8FEB86659FD93) & M
+        return plain_mix(x ^ (x >> 29))
+
+    grams = [plain_mix(h) for h in words_] + [two(a, b) for hs in (words_, shapes) for a, b in zip(hs, hs[1:])] + shapes
+    counts = collections.Counter(g >> (64 - quality.BITS) for g in grams)
+    length = math.sqrt(sum(math.log1p(n) ** 2 for n in counts.values()))
+    return {p: math.log1p(n) / length for p, n in counts.items()}
+
+
+def test_quality_scores_against_a_plain_learner(spark):
+    rng = random.Random(6)
+    rows = [(i, sentence(rng, rng.randint(1, 30)) + rng.choice(["", " A1!", "\n\t", " é"])) for i in range(120)] + [(200, None), (201, ""), (202, "one")]
+    both = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = {i: int(len(t or "") % 3 > 0) for i, t in rows}
+    labels = spark.createDataFrame([(i, q, 0) for i, q in marks.items()], LABELS)
+    order = {r.doc_id: r.o for r in both.select("doc_id", F.xxhash64(F.lit(3), "doc_id", "text").alias("o")).collect()}
+    taught = sorted((i for i, _ in rows if zlib.crc32(str(i).encode()) % 5), key=order.get)
+    good = sum(marks[i] for i in taught)
+    texts, z, n = dict(rows), collections.Counter(), collections.Counter()
+
+    def weight(p):
+        if abs(z[p]) <= quality.L1:
+            return 0.0
+        return -(z[p] - math.copysign(quality.L1, z[p])) / ((quality.BETA + math.sqrt(n[p])) / quality.ALPHA + quality.L2)
+
+    for _ in range(quality.PASSES):
+        for i in taught:
+            if texts[i] is None:
+                continue
+            x = {**{p: float(np.float32(v)) for p, v in plain_features(texts[i]).items()}, "bias": 1.0}
+            w = {p: weight(p) for p in x}
+            of_label = len(taught) / (2 * (good if marks[i] else len(taught) - good))
+            wrong = of_label * (1 / (1 + math.exp(-sum(w[p] * v for p, v in x.items()))) - marks[i])
+            for p, v in x.items():
+                g = wrong * v
+                z[p] += g - (math.sqrt(n[p] + g * g) - math.sqrt(n[p])) / quality.ALPHA * w[p]
+                n[p] += g * g
+    for r in quality.quality_digest(both, labels).collect():
+        t = weight("bias") + sum(weight(p) * v for p, v in plain_features(texts[r.doc_id]).items())
+        assert r.score == pytest.approx(1 / (1 + math.exp(-t)), abs=1e-6)
+        assert r.predicted == int(r.score >= 0.3)
+
+
 def test_ftrl_separates_two_features():
     model = quality.Ftrl(4)
     for i in range(200):
@@ -184,19 +247,22 @@ def test_ftrl_separates_two_features():
 def test_contained_items_equal_brute_force(spark, docs):
     texts = [r.text for r in docs.collect() if r.text and len(words(r.text)) > 12]
     items = [(i, " ".join(t.split()[2:14])) for i, t in enumerate(texts[:12])]
-    items += [(50, items[0][1].upper()), (51, None), (52, ""), (53, "one two"), (None, texts[0]), (54, " ".join(texts[0].split()[:30]) + " q r s")]
+    items += [(50, items[0][1].upper()), (51, None), (52, ""), (53, " ".join(texts[0].split()[4:7])), (55, "one two"), (None, texts[0]), (54, " ".join(texts[0].split()[:30]) + " q r s")]
     got = decontaminate.contained_digest(docs, spark.createDataFrame(items, BENCH)).collect()
     want, seen = set(), {}
-    for i, t in sorted((i, t) for i, t in items if i is not None):
-        s = frozenset(shingles(t, 5))
-        if s and s not in seen:
-            seen[s] = i
+    for i, t in sorted(items, key=lambda x: (x[0] is None, x[0] or 0)):
+        k = min(len(words(t)), 5)
+        item = (k, frozenset(shingles(t, 5)))
+        if k and item not in seen:
+            seen[item] = i
     for r in docs.collect():
-        for s, i in seen.items():
-            n = len(s & shingles(r.text, 5))
+        ws = words(r.text, True)
+        for (k, s), i in seen.items():
+            n = len(s & {tuple(ws[j : j + k]) for j in range(len(ws) - k + 1)})
             if n and 100 * n >= 80 * len(s):
                 want.add((r.doc_id, i, len(s), n))
     assert want and {(r.doc_id, r.item_id, r.n_item, r.n_shared) for r in got} == want
+    assert any(i == 53 for _, i, *_ in want) and any(i is None for _, i, *_ in want)
     clean = decontaminate.clean_documents(docs, spark.createDataFrame(items, BENCH))
     assert clean.columns == docs.columns
     assert decontaminate.clean_documents(docs, spark.createDataFrame([], BENCH)).count() == docs.count()
@@ -256,6 +322,45 @@ def test_language_on_held_out_texts(spark, docs, none):
     assert len(language.language_digest(docs).collect()) == docs.count() and language.language_digest(none).count() == 0
 
 
+def plain_grams(text):
+    out = collections.Counter()
+    for word in "".join(c if c.isalpha() else " " for c in text.lower()).split():
+        w = f" {word} "
+        out.update(w[i : i + k] for k in language.GRAMS for i in range(len(w) - k + 1))
+    return out
+
+
+def test_language_against_plain_gram_sets(spark):
+    rng = random.Random(12)
+    kinds = {"x": "abcdefgh", "y": "efghijkl", "z": "aeiouäß"}
+    rows = [(i, " ".join("".join(rng.choice(kinds[k]) for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 25))) + rng.choice(["", " 12,", "-É"]), k)
+            for i, k in enumerate(rng.choices(list(kinds), k=150))]
+    got = {r.doc_id: r for r in language.language_digest(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    counts = collections.defaultdict(collections.Counter)
+    for i, t, k in rows:
+        if zlib.crc32(str(i).encode()) % 4 != 2:
+            counts[k] += plain_grams(t)
+    share = {k: {g: n / sum(c.values()) for g, n in c.items()} for k, c in counts.items()}
+    top = {g: max(s.get(g, 0) for s in share.values()) for s in share.values() for g in s}
+    held = {k: {g for g, v in s.items() if v >= top[g] * language.RARE and v >= language.FLOOR} for k, s in share.items()}
+    sure = 0
+    for i, t, _ in rows:
+        hits = sorted(((sum(n for g, n in plain_grams(t).items() if g in held[k]), k) for k in held), key=lambda h: (-h[0], h[1]))
+        assert got[i].score == pytest.approx(hits[0][0] / (hits[0][0] + hits[1][0]), abs=0.02)
+        if hits[0][0] > hits[1][0] + 1:
+            sure += 1
+            assert got[i].lang_pred == hits[0][1]
+    assert sure > 100
+
+
+def test_grams_of_long_texts_are_counted_once(monkeypatch):
+    rng = random.Random(13)
+    text = " ".join("".join(rng.choice("abcéß") for _ in range(rng.randint(1, 9))) for _ in range(400)) + " " + "x" * 300
+    whole = sorted(language.gram_places(text))
+    monkeypatch.setattr(language, "CHUNK", 50)
+    assert sorted(language.gram_places(text)) == whole and len(whole) == sum(plain_grams(text).values())
+
+
 def test_language_filters_lose_no_ngram():
     place = np.arange(0, 1 << language.COUNT_BITS, 97)
     f = language.Filters.build(["a", "b"], np.repeat([0, 1], [len(place), 0]), place)
@@ -422,6 +527,36 @@ def test_revealing_terms_are_masked_in_the_whole_document(spark, tmp_path):
     assert found == ["Zorblatt", "zorblatt"] and all(spans[i] == "" for i in spans if i >= 10)
 
 
+def plain_outside(found, spans):
+    return sorted(f for f in found if not any(s[0] == f[0] and f[1] < s[2] and s[1] < f[2] for s in spans))
+
+
+def test_terms_inside_base_spans_are_left_to_them(spark):
+    rng = random.Random(14)
+    mark = lambda n: [(rng.randint(0, 5), a, a + rng.randint(1, 9)) for a in (rng.randint(0, 80) for _ in range(n))]
+    found, spans = sorted(set(mark(150))), sorted(set(mark(25)))
+    out = sanitise._outside(spark.createDataFrame([(*f, 0.9) for f in found], "place long, start long, end long, disclosure double"),
+                            spark.createDataFrame(spans, "place long, start long, end long"))
+    assert sorted((r.place, r.start, r.end) for r in out.collect()) == plain_outside(found, spans)
+
+
+def test_values_and_terms_of_the_same_documents_make_one_pair(spark, tmp_path):
+    full = " ".join(f"word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i // 100]} name{i}@mail{i}.org" for i in range(300))
+    rows = [(i, full) for i in range(4)] + [(9, full)] * 2 + [(10 + i, f"nothing to see in text {i} at all") for i in range(300)]
+    spark.createDataFrame([(*r, 1, "s", True) for r in rows], "doc_id long, text string, place int, all string, safe boolean").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    docs = sanitise._placed(df)
+    spans = sanitise.base_spans(docs)
+    held, revealing, _ = sanitise.revealing_classes(docs, spans.select("place", "value").distinct())
+    assert held.count() == 6 and revealing.count() == 1
+    got = sanitise.sanitise_digest(df).collect()
+    assert len(got) == len(rows) and {r.n_email for r in got if r.doc_id < 10} == {300}
+    assert all(r.spans.count("term:") >= 300 for r in got if r.doc_id < 10) and not any(r.spans for r in got if r.doc_id >= 10)
+    safe = sanitise.sanitised(df)
+    assert safe.columns == df.columns and safe.count() == len(rows)
+    assert not any("worda" in r.text or "@" in r.text for r in safe.filter("doc_id < 10").collect())
+
+
 def test_mix_meets_targets(docs):
     got = mixing.mix_digest(docs).collect()
     assert len(got) == docs.count()
