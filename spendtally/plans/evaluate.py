@@ -98,14 +98,14 @@ _RULE_NOS = [i for i, r in enumerate(RULES, 1) if not r.startswith("alias")]
 
 
 def _with_rule_no(offered: DataFrame) -> DataFrame:
-    """Add the first rule by which an offered pair fits, else null."""
+    """Add the first rule by which the pair (``asked``, ``offered``) fits, else null."""
     keys = {}
-    for side, col in (("a", F.col("input_name")), ("c", F.col("candidate"))):
+    for side, col in (("a", F.col("asked")), ("c", F.col("offered"))):
         keys |= {f"{side}_normalised": t.name_key(col), f"{side}_brackets": t.bracket_key(col),
                  f"{side}_suffix": t.suffix_key(col)}
     # each key is a column of its own, so that it is computed once per row
     words = {"a_words": F.array_distinct(F.split("a_suffix", " ")), "c_words": F.array_distinct(F.split("c_suffix", " ")),
-             "a_acronym": t.acronym_input("input_name"), "c_acronyms": t.acronym_keys("candidate")}
+             "a_acronym": t.acronym_input("asked"), "c_acronyms": t.acronym_keys("offered")}
     filled = (F.length("a_suffix") > 0) & (F.length("c_suffix") > 0)
     tests = {r: F.col(f"a_{r}") == F.col(f"c_{r}") for r in ("normalised", "brackets", "suffix")}
     tests["acronym"] = F.coalesce(F.array_contains("c_acronyms", F.col("a_acronym")), F.lit(False))
@@ -118,18 +118,21 @@ def _with_rule_no(offered: DataFrame) -> DataFrame:
         *offered.columns, "rule_no")
 
 
-def best_offers(offered: DataFrame, ids: Sequence[str], least_ratio: float | Column) -> DataFrame:
+def best_offers(offered: DataFrame, ids: Sequence[str], least_ratio: float | Column, rules: bool | Column = True) -> DataFrame:
     """What each scorer chooses from an offer: (ids, ``levenshtein``, ``ratio``, ``rule``).
 
     The first two are the best match with its score; ratios below ``least_ratio`` may
-    be left out.  ``rule`` is the match of the first rule that fits one candidate only.
+    be left out.  ``rule`` is the match of the first rule that fits one candidate only;
+    without ``rules`` there is none.
     """
     a, c = folded("input_name"), F.lower("candidate")
     distance = F.levenshtein(a, c)
     longest = F.greatest(F.length(a), F.length(c))
     # M matched characters are a common subsequence, so the distance is at most la + lb - 2M = (1 - ratio) * (la + lb)
     most = (F.length(a) + F.length(c)) * (F.lit(1.0) - least_ratio) + F.lit(1e-6)
-    scored = _with_rule_no(offered.select(*ids, "input_name", "candidate", "cand_ord")).withColumns({
+    # a name that no run asks the rules for is null there, and costs nothing
+    asked = {k: F.when(rules if isinstance(rules, Column) else F.lit(rules), F.col(c)) for k, c in (("asked", "input_name"), ("offered", "candidate"))}
+    scored = _with_rule_no(offered.select(*ids, "input_name", "candidate", "cand_ord").withColumns(asked)).withColumns({
         "a": a, "c": c, "edits": F.when(longest > 0, 1.0 - distance / longest).otherwise(0.0), "near": distance <= most})
     # far pairs go to Python as nulls and come back as such
     scored = scored.withColumn("blocks", matching_blocks_ratio(F.when(F.col("near"), F.col("a")), F.when(F.col("near"), F.col("c"))))
@@ -168,7 +171,8 @@ def predictions(rows: DataFrame, configs: Configs) -> DataFrame:
     """
     runs = config_table(rows.sparkSession, configs)
     least = runs.agg(F.coalesce(F.min(F.when(F.col("scorer") != "levenshtein", F.col("similarity_threshold"))), F.lit(2.0))).scalar()
-    best = best_offers(offers(rows, runs), ["row_id", *DRAW], least)
+    ruled = runs.agg(F.max(F.col("scorer") == "cascade")).scalar()
+    best = best_offers(offers(rows, runs), ["row_id", *DRAW], least, ruled)
     asked = _run_rows(rows, runs, "run_name", "scorer", "similarity_threshold", *DRAW)
     reached = lambda scorer: F.when(F.col(scorer)["score"] >= F.col("similarity_threshold"), F.col(scorer)["match"])
     match = (
