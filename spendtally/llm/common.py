@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
 import xxhash
@@ -122,8 +121,3 @@ def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
     if 0 < len(words) < k:
         return shingle_hashes(words, len(words))
     return np.unique(shingle_hashes(words, k))
-
-
-def chunks(values: list, size: int) -> Iterator[list]:
-    for i in range(0, len(values), size):
-        yield values[i : i + size]
