@@ -84,3 +84,24 @@ def test_orders_of_any_type_give_the_same_lines(spark):
     cols = [x for x in ll.line_level(c, m, "2023-05-20").columns]
     assert rows(ll.line_level(c, m, "2023-05-20")) == rows(
         ll.line_level(as_text(c, "contract_ord"), as_text(m, "mi_ord"), "2023-05-20").select(cols))
+
+
+def test_only_rows_at_the_latest_start_are_written(spark, monkeypatch):
+    c, m = tables(spark, 4)
+    c = c.withColumn("contract_ord", c.contract_ord * 10 + F.coalesce("contract_supplier_key", F.lit(9))).cache()
+    joined = rc.reconcile_exact(c, m)
+    written = []
+    keep = ll.shared_checkpoint
+    monkeypatch.setattr(ll, "shared_checkpoint", lambda df: written.append(keep(df)) or written[-1])
+    ll.line_level_from_combined(joined, "2023-05-20").collect()
+    ll.line_level(c, m, "2023-05-20").collect()
+    # the spend rows are reduced, not written
+    assert len(written) == 2
+    for df in written:
+        assert df.groupBy(*ll.PAIR).agg(F.count_distinct("contract_start").alias("n")).where("n > 1").count() == 0
+
+
+def test_joined_table_reads_each_side_once(spark):
+    c, m = tables(spark, 5)
+    plan = rc.reconcile_exact(c, m)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and "Union false, false\n:- Project" not in plan

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spendtally import schemas
 from spendtally.operators.joins import attach_supplier_key, explode_join, with_default
-from spendtally.operators.skew import hottest, key_sizes, salted_inner_join
+from spendtally.operators.skew import hottest, key_sizes, salted_inner_join, salted_left_join
 from spendtally.plans import reconcile as rc
 from spendtally.sources import database as db
 from spendtally.sources import tables as tb
@@ -135,6 +135,17 @@ def test_salted_join_equals_plain_join(spark):
     assert hottest(key_sizes(many, "k"), "k", 3, 4).count() == 2000
 
 
+def test_salted_left_join_equals_plain_join(spark):
+    names = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 != 0, F.concat(F.lit("k"), (F.col("id") % 50).cast("string")))
+    a, b = spark.range(600).select(names.alias("k"), F.col("id").alias("x")), spark.range(90).select(names.alias("k"), F.col("id").alias("y"))
+    b = b.where("k <> 'k5'")
+    want = a.join(b, "k", "left")
+    assert want.where("y is null").count() > 0
+    for rows in (1, 25, 10**6):
+        got = salted_left_join(a, b, "k", "x", "y", min_rows=rows, salts=4)
+        assert got.count() == want.count() and got.exceptAll(want.select(got.columns)).count() == 0
+
+
 def test_checkpoint_keeps_rows(spark):
     df = tb.shared_checkpoint(spark.range(10))
     assert df.count() == 10
