@@ -394,6 +394,26 @@ def test_language_model_base_and_sum_to_one(spark, docs):
         assert sum(every) + unknown == pytest.approx(1.0, abs=1e-6)
 
 
+def test_language_model_keeps_the_same_runs_of_a_corpus_taken_twice(spark):
+    rng = random.Random(8)
+    df = spark.createDataFrame([(i, sentence(rng, 30)) for i in range(40)], "doc_id long, text string")
+    once, twice = suffix_tree.train(df)[0], suffix_tree.train(df.union(df))[0]
+    assert twice.total == 2 * once.total and len(once.pairs)
+    assert np.array_equal(once.words, twice.words) and np.array_equal(once.pairs, twice.pairs) and np.array_equal(once.triples, twice.triples)
+
+
+def test_language_model_scores_texts_together_as_alone(spark):
+    rng = random.Random(9)
+    df = spark.createDataFrame([(i, sentence(rng, 8) * 3) for i in range(60)], "doc_id long, text string")
+    tree, _ = suffix_tree.train(df)
+    texts = [np.array([rng.randrange(-2, len(tree.words)) for _ in range(n)]) for n in (1, 2, 3, 1, 40, 2)]
+    texts += [np.array([tree.pairs[i] >> 32, tree.pairs[i] & 0xFFFFFFFF, rng.randrange(len(tree.words))]) for i in range(20)]
+    sizes = [len(t) for t in texts]
+    base, model = tree.log10_each(np.concatenate(texts), np.cumsum(sizes) - sizes)
+    assert np.allclose(np.stack([base, model], 1), [tree.log10(t) for t in texts], rtol=1e-12)
+    assert np.abs(base - model).max() > 0
+
+
 def test_e8_decoder_finds_the_nearest_point():
     near = lattice.roots()
     assert len({tuple(r) for r in near}) == 240 and np.allclose((near**2).sum(axis=1), 2)
