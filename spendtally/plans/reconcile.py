@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import nullable_key, pair_id
 from ..operators.joins import attach_supplier_key, member_rows
 from ..operators.matchers import Matcher
-from ..operators.skew import salted_left_join
+from ..operators.skew import salted_inner_join, salted_left_join
 from ..sources.tables import shared_checkpoint
 
 # Stands for a null PairID inside joins: null meets null, and no real PairID lacks a "+".
@@ -46,6 +46,16 @@ def pair_names(mi: DataFrame) -> DataFrame:
     return mi.groupBy("PairID", "mi_supplier_key", "CustomerName").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def reduced_contracts(contracts: DataFrame) -> DataFrame:
+    """``contract_index``, written once for all who read it; a table reduced already is taken as it is."""
+    return contracts if "n_rows" in contracts.columns else shared_checkpoint(contract_index(contracts))
+
+
+def reduced_mi(mi: DataFrame) -> DataFrame:
+    """``pair_names``, written once for all who read it; a table reduced already is taken as it is."""
+    return mi if "n_rows" in mi.columns else shared_checkpoint(pair_names(mi))
+
+
 def _on_pair(df: DataFrame) -> DataFrame:
     return df.withColumn("_pair", F.coalesce("PairID", F.lit(_NULL_PAIR)))
 
@@ -128,9 +138,10 @@ def unknown_rows(mi: DataFrame, contracts: DataFrame) -> DataFrame:
 def name_map(mi: DataFrame, contracts: DataFrame, matcher: Matcher) -> DataFrame:
     """``(CustomerName, AIMatchedName)`` for the unknown names that found a buyer.
 
-    Takes the keyed tables or their reduced forms.
+    Takes the keyed tables, each of which is read once, or their reduced forms.
     """
-    hits = matcher(unknown_names(mi, contracts), buyer_candidates(contracts))
+    names, index = reduced_mi(mi), reduced_contracts(contracts)
+    hits = matcher(unknown_names(names, index), buyer_candidates(index))
     return hits.select(F.col("name").alias("CustomerName"), F.col("match").alias("AIMatchedName"))
 
 
@@ -159,51 +170,81 @@ def reconcile_two_pass(
     min_rows: int = 1_000_000,
     salts: int = 32,
     mapping: DataFrame | None = None,
+    names: DataFrame | None = None,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Pass 1 and pass 2 stacked, marked by ``match_pass``.
 
     Needs a matcher, or a name map made earlier.  The pass-2 block lists every
     contract again when any unknown row exists, null names included, and is absent otherwise.
+    ``names`` and ``index`` are the reduced forms of both sides, if there are any already.
     """
     if mapping is None and matcher is None:
         raise ValueError("give a matcher or a mapping")
-    index, names = shared_checkpoint(contract_index(contracts)), shared_checkpoint(pair_names(mi))
+    index = reduced_contracts(contracts) if index is None else index
+    names = reduced_mi(mi) if names is None else names
     if mapping is None:
         mapping = shared_checkpoint(name_map(names, index, matcher))
     pairs = shared_checkpoint(second_pairs(names, index, mapping))
-    first = _left_join_pairs(contracts, mi, index, names, min_rows, salts).withColumn("match_pass", F.lit(1))
-    # spend rows meet the reduced table once; whether a row is unmatched is known there already
-    moved = (
-        mi.withColumnRenamed("PairID", "OldPairID")
-        .join(pairs.select("OldPairID", "CustomerName", "AIMatchedName", "PairID"), ["OldPairID", "CustomerName"])
-        .drop("OldPairID")
-    )
-    second = (
-        _left_join_pairs(contracts, moved, index, pairs, min_rows, salts)
-        .where(unknown_rows(names, index).exists()).withColumn("match_pass", F.lit(2))
-    )
-    return first.unionByName(second, allowMissingColumns=True)
+    # contracts are shuffled once, for both passes: a pair without spend rows in a pass has one empty row there
+    passes = [(names, F.lit(True)), (pairs, unknown_rows(names, index).exists())]
+    gaps = None
+    for i, (present, there) in enumerate(passes, 1):
+        gap = _on_pair(index).select("_pair").distinct().join(_on_pair(present).select("_pair"), "_pair", "left_anti")
+        gap = gap.where(there).withColumn("match_pass", F.lit(i))
+        gaps = gap if gaps is None else gaps.unionByName(gap)
+    own = _on_pair(mi).drop("PairID").withColumns({"match_pass": F.lit(1), "AIMatchedName": F.lit(None).cast("string")})
+    columns = [F.col(f"`{x}`") for x in own.columns if x != "_pair"]
+    rows = own.unionByName(_moved_rows(mi, pairs, mapping)).unionByName(gaps, allowMissingColumns=True)
+    sizes = _pair_sizes(names).unionByName(_pair_sizes(pairs)).groupBy("_pair").agg(F.sum("n").alias("n"))
+    joined = salted_inner_join(
+        _on_pair(contracts), rows, "_pair", "contract_ord", "mi_ord", min_rows, salts, left_sizes=_pair_sizes(index), right_sizes=sizes)
+    return joined.select(*[F.col(f"`{x}`") for x in contracts.columns], *columns)
+
+
+# A name map of up to so many rows is sent to every task.
+MAP_ROWS = 100_000
+
+
+def _moved_rows(mi: DataFrame, pairs: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Spend rows of the second pass with their new ``_pair``.
+
+    They meet the reduced table once; whether a row is unmatched is known there already.
+    Rows whose name is not in a small map drop out before the shuffle.
+    """
+    old = mi.withColumnRenamed("PairID", "OldPairID")
+    asked = mapping.select("CustomerName").distinct()
+    if asked.limit(MAP_ROWS + 1).count() <= MAP_ROWS:
+        old = old.join(F.broadcast(asked), "CustomerName", "left_semi")
+    moved = old.join(pairs.select("OldPairID", "CustomerName", "AIMatchedName", "PairID"), ["OldPairID", "CustomerName"])
+    return _on_pair(moved).drop("OldPairID", "PairID").withColumn("match_pass", F.lit(2))
 
 
 def residual_mi(
-    contracts: DataFrame, mi: DataFrame, mapping: DataFrame | None = None, residual: str = "reference"
+    contracts: DataFrame, mi: DataFrame, mapping: DataFrame | None = None, residual: str = "reference",
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """Spend rows left without a contract.
 
     ``"reference"``: rows whose own PairID has no contract, name-matched ones
     included; nothing at all when no unknown row exists.  ``"strict"``: rows
-    matched in neither pass.
+    matched in neither pass.  What is left is found on the reduced tables, so spend
+    rows go through one join.  ``contracts`` may be the index; ``names`` are the reduced
+    spend rows, if there are any already.
     """
     if residual not in ("reference", "strict"):
         raise ValueError("residual must be 'reference' or 'strict'")
-    left = unmatched_mi(mi, contracts)
+    index = reduced_contracts(contracts)
     if residual == "reference":
-        return left.where(unknown_rows(mi, contracts).exists())
+        return unmatched_mi(mi, index).where(unknown_rows(reduced_mi(mi) if names is None else names, index).exists())
     if mapping is None:
-        return left
-    found = matched_mi(second_pairs(pair_names(mi), contracts, mapping), contracts)
+        return unmatched_mi(mi, index)
+    names = reduced_mi(mi) if names is None else names
+    found = matched_mi(second_pairs(names, index, mapping), index)
     gone = found.select(F.col("OldPairID").alias("PairID"), "CustomerName")
-    return left.join(gone, ["PairID", "CustomerName"], "left_anti")
+    left = unmatched_mi(names, index).join(gone, ["PairID", "CustomerName"], "left_anti")
+    left = left.select(F.col("PairID").alias("_p"), F.col("CustomerName").alias("_n")).distinct()
+    return mi.join(left, F.col("PairID").eqNullSafe(F.col("_p")) & F.col("CustomerName").eqNullSafe(F.col("_n")), "left_semi")
 
 
 def reconcile(
@@ -222,9 +263,10 @@ def reconcile(
     from its lineage.
     """
     c, m = key_contracts(contracts, regkeys, null_keys), key_mi(mi)
-    mapping = shared_checkpoint(name_map(pair_names(m), contract_index(c), matcher))
-    combined = reconcile_two_pass(c, m, mapping=mapping, min_rows=min_rows, salts=salts)
-    return combined, residual_mi(c, m, mapping, residual)
+    names, index = reduced_mi(m), reduced_contracts(c)
+    mapping = shared_checkpoint(name_map(names, index, matcher))
+    combined = reconcile_two_pass(c, m, mapping=mapping, min_rows=min_rows, salts=salts, names=names, index=index)
+    return combined, residual_mi(index, m, mapping, residual, names)
 
 
 def spend_by_name(mi: DataFrame) -> DataFrame:
@@ -262,6 +304,7 @@ def spend_by_pair(names: DataFrame, key: str = "PairID") -> DataFrame:
 
 __all__ = [
     "apply_name_map", "buyer_candidates", "contract_index", "key_contracts", "key_mi", "matched_mi",
-    "name_map", "pair_names", "reconcile", "reconcile_exact", "reconcile_two_pass", "residual_mi", "second_pairs",
+    "name_map", "pair_names", "reconcile", "reconcile_exact", "reconcile_two_pass", "reduced_contracts", "reduced_mi",
+    "residual_mi", "second_pairs",
     "spend_by_group", "spend_by_name", "spend_by_pair", "split_unmatched", "unknown_names", "unknown_rows", "unmatched_mi",
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.status import amber_flag, has_spend, red_flag
 from ..operators.aggregates import count_unique, unpivot_metrics
 from ..schemas import SUMMARY_LABELS
-from .reconcile import residual_mi, unmatched_mi
+from .reconcile import reduced_contracts, residual_mi, unmatched_mi
 
 
 def unmatched_profile(
@@ -17,15 +17,16 @@ def unmatched_profile(
     """Unmatched rows counted per (supplier name, customer name), with ``known_buyer``.
 
     Counting comes before the joins, so they see one row per pair and names
-    instead of every spend row.  ``"strict"`` leaves out what ``mapping``
-    matches and drops the mark.
+    instead of every spend row, and contracts are read once.  ``"strict"`` leaves
+    out what ``mapping`` matches and drops the mark.
     """
     small = mi.groupBy("PairID", "mi_supplier_key", "SupplierName", "CustomerName").agg(
         F.count(F.lit(1)).alias("n_rows"))
     if residual == "strict":
         return residual_mi(contracts, small, mapping, "strict")
-    buyers = contracts.select(F.col("buyer").alias("_b")).distinct().withColumn("known_buyer", F.lit(True))
-    left = unmatched_mi(small, contracts)
+    index = reduced_contracts(contracts)
+    buyers = index.select(F.col("buyer").alias("_b")).distinct().withColumn("known_buyer", F.lit(True))
+    left = unmatched_mi(small, index)
     return left.join(buyers, F.col("CustomerName").eqNullSafe(F.col("_b")), "left").drop("_b").fillna(
         False, ["known_buyer"])
 

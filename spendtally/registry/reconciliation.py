@@ -252,8 +252,9 @@ def residual_reference(spark, sf):
     WHERE c.pair_id = coalesce(u.mi_supplier_key::VARCHAR, '<NA>') || '+' || lower(matched))""")
 def residual_strict(spark, sf):
     c, m = _keyed(spark, sf)
-    mapping = rc.name_map(m, c, LevenshteinMatcher())
-    return _mi_columns(rc.residual_mi(c, m, mapping, "strict"))
+    names, index = rc.reduced_mi(m), rc.reduced_contracts(c)
+    mapping = rc.name_map(names, index, LevenshteinMatcher())
+    return _mi_columns(rc.residual_mi(index, m, mapping, "strict", names))
 
 
 # ---- summary -----------------------------------------------------------------

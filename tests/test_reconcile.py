@@ -110,3 +110,43 @@ def test_a_missing_name_is_an_unknown_row(spark, keyed):
     both = known.unionByName(nameless)
     assert rc.unknown_names(both, contracts).count() == 0
     assert rc.residual_mi(contracts, both).count() == rc.unmatched_mi(both, contracts).count() == 1
+
+
+def counted(df):
+    """The same rows, and an accumulator of how many were read."""
+    read = df.sparkSession.sparkContext.accumulator(0)
+
+    def pass_on(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    return df.mapInPandas(pass_on, df.schema), read
+
+
+def test_contracts_are_reduced_once(keyed):
+    c, m = keyed
+    n_c, n_m = c.count(), m.count()
+    contracts, read = counted(c)
+    rc.name_map(m, contracts, RuleMatcher()).collect()
+    assert read.value == n_c
+    mapping = rc.name_map(m, c, RuleMatcher())
+    (contracts, read), (mi, mi_read) = counted(c), counted(m)
+    assert ords(rc.residual_mi(contracts, mi, mapping, "strict")) == [7, 9, 10, 11, 12, 13]
+    assert (read.value, mi_read.value) == (n_c, 2 * n_m)
+    contracts, read = counted(c)
+    sm.unmatched_profile(contracts, m).collect()
+    assert read.value == n_c
+
+
+def test_two_pass_joins_contracts_once(keyed):
+    c, m = keyed
+    contracts, read = counted(c)
+    out = rc.reconcile_two_pass(contracts, m, RuleMatcher()).collect()
+    assert read.value == 2 * c.count()  # reduced, joined
+    by_pass = {p: sorted((r.contract_ord, r.mi_ord) for r in out if r.match_pass == p and r.mi_ord is not None) for p in (1, 2)}
+    first = rc.reconcile_exact(c, m).where("mi_ord is not null")
+    assert by_pass == {1: sorted((r.contract_ord, r.mi_ord) for r in first.collect()), 2: [(4, 8)]}
+    assert all({r.contract_ord for r in out if r.match_pass == p} == set(range(1, 8)) for p in (1, 2))
+    split = rc.reconcile_two_pass(c, m, RuleMatcher(), min_rows=1, salts=3).collect()
+    assert sorted(map(str, split)) == sorted(map(str, out))
