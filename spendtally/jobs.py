@@ -149,7 +149,7 @@ def evaluate(
 def report(spark: SparkSession, suppliers: str, outdir: str, as_of, threshold: int, sender: str = "") -> None:
     """Suppliers file -> status rows partitioned by framework, and nested records as JSON."""
     rows = tb.with_file_order(tb.read_table(spark, suppliers, schemas.SUPPLIERS_REPORT), "ord")
-    status = rp.status_report(rows, as_of, threshold, sender)
+    status = rp.status_report(rp.by_framework(rows), as_of, threshold, sender)
     rp.write_report(status, f"{outdir}/status", "overwrite")
     tb.write_summary(rp.records_by_framework(status, "ord"), f"{outdir}/records", mode="overwrite")
 

@@ -111,14 +111,14 @@ def _suppliers(spark, sf):
     )
 
 
-def _status(spark, sf):
-    return rp.status_report(_suppliers(spark, sf), sh.AS_OF, sender="Contract Team")
+def _status(spark, sf, dealt=lambda rows: rows):
+    return rp.status_report(dealt(_suppliers(spark, sf)), sh.AS_OF, sender="Contract Team")
 
 
 def _written(spark, sf):
     """The report, written to a folder of its own on the shared store and read back."""
     path = f"{checkpoint_folder(spark)}/report-{uuid.uuid4().hex}"
-    status = _status(spark, sf)
+    status = _status(spark, sf, rp.by_framework)
     rp.write_report(status, path)
     return rp.read_report(spark, path, status.schema)
 

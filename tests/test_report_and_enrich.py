@@ -95,3 +95,14 @@ def test_last_wins(spark):
     assert {r.CustomerGroup for r in kept.collect()} == {"old"}
     assert en.add_customer_group(buyers.drop("CustomerGroup"), dim, overwrite=False).where(
         "CustomerGroup is not null").count() == 2
+
+
+def test_dealt_rows_are_sorted_before_the_letters(spark):
+    rows = golden.report(spark).withColumn("color", F.lit("x")).repartition(1)
+    dealt = rp.status_report(rp.by_framework(rows.unionByName(rows)), "2025-12-01", sender="Team")
+    placed = dealt.select(F.spark_partition_id(), "framework").collect()
+    for part in {p for p, _ in placed}:
+        names = [f for p, f in placed if p == part]
+        assert names == sorted(names, key=lambda f: (f is not None, f or ""))
+    plain = rp.status_report(rows.unionByName(rows), "2025-12-01", sender="Team")
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
