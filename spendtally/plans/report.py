@@ -79,6 +79,15 @@ def record_json(df: DataFrame) -> DataFrame:
     return details(df).select("framework", "name", F.to_json(F.struct("name", "framework", "details")).alias("record"))
 
 
+def record_fields(texts: DataFrame) -> DataFrame:
+    """``(framework, name, ...)`` with the labelled fields as text, back from the JSON texts; each is parsed once."""
+    text = T.StringType()
+    labelled = T.StructType([T.StructField(label, text) for _, label in DETAIL_LABELS])
+    whole = T.StructType([T.StructField("framework", text), T.StructField("name", text), T.StructField("details", labelled)])
+    read = texts.select(F.from_json("record", whole).alias("r"))
+    return read.select("r.framework", "r.name", *[F.col(f"r.details.`{label}`").alias(label) for _, label in DETAIL_LABELS])
+
+
 def records_by_framework(df: DataFrame, order: str, page_size: int = 10_000) -> DataFrame:
     """``(framework, page, records)`` with records in ``order``, the source row order.
 

@@ -106,3 +106,15 @@ def test_dealt_rows_are_sorted_before_the_letters(spark):
         assert names == sorted(names, key=lambda f: (f is not None, f or ""))
     plain = rp.status_report(rows.unionByName(rows), "2025-12-01", sender="Team")
     assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_record_fields_read_the_record_back(report):
+    from spendtally.schemas import DETAIL_LABELS
+
+    texts = rp.record_json(report)
+    got = rp.record_fields(texts)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and "get_json_object" not in plan
+    by_path = texts.select("framework", "name", *[
+        F.get_json_object("record", f"$.details['{label}']").alias(label) for _, label in DETAIL_LABELS])
+    assert sorted(map(str, got.collect())) == sorted(map(str, by_path.collect()))
