@@ -171,12 +171,12 @@ def test_runs_are_a_table_and_the_plan_does_not_grow(spark, rows):
 
 
 def test_rule_keys_are_made_once_for_a_name(spark):
-    names = spark.createDataFrame([("Alpha Beta Ltd",), ("Alpha Beta Ltd",), (None,), ("AB",)], "name string")
+    names = spark.createDataFrame([("Alpha Beta Ltd",), ("Alpha Beta Ltd",), (None,), ("ABL",)], "name string")
     keys = {r.name: r for r in ev.rule_keys(names).collect()}
-    assert set(keys) == {"Alpha Beta Ltd", "AB"} and ev.rule_keys(names).count() == 2
-    assert keys["Alpha Beta Ltd"].suffix == "alpha beta" and keys["AB"].acronym == "AB"
+    assert set(keys) == {"Alpha Beta Ltd", "ABL"} and ev.rule_keys(names).count() == 2
+    assert keys["Alpha Beta Ltd"].suffix == "alpha beta" and keys["ABL"].acronym == "ABL"
     offered = spark.createDataFrame(
-        [(1, "Alpha Beta", "Alpha Beta Ltd", 1), (1, "Alpha Beta", "Gamma", 2), (2, "AB", "Alpha Beta Ltd", 1)],
+        [(1, "Alpha Beta", "Alpha Beta Ltd", 1), (1, "Alpha Beta", "Gamma", 2), (2, "ABL", "Alpha Beta Ltd", 1)],
         "row_id int, input_name string, candidate string, cand_ord int")
     listed = offered.select(F.explode(F.array("input_name", "candidate")).alias("name"))
     for given in (None, listed):
