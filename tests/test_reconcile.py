@@ -2,6 +2,7 @@ import golden
 import pytest
 from pyspark.sql import functions as F
 
+from spendtally.operators import aggregates as ag
 from spendtally.operators.matchers import RuleMatcher
 from spendtally.plans import line_level as ll
 from spendtally.plans import reconcile as rc
@@ -150,3 +151,46 @@ def test_two_pass_joins_contracts_once(keyed):
     assert all({r.contract_ord for r in out if r.match_pass == p} == set(range(1, 8)) for p in (1, 2))
     split = rc.reconcile_two_pass(c, m, RuleMatcher(), min_rows=1, salts=3).collect()
     assert sorted(map(str, split)) == sorted(map(str, out))
+
+
+def test_two_pass_lines_read_contracts_twice(keyed):
+    """Once for the latest starts and the matching, once for the rows at them."""
+    c, m = keyed
+    (contracts, read), (mi, mi_read) = counted(c), counted(m)
+    ll.line_level(contracts, mi, "2026-03-15", RuleMatcher()).collect()
+    assert (read.value, mi_read.value) == (2 * c.count(), m.count())
+
+
+def test_a_mark_says_what_the_join_says(spark, keyed):
+    contracts, mi = keyed
+    nameless = mi.where("mi_ord = 1").withColumns({"CustomerName": F.lit(None).cast("string"), "PairID": F.lit(None).cast("string")})
+    names = rc.spend_by_name(mi.unionByName(nameless))
+    for c in (contracts, contracts.unionByName(contracts.limit(1).withColumn("PairID", F.lit(None).cast("string")))):
+        marked = rc.mark_matched(names, c)
+        assert marked.count() == names.count()
+        for by_mark, by_join in ((rc.matched_mi(marked, c), rc.matched_mi(names, c)), (rc.unmatched_mi(marked, c), rc.unmatched_mi(names, c)),
+                                 (rc.unknown_names(marked, c), rc.unknown_names(names, c))):
+            assert sorted(map(str, by_mark.select(*by_join.columns).collect())) == sorted(map(str, by_join.collect()))
+
+
+def test_known_buyers_in_a_map_are_not_moved(spark, keyed, monkeypatch):
+    c, m = keyed
+    mapping = spark.createDataFrame(
+        [(n, "Department for Work and Pensions") for n in ("DWP", "Buyer Y", "Buyer B")], "CustomerName string, AIMatchedName string")
+    names = rc.spend_by_name(m)
+    got = []
+    for rows in (0, 100_000):  # the map is joined, or sent to every task
+        monkeypatch.setattr(rc, "MAP_ROWS", rows)
+        for table in (names, rc.mark_matched(names, c)):
+            got.append(sorted((r.CustomerName, r.OldPairID, r.PairID) for r in rc.second_pairs(table, c, mapping).collect()))
+    assert all(g == got[0] for g in got) and {n for n, _, _ in got[0]} == {"DWP", "Buyer Y"}
+
+
+def test_few_or_many_groups_give_the_same_latest_rows(keyed, monkeypatch):
+    c, m = keyed
+    want = sorted(map(str, ll.line_level(c, m, "2026-03-15", RuleMatcher()).collect()))
+    monkeypatch.setattr(ag, "GROUP_ROWS", 0)
+    assert sorted(map(str, ll.line_level(c, m, "2026-03-15", RuleMatcher()).collect())) == want
+    whole = ag.latest_per_group(c, ll.PAIR, "contract_start")
+    known = ag.latest_per_group(c, ll.PAIR, "contract_start", rc.contracts_by_pair(c))
+    assert sorted(map(str, known.collect())) == sorted(map(str, whole.collect()))
