@@ -21,7 +21,7 @@ import corpus_pipeline  # noqa: E402
 from spendtally.llm import (  # noqa: E402
     decontaminate, graph, language, lattice, mixing, neardup, quality, registry, sanitise, sharding, substrings, suffix_tree,
 )
-from spendtally.llm.common import word_count  # noqa: E402
+from spendtally.llm.common import WordHashes, word_count  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, place long, row_key string, score double, n long, bucket int"
 LABELS, BENCH = "doc_id long, quality int, toxic int", "item_id long, text string"
@@ -402,6 +402,38 @@ def test_language_model_keeps_the_same_runs_of_a_corpus_taken_twice(spark):
     assert np.array_equal(once.words, twice.words) and np.array_equal(once.pairs, twice.pairs) and np.array_equal(once.triples, twice.triples)
 
 
+def test_language_model_leaves_no_run_out_of_a_million_tokens(spark):
+    rng = np.random.default_rng(5)
+    common = spark.createDataFrame([(i, " ".join(f"c{x}" for x in rng.integers(0, 3, 3500))) for i in range(300)], "doc_id long, text string")
+    df = common.union(spark.createDataFrame([(900, "met only once here"), (901, "met only there")], common.schema))
+    tree = suffix_tree.train(df)[0]
+    assert tree.total > 1_050_000
+    assert len(tree.pairs) == 9 + 3 + 5 + 1 and len(tree.triples) == 27 + 9 + 5
+
+
+@pytest.mark.parametrize("split", [0, 1 << 60])
+def test_language_model_tables_score_like_the_tree_in_memory(spark, monkeypatch, split):
+    monkeypatch.setattr(suffix_tree, "SPLIT", split)
+    rng = random.Random(1)
+    vocabulary = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(rng.choice(vocabulary[: rng.choice([5, 40, 400])]) for _ in range(rng.randrange(60)))) for i in range(200)]
+    again = " ".join(rng.choice(vocabulary) for _ in range(50))
+    rows += [(1000 + i, again) for i in range(4)] + [(2000, None), (None, "new words here"), (5, ""), (5, "w1 w2")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    held = {d: zlib.crc32(("" if d is None else str(d)).encode()) % 5 == 1 for d, _ in rows}
+    tree, known = suffix_tree.train(spark.createDataFrame([r for r in rows if not held[r[0]]], df.schema))[0], WordHashes()
+    assert (tree.spare1 < 1).sum() > 5 and (tree.spare2 < 1).sum() > 5
+    want = []
+    for d, t in rows:
+        h = suffix_tree.tokens(t, known).astype(np.int64)
+        at, there = suffix_tree.find(tree.words, h)
+        base, score = tree.log10(np.where(there, at, -1 - h))
+        rest = (~there).sum() * tree.floor()
+        want.append((str(d), len(h), round(base + rest, 5), round(score + rest, 5)))
+    got = suffix_tree.language_model_digest(df).collect()
+    assert sorted((str(r.doc_id), r.n_tokens, round(r.base_score, 5), round(r.score, 5)) for r in got) == sorted(want)
+
+
 def test_language_model_scores_texts_together_as_alone(spark):
     rng = random.Random(9)
     df = spark.createDataFrame([(i, sentence(rng, 8) * 3) for i in range(60)], "doc_id long, text string")
