@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.status import amber_flag, has_spend, red_flag
 from ..operators.aggregates import count_unique, unpivot_metrics
 from ..schemas import SUMMARY_LABELS
+from ..sources.tables import shared_table
 from .reconcile import reduced_contracts, residual_mi, unmatched_mi
 
 
@@ -20,8 +21,8 @@ def unmatched_profile(
     instead of every spend row, and contracts are read once.  ``"strict"`` leaves
     out what ``mapping`` matches and drops the mark.
     """
-    small = mi.groupBy("PairID", "mi_supplier_key", "SupplierName", "CustomerName").agg(
-        F.count(F.lit(1)).alias("n_rows"))
+    small = shared_table(mi.groupBy("PairID", "mi_supplier_key", "SupplierName", "CustomerName").agg(
+        F.count(F.lit(1)).alias("n_rows")))
     if residual == "strict":
         return residual_mi(contracts, small, mapping, "strict")
     index = reduced_contracts(contracts)
@@ -37,7 +38,10 @@ def profile_rows(unmatched: DataFrame) -> DataFrame:
 
 
 def summary_stats(contracts: DataFrame, lines: DataFrame, profile: DataFrame, min_months: int = 3) -> DataFrame:
-    """``(position, Summary Statistic, Value)``; raw contract rows, pair lines, unmatched profile."""
+    """``(position, Summary Statistic, Value)``; raw contract rows, pair lines, unmatched profile.
+
+    The figures of each are written before those of the next are made, so what they shuffle is not kept together.
+    """
     labels = dict(SUMMARY_LABELS)
     place = {name: i for i, (name, _) in enumerate(SUMMARY_LABELS, 1)}
     parts = [
@@ -51,7 +55,7 @@ def summary_stats(contracts: DataFrame, lines: DataFrame, profile: DataFrame, mi
         _unmatched(profile),
     ]
     out = None
-    for p in parts:
+    for p in map(shared_table, parts):
         rows = unpivot_metrics(p, [(c, labels[c]) for c in p.columns]).withColumn(
             "position", _position(p.columns, place))
         out = rows if out is None else out.unionByName(rows)
